@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factlake import schemas as S
@@ -49,6 +49,12 @@ def set_digest_text(prefix: str = "w") -> Column:
     return F.concat_ws(".", *[F.col(f"{prefix}{i}").cast("string") for i in range(8)])
 
 
+def with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Adds the columns of a one-row aggregate as a scalar subquery."""
+    value = one_row.select(F.struct("*").alias("__one")).scalar()
+    return df.withColumn("__one", value).select(*df.columns, "__one.*")
+
+
 # ---------------------------------------------------------------------------------------- time
 
 

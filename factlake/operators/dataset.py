@@ -73,7 +73,7 @@ def dataset_manifest(summary: DataFrame, records: DataFrame, replay_exclusions:
     )
     zero = F.lit(0).cast("bigint")
     one_row = (
-        summary.join(F.broadcast(core)).join(F.broadcast(replayed))
+        X.with_one_row(X.with_one_row(summary, core), replayed)
         .withColumn("n_included", F.coalesce("n_included", zero))
         .withColumn("n_category_excluded", F.coalesce("n_category_excluded", zero))
     )

@@ -398,7 +398,7 @@ def snapshot_identity(
     Membership enters as count plus set digest: one map-side combined aggregate of eight sums.
     """
     members = selected.agg(F.count(F.lit(1)).alias("n_records"), *X.set_digest(F.col("capture_id")))
-    return bind_snapshot(request.join(F.broadcast(members)), authorities)
+    return bind_snapshot(X.with_one_row(request, members), authorities)
 
 
 def bind_snapshot(
@@ -483,7 +483,7 @@ def resume_check(bookmarks: DataFrame, current: DataFrame, selected: DataFrame)
         .otherwise("ok")
     )
     return (
-        bookmarks.join(F.broadcast(now))
+        X.with_one_row(bookmarks, now)
         .join(members, "last_capture_id", "left")
         .select("bookmark_id", code.alias("outcome"))
     )

@@ -178,7 +178,7 @@ def append_decisions(spark: SparkSession, path: str, candidates: DataFrame) -> A
 def read_decisions(spark: SparkSession, path: str) -> DataFrame:
     if not path_exists(spark, path):
         return spark.createDataFrame([], S.TRUTH_DECISION)
-    return spark.read.schema(S.TRUTH_DECISION).parquet(path)
+    return spark.read.schema(S.TRUTH_DECISION).parquet(path).select(*S.DECISION_COLUMNS)
 
 
 def find_subject_decision(keys: DataFrame, decisions: DataFrame) -> DataFrame:
@@ -232,7 +232,7 @@ def append_availability(spark: SparkSession, path: str, candidates: DataFrame) -
 def read_markers(spark: SparkSession, path: str) -> DataFrame:
     if not path_exists(spark, path):
         return spark.createDataFrame([], S.AVAILABILITY)
-    return spark.read.schema(S.AVAILABILITY).parquet(path)
+    return spark.read.schema(S.AVAILABILITY).parquet(path).select(*S.MARKER_COLUMNS)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -155,7 +155,7 @@ def view_summary(view: ReplayView) -> DataFrame:
         ),
     )
     return (
-        with_snapshot.join(F.broadcast(excluded))
+        X.with_one_row(with_snapshot, excluded)
         .withColumn("ordering_rule_version", F.lit(S.ORDERING_RULE_VERSION))
         .withColumn("completeness", F.lit(S.COMPLETENESS))
     )
