@@ -24,14 +24,18 @@ def asset_of(user_id: Column) -> Column:
     return F.element_at(names, (F.pmod(user_id, F.lit(9)) + 1).cast("int"))
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The given table with ``us``, its instant in epoch microseconds."""
+def events_of(given: DataFrame) -> DataFrame:
+    """The given table with ``us``, its instant in epoch microseconds, and an asset."""
     us = F.unix_micros(F.col("ts").cast("timestamp"))
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    return given.select(
         "event_id", "user_id", "event_type", us.alias("us"), asset_of(F.col("user_id")).alias("asset")
     )
 
 
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events_of(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
 def bounds(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
     """First and last instant, in µs: one aggregate, two numbers."""
     row = events(spark, sf_dir).agg(F.min("us"), F.max("us")).first()
@@ -51,7 +55,11 @@ def every(n: int, k: int = 0) -> Column:
 
 
 def facts_with_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = events(spark, sf_dir)
+    return facts_of(events(spark, sf_dir))
+
+
+def facts_of(e: DataFrame) -> DataFrame:
+    """One fact per event."""
     kind = (
         F.when(F.col("event_type") == "purchase", "trade")
         .when(F.col("event_type") == "error", "market_lifecycle_v2")

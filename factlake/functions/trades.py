@@ -35,11 +35,19 @@ def open_trades(facts: DataFrame) -> DataFrame:
     """
     parsed = facts.withColumn("__v", F.try_parse_json("payload"))
     v = F.col("__v")
+    # A generator is a barrier for predicate pushdown: without it a later filter on ``reason`` would
+    # be copied below this projection and parse the payload once per check.
     opened = parsed.select(
         *facts.columns,
-        F.try_variant_get(v, "$.type", "string").alias("__type"),
-        F.schema_of_variant(F.try_variant_get(v, "$.sid", "variant")).alias("__sid"),
-        F.try_variant_get(v, "$.msg", "map<string,variant>").alias("__f"),
+        F.inline(
+            F.array(
+                F.struct(
+                    F.try_variant_get(v, "$.type", "string").alias("__type"),
+                    F.schema_of_variant(F.try_variant_get(v, "$.sid", "variant")).alias("__sid"),
+                    F.try_variant_get(v, "$.msg", "map<string,variant>").alias("__f"),
+                )
+            )
+        ),
     )
     fields = F.col("__f")
     trade_kind = F.schema_of_variant(F.try_element_at(fields, F.lit("trade_id")))

@@ -18,7 +18,10 @@ def record_digest() -> Column:
     """Digest of one replayed record: every fact field, every decision field, both references."""
     names = [*S.FACT_COLUMNS, *[c for c in S.DECISION_COLUMNS if c != "subject_capture_id"]]
     names += ["evidence_reference", "authority_reference"]
-    return X.digest({n: F.col(n) for n in names})
+    fields = {n: F.col(n) for n in names}
+    event = F.struct(*[F.col(f"event.{c}").alias(c) for c in sorted(S.IDENTITY_COLUMNS)])
+    fields["event"] = F.when(F.col("event").isNotNull(), event)
+    return X.digest(fields)
 
 
 def admit_records(records: DataFrame) -> DataFrame:

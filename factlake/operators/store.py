@@ -236,6 +236,15 @@ def read_markers(spark: SparkSession, path: str) -> DataFrame:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    target, system = _file_system(spark, path)
+    return system.exists(target)
+
+
+def is_file(spark: SparkSession, path: str) -> bool:
+    target, system = _file_system(spark, path)
+    return system.exists(target) and system.getFileStatus(target).isFile()
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())

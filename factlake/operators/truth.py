@@ -143,7 +143,8 @@ def find_accepted_anchor(decisions: DataFrame, facts: DataFrame) -> DataFrame:
 def stored_anchors(decisions: DataFrame, facts: DataFrame, wanted: DataFrame) -> DataFrame:
     """Stored anchors of the wanted identities, in the shape of ``comparable_trades``.
 
-    Restricting to the batch's identities first keeps the payload read to what the batch needs.
+    Restricting to the batch's identities first keeps the payload read to what the batch needs; an
+    invalid trade has no identity that a decision could carry.
     """
     ids = (
         decisions.where("category = 'accepted' AND event IS NOT NULL")
@@ -157,7 +158,7 @@ def stored_anchors(decisions: DataFrame, facts: DataFrame, wanted: DataFrame) ->
 def decide_incremental(new: DataFrame, decisions: DataFrame, stored_facts: DataFrame) -> DataFrame:
     """Decisions for a new batch; a stored anchor wins over any new row, even an earlier one."""
     trades = comparable_trades(new)
-    anchors = stored_anchors(decisions, stored_facts, trades.where("valid"))
+    anchors = stored_anchors(decisions, stored_facts, trades)
     both = anchors.withColumn("is_new", F.lit(0)).unionByName(
         trades.withColumn("is_new", F.lit(1))
     )

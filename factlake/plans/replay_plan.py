@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factlake import schemas as S
@@ -30,6 +30,7 @@ class ReplayView:
 
     lake: Lake
     request: R.AsOfRequest
+    scoped: DataFrame
     keys: DataFrame
     exclusions: DataFrame
 
@@ -88,7 +89,7 @@ def replay_as_of(
     keys = selected.select(
         "capture_id", "category", "received_ns", "provider_ns", "evidence_at", "authority_at"
     )
-    return ReplayView(lake, request, keys, R.replay_exclusions(scoped, request.cutoff_ns))
+    return ReplayView(lake, request, scoped, keys, R.replay_exclusions(scoped, request.cutoff_ns))
 
 
 def raise_first(violations: DataFrame) -> None:
@@ -143,19 +144,24 @@ def record_columns() -> list[str]:
 
 
 def view_summary(view: ReplayView) -> DataFrame:
-    """One row: identities, selection, completeness and counts."""
-    request = R.request_identity(R.request_row(view.lake.facts, view.request))
-    with_snapshot = R.snapshot_identity(request, view.keys, view.lake.authorities)
-    excluded = view.exclusions.agg(
-        F.coalesce(F.sum((F.col("code") == S.EVIDENCE_MISSING).cast("bigint")), F.lit(0).cast("bigint")).alias(
-            "n_evidence_missing"
-        ),
-        F.coalesce(F.sum((F.col("code") == S.AUTHORITY_MISSING).cast("bigint")), F.lit(0).cast("bigint")).alias(
-            "n_authority_missing"
-        ),
+    """One row: identities, selection, completeness and counts, from one pass over the candidates."""
+    r = view.request
+    code = R.exclusion_code(F.lit(r.cutoff_ns).cast("bigint"))
+    t = F.col(R.AXIS_COLUMN[r.axis])
+    member = code.isNull() & (t >= F.lit(r.start_ns)) & (t < F.lit(r.end_ns))
+
+    def how_many(condition: Column) -> Column:
+        return F.count(F.when(condition, F.lit(1)))
+
+    folded = view.scoped.agg(
+        how_many(member).alias("n_records"),
+        how_many(code == S.EVIDENCE_MISSING).alias("n_evidence_missing"),
+        how_many(code == S.AUTHORITY_MISSING).alias("n_authority_missing"),
+        *X.set_digest(F.col("capture_id"), when=member),
     )
+    request = R.request_identity(R.request_row(view.lake.facts, r))
     return (
-        X.with_one_row(with_snapshot, excluded)
+        R.bind_snapshot(X.with_one_row(request, folded), view.lake.authorities)
         .withColumn("ordering_rule_version", F.lit(S.ORDERING_RULE_VERSION))
         .withColumn("completeness", F.lit(S.COMPLETENESS))
     )

@@ -135,7 +135,7 @@ FACT_COLUMNS = CAPTURE_FACT.names
 EVOLVABLE_FACT_COLUMNS = ("source_id", "message_type", "event_subtype")
 
 IDENTITY_COLUMNS = ("provider", "source_id", "message_type", "trade_id")
-EVENT_IDENTITY = T.StructType([T.StructField(n, _S, False) for n in IDENTITY_COLUMNS])
+EVENT_IDENTITY = T.StructType([T.StructField(n, _S, True) for n in IDENTITY_COLUMNS])
 
 TRUTH_DECISION = _struct(
     ("policy_version", _S, False),
