@@ -2,10 +2,14 @@
 
 Every event becomes one fact (or one raw message, or one market request), so the derived tables grow
 with the given one.  The rules are plain enough to be restated in the SQL twins of the queries.
+
+Plans are built once per session and folder: building an expression costs more than a small scan.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,10 +36,12 @@ def events_of(given: DataFrame) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=16)
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_of(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
+@lru_cache(maxsize=16)
 def bounds(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
     """First and last instant, in µs: one aggregate, two numbers."""
     row = events(spark, sf_dir).agg(F.min("us"), F.max("us")).first()
@@ -54,6 +60,7 @@ def every(n: int, k: int = 0) -> Column:
 # ----------------------------------------------------------------------------------------- facts
 
 
+@lru_cache(maxsize=16)
 def facts_with_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts_of(events(spark, sf_dir))
 
@@ -137,10 +144,12 @@ def fill(template: str, args: dict[str, Column]) -> Column:
     return F.concat(*parts)
 
 
+@lru_cache(maxsize=16)
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts_with_id(spark, sf_dir).select(*S.FACT_COLUMNS)
 
 
+@lru_cache(maxsize=16)
 def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truth.decide_new(facts(spark, sf_dir))
 
@@ -185,6 +194,7 @@ def markers(spark: SparkSession, sf_dir: str, with_id: bool = False) -> DataFram
     return out.select(*(["event_id"] if with_id else []), *S.MARKER_COLUMNS)
 
 
+@lru_cache(maxsize=16)
 def lake(spark: SparkSession, sf_dir: str) -> Lake:
     return Lake(facts(spark, sf_dir), decisions(spark, sf_dir), markers(spark, sf_dir))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from factlake import schemas as S
 from factlake.catalog import fixture as fx
 from factlake.functions import exprs as X
+from factlake.functions.trades import projection
 from factlake.operators import availability as A
 from factlake.operators import dataset, ingest, markets, store, truth
 from factlake.operators import replay as R
@@ -439,7 +440,7 @@ def trade_identity(spark, sf):
 @query
 def trade_projection(spark, sf):
     opened = truth.validate_trades(fx.facts(spark, sf))
-    return opened.where("reason IS NULL").select("capture_id", "projection")
+    return opened.where("reason IS NULL").select("capture_id", projection(F.col("payload")).alias("projection"))
 
 
 @query

@@ -9,14 +9,12 @@ from factlake import schemas as S
 from factlake.functions import exprs as X
 
 OUTSIDE_PROJECTION = ("trade_id", "market_ticker")
+TEXT_FIELDS = ("trade_id", "market_ticker")
 INTEGER_FIELDS = ("ts", "ts_ms")
-NUMBER_TEXT_FIELDS = ("yes_price", "no_price", "count")
-
-
-def _absent_or(fields: Column, name: str, allowed: str) -> Column:
-    """True when the field is missing, JSON null, or of an allowed variant type."""
-    kind = F.schema_of_variant(F.try_element_at(fields, F.lit(name)))
-    return kind.isNull() | (kind == "VOID") | kind.rlike(allowed)
+NUMBER_FIELDS = ("yes_price", "no_price", "count")
+FLAG_FIELDS = ("is_block_trade",)
+CHECKED_FIELDS = (*TEXT_FIELDS, *INTEGER_FIELDS, *NUMBER_FIELDS, *FLAG_FIELDS)
+MESSAGE_DDL = "struct<" + ",".join(f"{name}:variant" for name in CHECKED_FIELDS) + ">"
 
 
 def canonical_text(fields: Column) -> Column:
@@ -28,69 +26,70 @@ def canonical_text(fields: Column) -> Column:
     )
 
 
+def projection(payload: Column) -> Column:
+    """The comparable content as text: the message without the two identity fields."""
+    fields = F.try_variant_get(F.try_parse_json(payload), "$.msg", "map<string,variant>")
+    return canonical_text(F.map_filter(fields, lambda k, _: ~k.isin(*OUTSIDE_PROJECTION)))
+
+
 def open_trades(facts: DataFrame) -> DataFrame:
-    """Adds ``trade_id``, ``reason`` and ``projection`` to trade facts, parsing each payload once.
+    """Adds ``reason`` (null = valid), ``trade_id`` and ``content``, parsing each payload once.
 
+    ``content`` digests the message in canonical form.  It still holds the trade id and the ticker,
+    which are equal for all trades that are ever compared, so it decides as ``projection`` would.
     The checks run in contract order.  Duplicate JSON keys and malformed text do not parse.
     """
-    parsed = facts.withColumn("__v", F.try_parse_json("payload"))
     v = F.col("__v")
     # A generator is a barrier for predicate pushdown: without it a later filter on ``reason`` would
     # be copied below this projection and parse the payload once per check.
-    opened = parsed.select(
+    opened = facts.withColumn("__v", F.try_parse_json("payload")).select(
         *facts.columns,
         F.inline(
             F.array(
                 F.struct(
                     F.try_variant_get(v, "$.type", "string").alias("__type"),
-                    F.schema_of_variant(F.try_variant_get(v, "$.sid", "variant")).alias("__sid"),
-                    F.try_variant_get(v, "$.msg", "map<string,variant>").alias("__f"),
+                    F.try_variant_get(v, "$.sid", "variant").alias("__sid"),
+                    F.try_variant_get(v, "$.msg", MESSAGE_DDL).alias("__m"),
+                    F.sha2(F.to_json(F.try_variant_get(v, "$.msg", "variant")), 256).alias("__content"),
                 )
             )
         ),
     )
-    fields = F.col("__f")
-    trade_kind = F.schema_of_variant(F.try_element_at(fields, F.lit("trade_id")))
-    ticker_kind = F.schema_of_variant(F.try_element_at(fields, F.lit("market_ticker")))
-    typed = F.coalesce(
-        (F.col("__type") == "trade")
-        & (F.col("__sid") == "BIGINT")
-        & (trade_kind == "STRING")
-        & (ticker_kind == "STRING"),
-        F.lit(False),
-    )
-    for name in INTEGER_FIELDS:
-        typed = typed & _absent_or(fields, name, "^BIGINT$")
-    for name in NUMBER_TEXT_FIELDS:
-        typed = typed & _absent_or(fields, name, "^(STRING|BIGINT|DECIMAL.*|DOUBLE)$")
-    typed = typed & _absent_or(fields, "is_block_trade", "^BOOLEAN$")
 
-    def text_of(name: str) -> Column:
-        return F.try_variant_get(F.try_element_at(fields, F.lit(name)), "$", "string")
+    def kind(name: str) -> Column:
+        return F.schema_of_variant(f"__m.{name}")
 
-    checked = opened.select(
-        *facts.columns,
-        typed.alias("__typed"),
-        text_of("trade_id").alias("__trade_id"),
-        text_of("market_ticker").alias("__ticker"),
-        canonical_text(F.map_filter(fields, lambda k, _: ~k.isin(*OUTSIDE_PROJECTION))).alias(
-            "__projection"
-        ),
-    )
+    def optional(name: str, allowed: str) -> Column:
+        return F.coalesce(kind(name).rlike(f"^({allowed}|VOID)$"), F.lit(True))
+
+    typed = (F.col("__type") == "trade") & (F.schema_of_variant("__sid") == "BIGINT")
+    for name in TEXT_FIELDS:
+        typed = typed & (kind(name) == "STRING")
+    for name in INTEGER_FIELDS:
+        typed = typed & optional(name, "BIGINT")
+    for name in NUMBER_FIELDS:
+        typed = typed & optional(name, "STRING|BIGINT|DECIMAL.*|DOUBLE")
+    for name in FLAG_FIELDS:
+        typed = typed & optional(name, "BOOLEAN")
+    trade_id, ticker = (F.try_variant_get(f"__m.{name}", "$", "string") for name in TEXT_FIELDS)
     reason = X.first_failure(
         (F.col("schema_version") != S.MESSAGE_SCHEMA, "unsupported_trade_schema"),
         (
             (F.col("provider") != S.PROVIDER) | (F.col("message_type") != "trade"),
             "invalid_trade_evidence",
         ),
-        (~F.col("__typed"), "invalid_trade_evidence"),
+        (~F.coalesce(typed, F.lit(False)), "invalid_trade_evidence"),
         (X.blank(F.col("__trade_id")), "invalid_trade_evidence"),
         (~F.col("__ticker").eqNullSafe(F.col("source_id")), "trade_identity_mismatch"),
     )
     ok = F.col("reason").isNull()
-    return checked.withColumn("reason", reason).select(
-        *facts.columns,
-        "reason",
-        F.when(ok, F.col("__trade_id")).alias("trade_id"),
-        F.when(ok, F.col("__projection")).alias("projection"),
+    return (
+        opened.withColumns({"__trade_id": trade_id, "__ticker": ticker})
+        .withColumn("reason", reason)
+        .select(
+            *facts.columns,
+            "reason",
+            F.when(ok, F.col("__trade_id")).alias("trade_id"),
+            F.when(ok, F.col("__content")).alias("content"),
+        )
     )

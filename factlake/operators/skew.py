@@ -19,7 +19,7 @@ _SALT = "__salt"
 
 def with_salt(df: DataFrame, row_id: Sequence[str], salts: int = SALTS) -> DataFrame:
     salt = F.pmod(F.xxhash64(*row_id), F.lit(salts).cast("bigint")).cast("int")
-    return df.withColumn(_SALT, salt)
+    return df.withColumn(_SALT, F.coalesce(salt, F.lit(0)))
 
 
 def first_per_key(
@@ -31,18 +31,24 @@ def first_per_key(
     prefix: str = "first_",
     salts: int = SALTS,
 ) -> DataFrame:
-    """Attach to every row the ``carry`` columns of the first row of its key.
+    """Attach to every row the ``carry`` columns of the first row of its key, and ``is_first``.
 
-    The rows cross the network once; the pre-aggregated pairs twice.
+    ``df`` holds exactly ``keys``, ``order`` and ``carry``; the keys are not null.  Both uses of the
+    spread rows then need all of its columns, so Spark shuffles (and computes) them once and reads
+    that exchange twice.  Only the pre-aggregated pairs cross the network again.
     """
-    value = F.struct(*[F.col(c) for c in dict.fromkeys([*order, *carry])])
+    columns = list(dict.fromkeys([*order, *carry]))
+    value = F.struct(*[F.col(c) for c in columns])
     spread = with_salt(df, row_id, salts).repartition(*keys, _SALT)
     pairs = spread.groupBy(*keys, _SALT).agg(F.min(value).alias("__local"))
     per_key = Window.partitionBy(*keys)
     firsts = pairs.select(*keys, _SALT, F.min("__local").over(per_key).alias("__first"))
     joined = spread.join(firsts, [*keys, _SALT])
+    is_first = value == F.struct(*[F.col(f"__first.{c}") for c in columns])
     return joined.select(
-        *df.columns, *[F.col(f"__first.{c}").alias(prefix + c) for c in carry]
+        *df.columns,
+        is_first.alias("is_first"),
+        *[F.col(f"__first.{c}").alias(prefix + c) for c in carry],
     )
 
 

@@ -38,53 +38,50 @@ def accept_observations(facts: DataFrame) -> DataFrame:
 
 
 def validate_trades(facts: DataFrame) -> DataFrame:
-    """Trade facts with ``reason`` (null = valid), ``trade_id`` and ``projection``."""
+    """Trade facts with ``reason`` (null = valid), ``trade_id`` and ``content``."""
     return open_trades(facts.where(F.col("message_type") == "trade").select(*NARROW))
 
 
 def comparable_trades(facts: DataFrame) -> DataFrame:
     """What adjudication moves: no payload, the comparable content as a digest.
 
-    An invalid trade keeps a non-null key of its own (``valid`` is part of the key), so valid and
+    ``fault`` is the reason a trade is not accepted, or empty.  It is part of the key, so valid and
     invalid rows travel together and the payload is parsed once.
     """
-    opened = validate_trades(facts)
-    return opened.select(
+    return validate_trades(facts).select(
         "capture_id",
         "received_ns",
         "provider",
         "source_id",
         "message_type",
         F.coalesce("trade_id", F.lit("")).alias("trade_id"),
-        F.col("reason").isNull().alias("valid"),
-        "reason",
-        F.sha2("projection", 256).alias("content"),
+        F.coalesce("reason", F.lit("")).alias("fault"),
+        F.coalesce("content", F.lit("")).alias("content"),
     )
 
 
 def _decisions(trades: DataFrame) -> DataFrame:
     """Decision rows from trades that carry their anchor in ``first_*``."""
-    own = F.col("first_capture_id") == F.col("capture_id")
+    valid, own = F.col("fault") == "", F.col("is_first")
     category = (
-        F.when(~F.col("valid"), "not_accepted")
+        F.when(~valid, "not_accepted")
         .when(own, "accepted")
         .when(F.col("first_content") == F.col("content"), "duplicate")
         .otherwise("conflict")
     )
-    single = ~F.col("valid") | own
     return trades.select(
         F.lit(S.TRUTH_POLICY).alias("policy_version"),
         F.col("capture_id").alias("subject_capture_id"),
         category.alias("category"),
-        F.when(single, F.array("capture_id"))
+        F.when(~valid | own, F.array("capture_id"))
         .otherwise(F.array("first_capture_id", "capture_id"))
         .alias("contributing_capture_ids"),
-        "reason",
-        F.when(F.col("valid"), F.struct(*S.IDENTITY_COLUMNS)).cast(S.EVENT_IDENTITY).alias("event"),
+        F.when(~valid, F.col("fault")).alias("reason"),
+        F.when(valid, F.struct(*S.IDENTITY_COLUMNS)).cast(S.EVENT_IDENTITY).alias("event"),
     )
 
 
-KEY = [*S.IDENTITY_COLUMNS, "valid"]
+KEY = [*S.IDENTITY_COLUMNS, "fault"]
 
 
 def adjudicate_trades(facts: DataFrame) -> DataFrame:
