@@ -18,6 +18,7 @@ from factlake.operators import availability as A
 from factlake.operators import store, truth
 from factlake.operators.replay import REQUEST_DDL
 from factlake.plans.replay_plan import Lake
+from factlake.session import materialize
 
 MINUTE_NS = 60 * S.NS_PER_SECOND
 SERIES_SUFFIX = "15M-24JAN"
@@ -194,11 +195,19 @@ def markers(spark: SparkSession, sf_dir: str, with_id: bool = False) -> DataFram
     return out.select(*(["event_id"] if with_id else []), *S.MARKER_COLUMNS)
 
 
-@lru_cache(maxsize=16)
 def lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """The three tables as plans, for queries that read each of them once."""
     return Lake(facts(spark, sf_dir), decisions(spark, sf_dir), markers(spark, sf_dir))
 
 
+def decided_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """The same with the decisions settled first, as in a lake that stores them.
+
+    Every call adjudicates anew; nothing is kept from one query to the next.
+    """
+    return Lake(facts(spark, sf_dir), materialize(decisions(spark, sf_dir)), markers(spark, sf_dir))
+
+
 # -------------------------------------------------------------------------------------- requests
 
 

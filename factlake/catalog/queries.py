@@ -20,7 +20,7 @@ from factlake.plans.replay_plan import (
     many_summaries,
     replay_as_of,
 )
-from factlake.session import new_folder
+from factlake.session import materialize, new_folder
 from factlake.sources import tables
 from factlake.streaming import streams
 
@@ -598,10 +598,11 @@ def record_captures(spark, sf):
     stored = f.where(~every(9)).select(*S.FACT_COLUMNS)
     none = spark.createDataFrame([], S.TRUTH_DECISION)
     markers = spark.createDataFrame([], S.AVAILABILITY)
+    captured = f.select(*S.FACT_COLUMNS)
     stages = recording.plan_recording(
-        f.select(*S.FACT_COLUMNS), stored, none, markers, F.col("received_ns"), None, _gate(spark, sf)
+        captured, stored, none, markers, F.col("received_ns"), None, _gate(spark, sf)
     )
-    return stages.progress
+    return stages.progress(captured)
 
 
 @query
@@ -791,7 +792,7 @@ def keyset_page(spark, sf):
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Adjudicate every fact, then read the lake as of the middle of the data."""
-    v = replay_as_of(fx.lake(spark, sf), _request(spark, sf), strict=False)
+    v = replay_as_of(fx.decided_lake(spark, sf), _request(spark, sf), strict=False)
     return v.ordered_records().select(
         "capture_id",
         "asset",
@@ -823,7 +824,7 @@ def view_summary(spark, sf):
 @query
 def replay_many(spark, sf):
     valid = R.canonical_filters(R.validate_requests(fx.requests(spark, sf)).where("reject_reason IS NULL"))
-    candidates = R.with_filters(_paired(spark, sf), fx.facts(spark, sf))
+    candidates = materialize(R.with_filters(_paired(spark, sf), fx.facts(spark, sf)))
     return R.replay_many(valid, candidates).select("request_id", "capture_id", "category", "received_ns", "provider_ns")
 
 
@@ -838,13 +839,13 @@ def replay_many_summaries(spark, sf):
 
 
 def _view(spark, sf) -> ReplayView:
-    return replay_as_of(fx.lake(spark, sf), _request(spark, sf), strict=False)
+    return replay_as_of(fx.decided_lake(spark, sf), _request(spark, sf), strict=False)
 
 
 @query
 def collect_view(spark, sf):
     """The unpaged view of a strict read, in full."""
-    v = replay_as_of(fx.lake(spark, sf), _request(spark, sf), strict=True)
+    v = replay_as_of(fx.decided_lake(spark, sf), _request(spark, sf), strict=True)
     return v.records().select("capture_id", "category", "message_type", "received_ns")
 
 
@@ -880,17 +881,15 @@ def write_snapshot(spark, sf):
     """Written twice: the second write finds the identity and leaves it alone."""
     v = _view(spark, sf)
     root = new_folder(spark, "datasets")
-    manifest = dataset.dataset_manifest(v.summary(), v.records(), v.exclusions)
-    excluded = dataset.exclusion_provenance(v.records(), v.exclusions)
     for _ in range(2):
-        done = dataset.write_snapshot(spark, root, manifest, v.records(), excluded)
+        done = dataset.write_snapshot(spark, root, v.summary(), v.records(), v.exclusions)
     return spark.read.parquet(f"{done.path}/records").select("capture_id", "asset", "record_digest")
 
 
 @query
 def compare_snapshots(spark, sf):
     """Two datasets of one lake, cut a day apart, with some payloads changed by id."""
-    lk, r = fx.lake(spark, sf), _request(spark, sf)
+    lk, r = fx.decided_lake(spark, sf), _request(spark, sf)
     before = dataset.admit_records(replay_as_of(lk, r, strict=False).records())
     later = _request(spark, sf, cutoff_ns=r.cutoff_ns + S.NS_PER_DAY)
     after = dataset.admit_records(replay_as_of(lk, later, strict=False).records())

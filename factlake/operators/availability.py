@@ -9,6 +9,7 @@ from factlake import schemas as S
 from factlake.functions import exprs as X
 from factlake.operators import store
 from factlake.operators.prefix import block_boundaries, into_blocks
+from factlake.session import materialize
 from factlake.sources import tables
 
 DEFAULT_AUTHORITIES = S.AuthorityIdentities()
@@ -175,8 +176,12 @@ def compare_markers(candidates: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def record_markers(candidates: DataFrame, existing: DataFrame, floor: int | None) -> DataFrame:
-    """Idempotent recording: known keys keep their time, new keys get the next proof times."""
-    compared = compare_markers(candidates, existing)
+    """Idempotent recording: known keys keep their time, new keys get the next proof times.
+
+    The comparison is kept in the shared folder, because its two outcomes and the block boundaries
+    each read it.
+    """
+    compared = materialize(compare_markers(candidates, existing))
     known = compared.where("outcome != 'new'").select(
         *S.MARKER_KEY, "source_authority_identity", F.col("stored_at_ns").alias("available_at_ns"), "outcome"
     )

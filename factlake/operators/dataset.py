@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from factlake import schemas as S
 from factlake.functions import exprs as X
+from factlake.session import materialize
 
 DISPOSITION = "excluded_by_category"
 MANIFEST_VERSION = "set-digest/v1"
@@ -30,10 +31,11 @@ def admit_records(records: DataFrame) -> DataFrame:
 
 
 def category_exclusions(records: DataFrame) -> DataFrame:
+    known = "record_digest" in records.columns
     return records.where("category != 'accepted'").select(
         "capture_id",
         "category",
-        record_digest().alias("record_digest"),
+        (F.col("record_digest") if known else record_digest()).alias("record_digest"),
         F.lit(DISPOSITION).alias("disposition"),
     )
 
@@ -45,6 +47,10 @@ def exclusion_provenance(records: DataFrame, replay_exclusions: DataFrame) -> Da
     return by_category.unionByName(by_replay, allowMissingColumns=True)
 
 
+def with_digest(records: DataFrame) -> DataFrame:
+    return records.withColumn("record_digest", record_digest())
+
+
 def dataset_manifest(summary: DataFrame, records: DataFrame, replay_exclusions: DataFrame) -> DataFrame:
     """Manifest core and ``dataset_identity`` (one row).
 
@@ -52,23 +58,21 @@ def dataset_manifest(summary: DataFrame, records: DataFrame, replay_exclusions:
     order keys are fields of the record) and the bound ordering rule, so the set digest of the record
     digests binds the sequence too, without a global sort.
     """
+    digested = records if "record_digest" in records.columns else with_digest(records)
     accepted = F.col("category") == "accepted"
-    core = records.select(
-        "category",
-        record_digest().alias("d"),
-        X.canonical_json(
-            {
-                "capture_id": F.col("capture_id"),
-                "category": F.col("category"),
-                "digest": record_digest(),
-                "disposition": F.lit(DISPOSITION),
-            }
-        ).alias("excluded"),
-    ).agg(
+    excluded = X.canonical_json(
+        {
+            "capture_id": F.col("capture_id"),
+            "category": F.col("category"),
+            "digest": F.col("record_digest"),
+            "disposition": F.lit(DISPOSITION),
+        }
+    )
+    core = digested.agg(
         F.sum(accepted.cast("bigint")).alias("n_included"),
         F.sum((~accepted).cast("bigint")).alias("n_category_excluded"),
-        *X.set_digest(F.col("d"), "i", when=accepted),
-        *X.set_digest(F.col("excluded"), "c", when=~accepted),
+        *X.set_digest(F.col("record_digest"), "i", when=accepted),
+        *X.set_digest(excluded, "c", when=~accepted),
     )
     replayed = replay_exclusions.agg(
         F.count(F.lit(1)).alias("n_replay_excluded"),
@@ -121,16 +125,19 @@ class WrittenSnapshot:
 def write_snapshot(
     spark: SparkSession,
     root: str,
-    manifest: DataFrame,
+    summary: DataFrame,
     records: DataFrame,
-    exclusions: DataFrame,
+    replay_exclusions: DataFrame,
 ) -> WrittenSnapshot:
     """Write once under ``dataset_identity=...``.  The manifest goes last and is the commit mark.
 
-    An identity that is already committed is left alone after its manifest is compared; a folder
-    without a manifest is an interrupted write and is written again in full.  Row files are rewritten
-    whole, so a reader that waits for the manifest never sees a part.
+    The records are computed once and kept in the shared folder while their identity is derived.  An
+    identity that is already committed is left alone after its manifest is compared; a folder without
+    a manifest is an interrupted write and is written again in full, so no reader that waits for the
+    manifest sees a part.
     """
+    kept = materialize(with_digest(records))
+    manifest = dataset_manifest(summary, kept, replay_exclusions)
     core = manifest.first().asDict()
     path = f"{root.rstrip('/')}/dataset_identity={core['dataset_identity']}"
     stored = read_manifest(spark, path)
@@ -138,11 +145,10 @@ def write_snapshot(
         if stored != core:
             raise S.ContractError("INVARIANT_CONFLICT", "one identity, two manifests")
         return WrittenSnapshot(core["dataset_identity"], path, created=False)
-    rows = admit_records(records).withColumn("record_digest", record_digest())
-    rows.withColumn("received_date", X.received_date(F.col("received_ns"))).write.mode(
+    admit_records(kept).withColumn("received_date", X.received_date(F.col("received_ns"))).write.mode(
         "overwrite"
     ).partitionBy("received_date").parquet(f"{path}/records")
-    exclusions.write.mode("overwrite").parquet(f"{path}/exclusions")
+    exclusion_provenance(kept, replay_exclusions).write.mode("overwrite").parquet(f"{path}/exclusions")
     spark.createDataFrame([core], manifest.schema).coalesce(1).write.mode("overwrite").parquet(
         f"{path}/manifest"
     )

@@ -546,8 +546,17 @@ def replay_many(requests: DataFrame, candidates: DataFrame, salts: int = 8) -> D
     return out
 
 
-def replay_many_status(requests: DataFrame, candidates: DataFrame, records: DataFrame) -> DataFrame:
-    """``ok`` or ``UNSUPPORTED_EVENT_TIME`` per request.
+def fold_members(records: DataFrame) -> DataFrame:
+    """Per request: how many rows it selects, how many lack event time, and their set digest."""
+    return records.groupBy("request_id", "ordering").agg(
+        F.count(F.lit(1)).alias("n_records"),
+        F.count(F.when(F.col("provider_ns").isNull(), 1)).alias("n_undated"),
+        *X.set_digest(F.col("capture_id")),
+    )
+
+
+def replay_many_status(requests: DataFrame, candidates: DataFrame, members: DataFrame) -> DataFrame:
+    """``ok`` or ``UNSUPPORTED_EVENT_TIME`` per request; ``members`` comes from ``fold_members``.
 
     On the event axis any qualified row without event time refuses the request.  Such rows are folded
     to the earliest qualifying time per (asset, channel) before they meet the requests.
@@ -563,7 +572,7 @@ def replay_many_status(requests: DataFrame, candidates: DataFrame, records: Data
         .where(_passes_filters() & (F.col("earliest") <= F.col("cutoff_ns")))
         .select("request_id")
     )
-    unordered = records.where("ordering = 'strict_event' AND provider_ns IS NULL").select("request_id")
+    unordered = members.where("ordering = 'strict_event' AND n_undated > 0").select("request_id")
     bad = refused.unionByName(unordered).distinct().withColumn("code", F.lit("UNSUPPORTED_EVENT_TIME"))
     return requests.join(bad, "request_id", "left").select(
         "request_id", F.coalesce("code", F.lit("ok")).alias("outcome")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from factlake import schemas as S
 from factlake.functions import exprs as X
 from factlake.operators.skew import duplicate_keys, one_row_per_key
+from factlake.session import materialize
 from factlake.sources import tables
 
 FACT_KEY = ("received_ns", "capture_id")
@@ -164,15 +165,18 @@ def append_decisions(spark: SparkSession, path: str, candidates: DataFrame) -> A
     """Append, read back, and require exactly the candidate rows to be stored."""
     columns = list(S.DECISION_COLUMNS)
     existing = read_decisions(spark, path)
-    plan = plan_append_decisions(candidates, existing)
+    plan = materialize(plan_append_decisions(candidates, existing))
     if not plan.where("outcome = 'conflict'").isEmpty():
         raise S.ContractError("AUTHORITY_CONFLICT", "a stored decision differs from its candidate")
     plan.where("outcome = 'new'").select(*columns).write.mode("append").parquet(path)
     stored = read_decisions(spark, path)
-    verification = plan_append_decisions(candidates, stored)
-    if not verification.where("outcome != 'same'").isEmpty():
+    verification = plan_append_decisions(plan.select(*columns), stored)
+    counts = verification.agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("outcome") != "same", 1)).alias("differ")
+    ).first()
+    if counts["differ"]:
         raise S.ContractError("SOURCE_UNAVAILABLE", "appended decisions did not read back exactly")
-    return AppendReceipt(verification.count())
+    return AppendReceipt(counts["n"])
 
 
 def read_decisions(spark: SparkSession, path: str) -> DataFrame:
@@ -221,12 +225,12 @@ def plan_append_availability(candidates: DataFrame, existing: DataFrame) -> Data
 
 
 def append_availability(spark: SparkSession, path: str, candidates: DataFrame) -> AppendReceipt:
-    plan = plan_append_availability(candidates, read_markers(spark, path))
+    plan = materialize(plan_append_availability(candidates, read_markers(spark, path)))
     if not plan.where("outcome = 'conflict'").isEmpty():
         raise S.ContractError("INVARIANT_CONFLICT", "immutable availability conflict")
     new = plan.where("outcome = 'new'").select(*S.MARKER_COLUMNS)
     new.write.mode("append").parquet(path)
-    return AppendReceipt(candidates.count())
+    return AppendReceipt(plan.count())
 
 
 def read_markers(spark: SparkSession, path: str) -> DataFrame:

@@ -15,12 +15,57 @@ from factlake.session import materialize
 
 @dataclass(frozen=True)
 class Stages:
-    """What one pass of the recorder produces, before or after it is stored."""
+    """What one pass of the recorder produces.  Each part is computed once and kept."""
 
-    facts: DataFrame
+    sent: DataFrame
+    proof: DataFrame
     decisions: DataFrame
-    markers: DataFrame
-    progress: DataFrame
+    recorded: DataFrame
+
+    def progress(self, facts: DataFrame) -> DataFrame:
+        return progress(facts, self.proof, self.decisions, self.recorded)
+
+
+def gated(facts: DataFrame, outcomes: DataFrame | None) -> DataFrame:
+    """Facts whose write outcome lets them go on to read-back."""
+    if outcomes is None:
+        return facts
+    passing = A.persistence_gate(outcomes).where("gate = 'continue'").select("capture_id")
+    return facts.join(passing, "capture_id", "left_semi")
+
+
+def decide_proven(
+    sent: DataFrame, proof: DataFrame, stored_facts: DataFrame, stored_decisions: DataFrame
+) -> DataFrame:
+    """Decisions of the facts that were read back exactly; nothing goes past an unproven fact."""
+    ids = proof.where("outcome = 'proven'").select("capture_id")
+    return truth.decide_facts(
+        sent.join(ids, "capture_id", "left_semi"), stored_decisions, stored_facts
+    )
+
+
+def mark_proven(
+    sent: DataFrame,
+    proof: DataFrame,
+    decisions: DataFrame,
+    stored_markers: DataFrame,
+    clock: Column,
+    floor: int | None,
+    authorities: S.AuthorityIdentities = A.DEFAULT_AUTHORITIES,
+) -> DataFrame:
+    """Evidence markers of proven facts and authority markers of their decisions."""
+    ids = proof.where("outcome = 'proven'").select("capture_id")
+    clocked = sent.select("capture_id", clock.cast("bigint").alias("clock_ns")).join(
+        ids, "capture_id", "left_semi"
+    )
+    evidence = A.evidence_candidates(clocked, F.col("clock_ns"), authorities.evidence)
+    decided = decisions.select(F.col("subject_capture_id").alias("capture_id"), "policy_version").join(
+        clocked, "capture_id"
+    )
+    authority = A.authority_candidates(
+        decided.withColumnRenamed("capture_id", "subject_capture_id"), F.col("clock_ns"), authorities.decision
+    )
+    return A.record_markers(evidence.unionByName(authority), stored_markers, floor)
 
 
 def plan_recording(
@@ -30,46 +75,55 @@ def plan_recording(
     stored_markers: DataFrame,
     clock: Column,
     floor: int | None = None,
-    gate: DataFrame | None = None,
-    authorities: S.AuthorityIdentities = A.DEFAULT_AUTHORITIES,
+    outcomes: DataFrame | None = None,
 ) -> Stages:
-    """One pass over captured facts.  Nothing goes past a fact that is not proven by read-back.
+    """One pass over captured facts, without storing it.
 
     ``stored_facts`` is the table as it is read back after the append.  ``clock`` is the candidate
-    time of a row (a column of the facts).  A fact whose marker fails keeps its decision.
+    time of a row.  A fact whose marker fails keeps its decision.
     """
-    sent = facts
-    if gate is not None:
-        passing = A.persistence_gate(gate).where("gate = 'continue'").select("capture_id")
-        sent = facts.join(passing, "capture_id", "left_semi")
-    outcome = A.prove_evidence(sent, stored_facts)
-    proven_ids = outcome.where("outcome = 'proven'").select("capture_id")
-    proven = sent.join(proven_ids, "capture_id", "left_semi")
-    decisions = truth.decide_facts(proven, stored_decisions, stored_facts)
-    clocked = proven.select("capture_id", clock.cast("bigint").alias("clock_ns"))
-    evidence = A.evidence_candidates(clocked, F.col("clock_ns"), authorities.evidence)
-    decided = decisions.join(
-        clocked.withColumnRenamed("capture_id", "subject_capture_id"), "subject_capture_id"
-    )
-    authority = A.authority_candidates(decided, F.col("clock_ns"), authorities.decision)
-    recorded = A.record_markers(evidence.unionByName(authority), stored_markers, floor)
-    return Stages(sent, decisions, recorded, progress(facts, outcome, decisions, recorded))
+    sent = gated(facts, outcomes)
+    proof = materialize(A.prove_evidence(sent, stored_facts))
+    decisions = materialize(decide_proven(sent, proof, stored_facts, stored_decisions))
+    recorded = materialize(mark_proven(sent, proof, decisions, stored_markers, clock, floor))
+    return Stages(sent, proof, decisions, recorded)
 
 
 def progress(
     facts: DataFrame, proof: DataFrame, decisions: DataFrame, recorded: DataFrame
 ) -> DataFrame:
-    """One row per captured fact: how far it came."""
-    times = recorded.groupBy("capture_id").agg(
-        F.max(F.when(F.col("kind") == "evidence", F.col("available_at_ns"))).alias("evidence_at"),
-        F.max(F.when(F.col("kind") == "authority", F.col("available_at_ns"))).alias("authority_at"),
+    """One row per captured fact: how far it came.
+
+    The parts are stacked and folded by capture id, so one shuffle with map-side combining replaces
+    three joins.
+    """
+    text, number = F.lit(None).cast("string"), F.lit(None).cast("bigint")
+
+    def part(df: DataFrame, capture_id: str, **given: Column) -> DataFrame:
+        return df.select(
+            F.col(capture_id).alias("capture_id"),
+            given.get("outcome", text).alias("outcome"),
+            given.get("category", text).alias("category"),
+            given.get("evidence_at", number).alias("evidence_at"),
+            given.get("authority_at", number).alias("authority_at"),
+            given.get("captured", F.lit(0)).alias("captured"),
+        )
+
+    evidence = F.col("kind") == "evidence"
+    at = F.col("available_at_ns")
+    stacked = (
+        part(facts, "capture_id", captured=F.lit(1))
+        .unionByName(part(proof, "capture_id", outcome=F.col("outcome")))
+        .unionByName(part(decisions, "subject_capture_id", category=F.col("category")))
+        .unionByName(
+            part(recorded, "capture_id", evidence_at=F.when(evidence, at), authority_at=F.when(~evidence, at))
+        )
     )
-    decided = decisions.select(F.col("subject_capture_id").alias("capture_id"), "category")
+    names = ("outcome", "category", "evidence_at", "authority_at", "captured")
     return (
-        facts.select("capture_id")
-        .join(proof, "capture_id", "left")
-        .join(decided, "capture_id", "left")
-        .join(times, "capture_id", "left")
+        stacked.groupBy("capture_id")
+        .agg(*[F.max(n).alias(n) for n in names])
+        .where("captured = 1")
         .select(
             "capture_id",
             F.coalesce("outcome", F.lit("not_sent")).alias("evidence_proof"),
@@ -102,23 +156,24 @@ def record_captures(
 
 
 def recover_facts(spark: SparkSession, paths: LakePaths, facts: DataFrame) -> DataFrame:
-    """Re-prove facts without appending them again; a second run changes nothing."""
+    """Re-prove facts without appending them again; a second run changes nothing.
+
+    Decisions are stored before their markers are issued, so a stop in between leaves facts that the
+    next run finishes.
+    """
     stored = spark.read.parquet(paths.facts).select(*S.FACT_COLUMNS)
-    decisions = store.read_decisions(spark, paths.decisions)
     markers = store.read_markers(spark, paths.markers)
     floor = A.read_committed_floor(markers)
-    proof = A.prove_evidence(facts, stored)
+    proof = materialize(A.prove_evidence(facts, stored))
     if not proof.where("outcome IN ('mismatch', 'not_unique')").isEmpty():
         raise S.ContractError("INVARIANT_CONFLICT", "read-back differs from the captured fact")
-    planned = plan_recording(facts, stored, decisions, markers, F.col("received_ns"), floor)
-    settled = materialize(planned.decisions)
-    store.append_decisions(spark, paths.decisions, settled)
-    again = plan_recording(
-        facts, stored, store.read_decisions(spark, paths.decisions), markers, F.col("received_ns"), floor
+    known = store.read_decisions(spark, paths.decisions)
+    decisions = materialize(decide_proven(facts, proof, stored, known))
+    store.append_decisions(spark, paths.decisions, decisions)
+    recorded = materialize(
+        mark_proven(facts, proof, decisions, markers, F.col("received_ns"), floor)
     )
-    recorded = materialize(again.markers)
     if not recorded.where("outcome = 'conflict'").isEmpty():
         raise S.ContractError("INVARIANT_CONFLICT", "immutable availability conflict")
-    rows = materialize(A.marker_rows(recorded, F.col("available_at_ns")))
-    store.append_availability(spark, paths.markers, rows)
-    return progress(facts, proof, settled, recorded)
+    store.append_availability(spark, paths.markers, A.marker_rows(recorded, F.col("available_at_ns")))
+    return progress(facts, proof, decisions, recorded)

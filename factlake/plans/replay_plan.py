@@ -171,20 +171,20 @@ def many_summaries(lake: Lake, requests: DataFrame) -> DataFrame:
     """``view_summary`` for a whole table of requests; refused requests carry their code."""
     valid = R.canonical_filters(R.validate_requests(requests).where("reject_reason IS NULL"))
     paired = R.pair_candidates(lake.facts, lake.decisions, lake.markers, authorities=lake.authorities)
-    candidates = R.with_filters(paired, lake.facts)
-    records = R.replay_many(valid, candidates)
-    members = records.groupBy("request_id").agg(
-        F.count(F.lit(1)).alias("n_records"), *X.set_digest(F.col("capture_id"))
-    )
+    candidates = materialize(R.with_filters(paired, lake.facts))
+    members = materialize(R.fold_members(R.replay_many(valid, candidates)))
     zero = F.lit(0).cast("decimal(38,0)")
-    joined = R.request_identity(valid).join(members, "request_id", "left")
-    joined = joined.withColumn("n_records", F.coalesce("n_records", F.lit(0).cast("bigint")))
-    for i in range(8):
-        joined = joined.withColumn(f"w{i}", F.coalesce(f"w{i}", zero))
+    joined = R.request_identity(valid).join(members.drop("ordering", "n_undated"), "request_id", "left")
+    joined = joined.withColumns(
+        {
+            "n_records": F.coalesce("n_records", F.lit(0).cast("bigint")),
+            **{f"w{i}": F.coalesce(f"w{i}", zero) for i in range(8)},
+        }
+    )
     return (
         R.bind_snapshot(joined, lake.authorities)
         .join(R.exclusion_counts(valid, candidates), "request_id")
-        .join(R.replay_many_status(valid, candidates, records), "request_id")
+        .join(R.replay_many_status(valid, candidates, members), "request_id")
         .withColumn("ordering_rule_version", F.lit(S.ORDERING_RULE_VERSION))
         .withColumn("completeness", F.lit(S.COMPLETENESS))
     )

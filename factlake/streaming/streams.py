@@ -32,7 +32,11 @@ def stream_append_captures(
     """Continuous sink.  A replayed micro-batch overwrites its own partitions."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        store.append_captures(batch.sparkSession, path, batch, batch_id)
+        kept = batch.persist()  # read for its bounds, for the write and for the receipt
+        try:
+            store.append_captures(batch.sparkSession, path, kept, batch_id)
+        finally:
+            kept.unpersist()
 
     return _start(facts, write, checkpoint, available_now)
 
@@ -55,10 +59,12 @@ def decide_stream(
         spark = batch.sparkSession
         stored = _decisions_before(spark, decisions_path, batch_id)
         known = spark.read.parquet(facts_path).select(*S.FACT_COLUMNS)
-        fresh = truth.decide_incremental(truth.undecided(batch, stored), stored, known)
+        kept = batch.persist()
+        fresh = truth.decide_incremental(truth.undecided(kept, stored), stored, known)
         fresh.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy("batch_id").parquet(decisions_path)
+        kept.unpersist()
 
     return _start(facts, decide, checkpoint, available_now)
 
