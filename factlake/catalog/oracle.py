@@ -33,11 +33,11 @@ def jn(col: str) -> str:
 
 
 def set_digest(text: str, cond: str | None = None) -> str:
-    """Eight sums of the 32-bit words of sha256, joined with dots."""
+    """Sixteen sums of the 16-bit words of sha256, joined with dots."""
     filt = f" FILTER (WHERE {cond})" if cond else ""
     words = [
-        f"coalesce(sum(('0x' || substr(sha256({text}), {1 + 8 * i}, 8))::BIGINT){filt}, 0)::VARCHAR"
-        for i in range(8)
+        f"coalesce(sum(('0x' || substr(sha256({text}), {1 + 4 * i}, 4))::BIGINT){filt}, 0)::VARCHAR"
+        for i in range(16)
     ]
     return " || '.' || ".join(words)
 
@@ -485,7 +485,7 @@ def all_sql() -> dict[str, str]:
       '{S.ORDERING_RULE_VERSION}' AS ordering_rule_version, snapshot_identity, '{S.COMPLETENESS}' AS completeness, n AS n_records, n_ev AS n_evidence_missing, n_au AS n_authority_missing FROM summary""")
     put("replay_many", MANY, "SELECT request_id, capture_id, category, received_ns, provider_ns FROM sel")
     snap = snapshot_json("cutoff_ns", "coalesce(assets_json, 'null')", "policy_version", "coalesce(channels_json, 'null')", "coalesce(n_records, 0)",
-                         "coalesce(dig, '0.0.0.0.0.0.0.0')", "ordering", "axis", "end_ns", "start_ns")
+                         "coalesce(dig, '" + ".".join("0" * 16) + "')", "ordering", "axis", "end_ns", "start_ns")
     put("replay_many_summaries", MANY, f""", mem AS (SELECT request_id, count(*) AS n_records, {set_digest("capture_id")} AS dig, count(*) FILTER (WHERE provider_ns IS NULL) AS undated FROM sel GROUP BY request_id),
       cnt AS (SELECT r.request_id,
         count(*) FILTER (WHERE p.evidence_at IS NULL OR (p.authority_at IS NOT NULL AND p.evidence_at > r.cutoff_ns)) AS n_ev,

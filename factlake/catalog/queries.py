@@ -459,7 +459,7 @@ def decide_facts(spark, sf):
     """Decide everything when the first half is already decided: same result as one batch."""
     first, _ = _halves(spark, sf)
     f = fx.facts(spark, sf)
-    return _flat(truth.decide_facts(f, truth.decide_new(first), f))
+    return _flat(truth.decide_facts(f, materialize(truth.decide_new(first)), f))
 
 
 @query
@@ -490,7 +490,8 @@ def check_anchor_invariants(spark, sf):
 def decide_incremental(spark, sf):
     """The later half is stored first; its anchors win over the earlier rows that come afterwards."""
     earlier, later = _halves(spark, sf)
-    return _flat(truth.decide_incremental(earlier, truth.decide_new(later), fx.facts(spark, sf)))
+    stored = materialize(truth.decide_new(later))
+    return _flat(truth.decide_incremental(earlier, stored, fx.facts(spark, sf)))
 
 
 @query
@@ -764,7 +765,7 @@ def detect_drift(spark, sf):
 @query
 def resume_check(spark, sf):
     """One bookmark per fact, spoiled by id, judged against the rebuilt read."""
-    v = replay_as_of(fx.lake(spark, sf), _request(spark, sf), strict=False)
+    v = replay_as_of(fx.lake(spark, sf), _request(spark, sf), strict=True)
     current = v.summary().select("request_identity", "snapshot_identity", "ordering")
     none = F.lit(None).cast("bigint")
     b = fx.facts_with_id(spark, sf).select("event_id", "capture_id", "received_ns")
@@ -782,8 +783,8 @@ def resume_check(spark, sf):
 
 @query
 def keyset_page(spark, sf):
-    """The second page of 500 rows."""
-    v = replay_as_of(fx.lake(spark, sf), _request(spark, sf), strict=False)
+    """The second page of 500 rows of a strict read, whose pairing is kept between the pages."""
+    v = replay_as_of(fx.lake(spark, sf), _request(spark, sf), strict=True)
     last = R.keyset_page(v.keys, "arrival", 500).where("position = 500").first()
     key = (last["received_ns"], last["capture_id"])
     page = R.keyset_page(v.keys, "arrival", 500, key)

@@ -23,30 +23,37 @@ def digest(fields: Mapping[str, Column]) -> Column:
     return F.sha2(canonical_json(fields), 256)
 
 
-def set_digest(
-    text: Column, prefix: str = "w", when: Column | None = None
-) -> list[Column]:
-    """Aggregates that identify a *set* of texts independently of order and partitioning.
-
-    Each text contributes the eight 32-bit words of its SHA-256; the words are added up.  The
-    sums merge like any ``sum``, so the digest of 10^12 rows is one map-side combined aggregate
-    with eight numbers per task, and no group of rows ever meets in one place.
+DIGEST_WORDS = 16
+
+
+def with_words(df: DataFrame, **texts: Column) -> DataFrame:
+    """Adds, per named text, the sixteen 16-bit words of its SHA-256 (null for a null text)."""
+    hashed = df.withColumns({f"__{name}": F.sha2(text, 256) for name, text in texts.items()})
+    words = {
+        f"{name}{i}": F.conv(F.substring(f"__{name}", 1 + 4 * i, 4), 16, 10).cast("bigint")
+        for name in texts
+        for i in range(DIGEST_WORDS)
+    }
+    return hashed.withColumns(words).drop(*[f"__{name}" for name in texts])
+
+
+def set_digest(name: str) -> list[Column]:
+    """Aggregates over the words of ``with_words`` that identify a *set* of texts.
+
+    The words are added up, so the result does not depend on order or partitioning and merges like
+    any ``sum``: the digest of 10^12 rows is one map-side combined hash aggregate with sixteen
+    numbers per task, and no group of rows ever meets in one place.  Sums stay exact up to 2^47 rows
+    and an overflow raises.
     """
-    h = F.sha2(text, 256)
-    words = []
-    for i in range(8):
-        word = F.conv(F.substring(h, 1 + 8 * i, 8), 16, 10).cast("decimal(20,0)")
-        if when is not None:
-            word = F.when(when, word)
-        words.append(
-            F.coalesce(F.sum(word), F.lit(0).cast("decimal(30,0)")).cast("decimal(38,0)").alias(f"{prefix}{i}")
-        )
-    return words
-
-
-def set_digest_text(prefix: str = "w") -> Column:
-    """The eight sums as one text, ready to be bound into an identity."""
-    return F.concat_ws(".", *[F.col(f"{prefix}{i}").cast("string") for i in range(8)])
+    zero = F.lit(0).cast("bigint")
+    return [
+        F.coalesce(F.sum(f"{name}{i}"), zero).alias(f"{name}{i}") for i in range(DIGEST_WORDS)
+    ]
+
+
+def set_digest_text(name: str = "w") -> Column:
+    """The sums as one text, ready to be bound into an identity."""
+    return F.concat_ws(".", *[F.col(f"{name}{i}").cast("string") for i in range(DIGEST_WORDS)])
 
 
 def with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:

@@ -68,22 +68,21 @@ def dataset_manifest(summary: DataFrame, records: DataFrame, replay_exclusions:
             "disposition": F.lit(DISPOSITION),
         }
     )
-    core = digested.agg(
-        F.sum(accepted.cast("bigint")).alias("n_included"),
-        F.sum((~accepted).cast("bigint")).alias("n_category_excluded"),
-        *X.set_digest(F.col("record_digest"), "i", when=accepted),
-        *X.set_digest(excluded, "c", when=~accepted),
+    core = X.with_words(
+        digested.select("category", F.when(accepted, F.col("record_digest")).alias("d"), F.when(~accepted, excluded).alias("x")),
+        i=F.col("d"),
+        c=F.col("x"),
+    ).agg(
+        F.count_if(accepted).alias("n_included"),
+        F.count_if(~accepted).alias("n_category_excluded"),
+        *X.set_digest("i"),
+        *X.set_digest("c"),
     )
-    replayed = replay_exclusions.agg(
-        F.count(F.lit(1)).alias("n_replay_excluded"),
-        *X.set_digest(X.canonical_json({"capture_id": F.col("capture_id"), "code": F.col("code")}), "r"),
-    )
-    zero = F.lit(0).cast("bigint")
-    one_row = (
-        X.with_one_row(X.with_one_row(summary, core), replayed)
-        .withColumn("n_included", F.coalesce("n_included", zero))
-        .withColumn("n_category_excluded", F.coalesce("n_category_excluded", zero))
+    entry = X.canonical_json({"capture_id": F.col("capture_id"), "code": F.col("code")})
+    replayed = X.with_words(replay_exclusions, r=entry).agg(
+        F.count(F.lit(1)).alias("n_replay_excluded"), *X.set_digest("r")
     )
+    one_row = X.with_one_row(X.with_one_row(summary, core), replayed)
     counts = ("n_included", "n_category_excluded", "n_replay_excluded")
     identity = X.digest(
         {

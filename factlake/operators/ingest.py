@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from factlake import schemas as S
 from factlake.functions import exprs as X
-from factlake.operators.skew import lookup_unique
+from factlake.operators.skew import lookup_small
 
 # Only these fields of a message are opened; the rest stays opaque text.
 MESSAGE_SCHEMA_DDL = (
@@ -62,20 +62,21 @@ def bind_market_identity(messages: DataFrame, identities: DataFrame) -> DataFram
     """Attach the verified identity each message was received under.
 
     ``identities(ticker, event_ticker, asset)`` has one row per ticker.  A single ticker can carry a
-    large share of the feed, so this is a salted lookup rather than a plain join.
+    large share of the feed.  The identities are counted first: a usual set (four windows an hour and
+    series) is broadcast and the messages stay where they are; a larger one goes through a salted
+    lookup.
     """
     known = identities.select(
         F.col("ticker").alias("binding_ticker"),
         F.col("event_ticker").alias("bound_event_ticker"),
         F.col("asset").alias("bound_asset"),
     )
-    return lookup_unique(messages, known, ["binding_ticker"], ["source", "partition", "offset"])
+    return lookup_small(messages, known, ["binding_ticker"], ["source", "partition", "offset"])
 
 
 def classify_messages(raw: DataFrame, identities: DataFrame, reference: DataFrame) -> DataFrame:
     """Every message with its fact columns and ``reject_class`` (null when it becomes a fact)."""
-    parsed = parse_messages(raw)
-    bound = bind_market_identity(parsed, identities)
+    bound = parse_messages(bind_market_identity(raw, identities))
     kind, msg = F.col("m.type"), F.col("m.msg")
     source = F.when(kind == "cfbenchmarks_value", "cf_benchmarks").when(kind == "pyth_value", "pyth_value")
     provider_id = F.when(kind == "cfbenchmarks_value", msg["index_id"]).when(

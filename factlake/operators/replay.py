@@ -395,9 +395,11 @@ def snapshot_identity(
 ) -> DataFrame:
     """``request`` (one row) with ``n_records`` and ``snapshot_identity`` of its selected rows.
 
-    Membership enters as count plus set digest: one map-side combined aggregate of eight sums.
+    Membership enters as count plus set digest: one map-side combined aggregate of a few sums.
     """
-    members = selected.agg(F.count(F.lit(1)).alias("n_records"), *X.set_digest(F.col("capture_id")))
+    members = X.with_words(selected.select("capture_id"), w=F.col("capture_id")).agg(
+        F.count(F.lit(1)).alias("n_records"), *X.set_digest("w")
+    )
     return bind_snapshot(X.with_one_row(request, members), authorities)
 
 
@@ -414,7 +416,7 @@ def bind_snapshot(
         "membership_digest": X.set_digest_text(),
         "snapshot_scheme_version": F.lit(SNAPSHOT_SCHEME),
     }
-    words = [f"w{i}" for i in range(8)]
+    words = [f"w{i}" for i in range(X.DIGEST_WORDS)]
     return requests.withColumn("snapshot_identity", X.digest(fields)).drop(*words)
 
 
@@ -548,10 +550,14 @@ def replay_many(requests: DataFrame, candidates: DataFrame, salts: int = 8) -> D
 
 def fold_members(records: DataFrame) -> DataFrame:
     """Per request: how many rows it selects, how many lack event time, and their set digest."""
-    return records.groupBy("request_id", "ordering").agg(
-        F.count(F.lit(1)).alias("n_records"),
-        F.count(F.when(F.col("provider_ns").isNull(), 1)).alias("n_undated"),
-        *X.set_digest(F.col("capture_id")),
+    return (
+        X.with_words(records, w=F.col("capture_id"))
+        .groupBy("request_id", "ordering")
+        .agg(
+            F.count(F.lit(1)).alias("n_records"),
+            F.count(F.when(F.col("provider_ns").isNull(), 1)).alias("n_undated"),
+            *X.set_digest("w"),
+        )
     )
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SALTS = 256
+BROADCAST_ROWS = 200_000  # narrow dimension rows: some tens of MB at most
 _SALT = "__salt"
 
 
@@ -72,6 +73,20 @@ def lookup_unique(
     )
 
 
+def lookup_small(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    row_id: Sequence[str],
+    max_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Like ``lookup_unique``, for a side that is usually small: its rows are counted first, and only
+    up to ``max_rows`` are they broadcast; beyond that the salted lookup takes over."""
+    if right.limit(max_rows + 1).count() <= max_rows:
+        return left.join(F.broadcast(right), list(keys), "left")
+    return lookup_unique(left, right, keys, row_id)
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their count (map-side combined)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")

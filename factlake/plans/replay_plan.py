@@ -151,13 +151,15 @@ def view_summary(view: ReplayView) -> DataFrame:
     member = code.isNull() & (t >= F.lit(r.start_ns)) & (t < F.lit(r.end_ns))
 
     def how_many(condition: Column) -> Column:
-        return F.count(F.when(condition, F.lit(1)))
-
-    folded = view.scoped.agg(
-        how_many(member).alias("n_records"),
-        how_many(code == S.EVIDENCE_MISSING).alias("n_evidence_missing"),
-        how_many(code == S.AUTHORITY_MISSING).alias("n_authority_missing"),
-        *X.set_digest(F.col("capture_id"), when=member),
+        return F.count_if(F.coalesce(condition, F.lit(False)))
+
+    judged = view.scoped.select("capture_id", code.alias("code"), member.alias("member"))
+    words = X.with_words(judged, w=F.when(F.col("member"), F.col("capture_id")))
+    folded = words.agg(
+        how_many(F.col("member")).alias("n_records"),
+        how_many(F.col("code") == S.EVIDENCE_MISSING).alias("n_evidence_missing"),
+        how_many(F.col("code") == S.AUTHORITY_MISSING).alias("n_authority_missing"),
+        *X.set_digest("w"),
     )
     request = R.request_identity(R.request_row(view.lake.facts, r))
     return (
@@ -173,12 +175,12 @@ def many_summaries(lake: Lake, requests: DataFrame) -> DataFrame:
     paired = R.pair_candidates(lake.facts, lake.decisions, lake.markers, authorities=lake.authorities)
     candidates = materialize(R.with_filters(paired, lake.facts))
     members = materialize(R.fold_members(R.replay_many(valid, candidates)))
-    zero = F.lit(0).cast("decimal(38,0)")
+    zero = F.lit(0).cast("bigint")
     joined = R.request_identity(valid).join(members.drop("ordering", "n_undated"), "request_id", "left")
     joined = joined.withColumns(
         {
-            "n_records": F.coalesce("n_records", F.lit(0).cast("bigint")),
-            **{f"w{i}": F.coalesce(f"w{i}", zero) for i in range(8)},
+            "n_records": F.coalesce("n_records", zero),
+            **{f"w{i}": F.coalesce(f"w{i}", zero) for i in range(X.DIGEST_WORDS)},
         }
     )
     return (
