@@ -39,7 +39,13 @@ def events_of(given: DataFrame) -> DataFrame:
 
 @lru_cache(maxsize=16)
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_of(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    """The given table; when it arrives in fewer splits than there are cores (one small file), its
+    rows are spread first, because every derived payload is built and parsed from here on."""
+    given = events_of(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    cores = spark.sparkContext.defaultParallelism
+    if given.rdd.getNumPartitions() * 2 <= cores:
+        given = given.repartition(cores, "event_id")
+    return given
 
 
 @lru_cache(maxsize=16)

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+LOCAL_FOLDER_CONF = "factlake.local.folder"
 
 
 def build_session(app: str = "factlake", master: str | None = None, **conf: str) -> SparkSession:
@@ -30,10 +31,10 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``; a local one only when unset."""
     named = spark.conf.get(CHECKPOINT_CONF, None)
     if not named:
-        named = spark.sparkContext.getCheckpointDir()
+        named = spark.sparkContext.getCheckpointDir() or spark.conf.get(LOCAL_FOLDER_CONF, None)
     if not named:
         named = tempfile.mkdtemp(prefix="factlake-")
-        spark.sparkContext.setCheckpointDir(named)
+        spark.conf.set(LOCAL_FOLDER_CONF, named)
     return named
 
 
@@ -42,10 +43,13 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the shared folder, so that a result used twice is computed once and
-    survives the loss of executors."""
+    """Write a table in the shared folder and read it back.
+
+    A result used several times is then computed once, survives the loss of executors, and later
+    plans see a short lineage, pruned columns and real sizes.  The folder is left to the cluster's
+    own retention, like a checkpoint.
+    """
     spark = df.sparkSession
-    folder = shared_folder(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = new_folder(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
