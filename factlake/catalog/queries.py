@@ -496,12 +496,11 @@ def decide_incremental(spark, sf):
 
 @query
 def decide_stream(spark, sf):
-    """Facts appended, then decided by a stream; run twice over one checkpoint."""
+    """Facts decided by a stream; run twice over one checkpoint."""
     base = new_folder(spark, "decide")
     stream = _fact_stream(spark, sf)
-    streams.stream_append_captures(stream, f"{base}/facts", f"{base}/c1").awaitTermination()
     for _ in range(2):
-        streams.decide_stream(stream, f"{base}/facts", f"{base}/decisions", f"{base}/c2").awaitTermination()
+        streams.decide_stream(stream, f"{base}/decisions", f"{base}/checkpoint").awaitTermination()
     return _flat(store.read_decisions(spark, f"{base}/decisions"))
 
 
@@ -792,8 +791,8 @@ def keyset_page(spark, sf):
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
-    """Adjudicate every fact, then read the lake as of the middle of the data."""
-    v = replay_as_of(fx.decided_lake(spark, sf), _request(spark, sf), strict=False)
+    """Adjudicate every fact, then read the lake strictly as of the middle of the data."""
+    v = replay_as_of(fx.decided_lake(spark, sf), _request(spark, sf), strict=True)
     return v.ordered_records().select(
         "capture_id",
         "asset",

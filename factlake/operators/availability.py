@@ -19,17 +19,29 @@ def row_digest(columns: list[str] | tuple[str, ...]) -> Column:
     return X.digest({c: F.col(c) for c in columns})
 
 
-def _prove(sent: DataFrame, stored: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
+def _prove(
+    sent: DataFrame, stored: DataFrame, comparable: DataFrame, key: list[str], columns: list[str]
+) -> DataFrame:
     """Outcome per sent key: absent, proven, mismatch or not_unique.
 
-    Rows are compared by the digest of every column, so payloads never cross the network, and the
-    stored side is folded per key before it does.
+    How often a key is stored is counted over the whole table, reading only the key.  Rows are
+    compared by the digest of every column, and only over ``comparable``, the part of the table that
+    can hold an equal row; a key stored elsewhere is a mismatch by itself.  Payloads never cross the
+    network, and both stored sides are cut to the sent keys and folded before they do.
     """
     ours = sent.select(*key, row_digest(columns).alias("sent_digest"))
-    theirs = (
-        stored.select(*key, row_digest(columns).alias("d"))
+    asked = sent.select(*key)
+    counts = (
+        stored.select(*key)
+        .join(asked, key, "left_semi")
+        .groupBy(*key)
+        .agg(F.count(F.lit(1)).alias("n_stored"))
+    )
+    digests = (
+        comparable.select(*key, row_digest(columns).alias("d"))
+        .join(asked, key, "left_semi")
         .groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("n_stored"), F.min("d").alias("stored_digest"))
+        .agg(F.min("d").alias("stored_digest"))
     )
     n = F.coalesce(F.col("n_stored"), F.lit(0).cast("bigint"))
     outcome = (
@@ -38,15 +50,26 @@ def _prove(sent: DataFrame, stored: DataFrame, key: list[str], columns: list[str
         .when(F.col("sent_digest") == F.col("stored_digest"), "proven")
         .otherwise("mismatch")
     )
-    return ours.join(theirs, key, "left").select(*key, outcome.alias("outcome"))
+    return (
+        ours.join(counts, key, "left").join(digests, key, "left").select(*key, outcome.alias("outcome"))
+    )
 
 
 def prove_evidence(sent: DataFrame, stored: DataFrame) -> DataFrame:
-    return _prove(sent, stored, ["capture_id"], list(S.FACT_COLUMNS))
+    """A fact is proven by reading back a row equal in every column.
+
+    When the stored table carries its day partition, payloads are read only for the days of the batch.
+    """
+    comparable = stored
+    if "received_date" in stored.columns:
+        span = sent.agg(F.min("received_ns"), F.max("received_ns")).first()
+        if span[0] is not None:
+            comparable = tables.in_received_range(stored, span[0], span[1], closed=True)
+    return _prove(sent, stored, comparable, ["capture_id"], list(S.FACT_COLUMNS))
 
 
 def prove_authority(decided: DataFrame, stored: DataFrame) -> DataFrame:
-    return _prove(decided, stored, list(store.DECISION_KEY), list(S.DECISION_COLUMNS))
+    return _prove(decided, stored, stored, list(store.DECISION_KEY), list(S.DECISION_COLUMNS))
 
 
 def evidence_candidates(ids: DataFrame, candidate_ns: Column, authority: str) -> DataFrame:

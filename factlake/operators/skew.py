@@ -82,11 +82,25 @@ def lookup_small(
 ) -> DataFrame:
     """Like ``lookup_unique``, for a side that is usually small: its rows are counted first, and only
     up to ``max_rows`` are they broadcast; beyond that the salted lookup takes over."""
-    if right.limit(max_rows + 1).count() <= max_rows:
+    if right.count() <= max_rows:
         return left.join(F.broadcast(right), list(keys), "left")
     return lookup_unique(left, right, keys, row_id)
 
 
+def keep_matching(big: DataFrame, keys_of: DataFrame, keys: Sequence[str], few: bool) -> DataFrame:
+    """Rows of a large table whose key occurs in a batch.
+
+    ``few`` says that the batch was counted and is small; its keys are then broadcast and the large
+    table is filtered where it lies.  Otherwise both sides are shuffled.
+    """
+    wanted = keys_of.select(*keys).distinct()
+    return big.join(F.broadcast(wanted) if few else wanted, list(keys), "left_semi")
+
+
+def is_few(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    return df.count() <= max_rows
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their count (map-side combined)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from factlake import schemas as S
 from factlake.functions import exprs as X
 from factlake.functions.trades import open_trades
-from factlake.operators.skew import duplicate_keys, first_per_key
+from factlake.operators.skew import duplicate_keys, first_per_key, keep_matching
 
 NARROW = ("capture_id", "received_ns", "provider", "source_id", "message_type", "schema_version", "payload")
 
@@ -100,11 +100,12 @@ def adjudicate_trades(facts: DataFrame) -> DataFrame:
     return _decisions(anchored)
 
 
-def undecided(facts: DataFrame, existing: DataFrame) -> DataFrame:
+def undecided(facts: DataFrame, existing: DataFrame, few: bool = False) -> DataFrame:
+    """Facts without a decision.  The stored side is first cut down to the subjects of the batch."""
     done = existing.where(F.col("policy_version") == S.TRUTH_POLICY).select(
         F.col("subject_capture_id").alias("capture_id")
     )
-    return facts.join(done, "capture_id", "left_anti")
+    return facts.join(keep_matching(done, facts, ["capture_id"], few), "capture_id", "left_anti")
 
 
 def unsupported_facts(facts: DataFrame) -> DataFrame:
@@ -137,28 +138,39 @@ def find_accepted_anchor(decisions: DataFrame, facts: DataFrame) -> DataFrame:
     return accepted.join(facts.select(*NARROW), "capture_id", "left")
 
 
-def stored_anchors(decisions: DataFrame, facts: DataFrame, wanted: DataFrame) -> DataFrame:
+def stored_anchors(
+    decisions: DataFrame, facts: DataFrame, wanted: DataFrame, few: bool = False
+) -> DataFrame:
     """Stored anchors of the wanted identities, in the shape of ``comparable_trades``.
 
     Restricting to the batch's identities first keeps the payload read to what the batch needs; an
     invalid trade has no identity that a decision could carry.
     """
-    ids = (
-        decisions.where("category = 'accepted' AND event IS NOT NULL")
-        .select(F.col("subject_capture_id").alias("capture_id"), "event.*")
-        .join(wanted.select(*S.IDENTITY_COLUMNS).distinct(), list(S.IDENTITY_COLUMNS), "left_semi")
-        .select("capture_id")
+    accepted = decisions.where("category = 'accepted' AND event IS NOT NULL").select(
+        F.col("subject_capture_id").alias("capture_id"), "event.*"
     )
-    return comparable_trades(facts.join(ids, "capture_id", "left_semi"))
+    ids = keep_matching(accepted, wanted, S.IDENTITY_COLUMNS, few)
+    return comparable_trades(keep_matching(facts, ids, ["capture_id"], few))
+
 
+def decide_incremental(
+    new: DataFrame,
+    decisions: DataFrame,
+    stored_facts: DataFrame,
+    anchors: DataFrame | None = None,
+    few: bool = False,
+) -> DataFrame:
+    """Decisions for a new batch; a stored anchor wins over any new row, even an earlier one.
 
-def decide_incremental(new: DataFrame, decisions: DataFrame, stored_facts: DataFrame) -> DataFrame:
-    """Decisions for a new batch; a stored anchor wins over any new row, even an earlier one."""
+    ``anchors`` may give the stored anchors in comparable form (see ``anchors_of``); they are then
+    not looked up in the decision and fact tables.
+    """
     trades = comparable_trades(new)
-    anchors = stored_anchors(decisions, stored_facts, trades)
-    both = anchors.withColumn("is_new", F.lit(0)).unionByName(
-        trades.withColumn("is_new", F.lit(1))
-    )
+    if anchors is None:
+        anchors = stored_anchors(decisions, stored_facts, trades, few)
+    else:
+        anchors = keep_matching(anchors, trades, S.IDENTITY_COLUMNS, few)
+    both = anchors.withColumn("is_new", F.lit(0)).unionByName(trades.withColumn("is_new", F.lit(1)))
     anchored = first_per_key(
         both,
         keys=KEY,
@@ -170,6 +182,14 @@ def decide_incremental(new: DataFrame, decisions: DataFrame, stored_facts: DataF
     return accept_observations(new).unionByName(fresh)
 
 
+def anchors_of(decisions: DataFrame, facts: DataFrame) -> DataFrame:
+    """Comparable form of the anchors among these decisions, for a narrow anchor table."""
+    accepted = decisions.where("category = 'accepted' AND event IS NOT NULL").select(
+        F.col("subject_capture_id").alias("capture_id")
+    )
+    return comparable_trades(facts.join(accepted, "capture_id", "left_semi"))
+
+
 def check_anchor_invariants(decisions: DataFrame, facts: DataFrame) -> DataFrame:
     """One row per failed rule and anchor; an empty report means every anchor is sound."""
     anchors = find_accepted_anchor(decisions, facts)

@@ -11,6 +11,7 @@ from factlake import schemas as S
 from factlake.operators import availability as A
 from factlake.operators import ingest, store, truth
 from factlake.session import materialize
+from factlake.sources import tables
 
 
 @dataclass(frozen=True)
@@ -161,7 +162,7 @@ def recover_facts(spark: SparkSession, paths: LakePaths, facts: DataFrame) -> Da
     Decisions are stored before their markers are issued, so a stop in between leaves facts that the
     next run finishes.
     """
-    stored = spark.read.parquet(paths.facts).select(*S.FACT_COLUMNS)
+    stored = tables.read_facts(spark, paths.facts)
     markers = store.read_markers(spark, paths.markers)
     floor = A.read_committed_floor(markers)
     proof = materialize(A.prove_evidence(facts, stored))

@@ -173,6 +173,18 @@ AVAILABILITY = _struct(
 MARKER_COLUMNS = AVAILABILITY.names
 MARKER_KEY = ("kind", "capture_id", "policy_version")
 
+# Anchors of trade identities in comparable form; derived, and kept beside the decisions by a stream.
+TRADE_ANCHOR = _struct(
+    ("capture_id", _S, False),
+    ("received_ns", _L, False),
+    ("provider", _S, False),
+    ("source_id", _S, False),
+    ("message_type", _S, False),
+    ("trade_id", _S, False),
+    ("fault", _S, False),
+    ("content", _S, False),
+)
+
 RAW_MESSAGE = _struct(
     ("source", _S, False),
     ("partition", _L, False),

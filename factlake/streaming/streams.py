@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from factlake import schemas as S
 from factlake.operators import store, truth
+from factlake.operators.skew import is_few
 
 
 def read_raw_messages(
@@ -43,36 +45,56 @@ def stream_append_captures(
 
 def decide_stream(
     facts: DataFrame,
-    facts_path: str,
     decisions_path: str,
     checkpoint: str,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Continuous adjudication.  Anchors live in the decision table, so duplicates may come
-    arbitrarily late and no state grows in the stream.
+    """Continuous adjudication.  Anchors live in a table, so duplicates may come arbitrarily late and
+    no state grows in the stream.
 
-    The batch's own decision partition is ignored when it decides and overwritten when it writes, so
-    a retried batch reproduces itself.
+    Next to the decisions the stream keeps the anchors in comparable form (identity, order, content
+    digest), so a batch reads neither the fact table nor old payloads.  The batch's own partitions
+    are ignored when it decides and overwritten when it writes, so a retried batch reproduces itself.
     """
+    anchors_path = f"{decisions_path.rstrip('/')}-anchors"
 
     def decide(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        stored = _decisions_before(spark, decisions_path, batch_id)
-        known = spark.read.parquet(facts_path).select(*S.FACT_COLUMNS)
         kept = batch.persist()
-        fresh = truth.decide_incremental(truth.undecided(kept, stored), stored, known)
-        fresh.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("batch_id").parquet(decisions_path)
-        kept.unpersist()
+        try:
+            few = is_few(kept)
+            stored = _before(spark, decisions_path, S.TRUTH_DECISION, batch_id)
+            anchors = _before(spark, anchors_path, S.TRADE_ANCHOR, batch_id)
+            open_facts = truth.undecided(kept, stored, few)
+            fresh = truth.decide_incremental(open_facts, stored, kept, anchors, few)
+            _overwrite(fresh, decisions_path, batch_id)
+            written = _only(spark, decisions_path, S.TRUTH_DECISION, batch_id)
+            _overwrite(truth.anchors_of(written, kept), anchors_path, batch_id)
+        finally:
+            kept.unpersist()
 
     return _start(facts, decide, checkpoint, available_now)
 
 
-def _decisions_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+def _overwrite(rows: DataFrame, path: str, batch_id: int) -> None:
+    rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("batch_id").parquet(path)
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    declared = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
     if not store.path_exists(spark, path):
-        return store.read_decisions(spark, path)
-    return spark.read.parquet(path).where(F.col("batch_id") != batch_id).select(*S.DECISION_COLUMNS)
+        return spark.createDataFrame([], declared)
+    return spark.read.schema(declared).parquet(path)
+
+
+def _before(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
+    return _read(spark, path, schema).where(F.col("batch_id") != batch_id).drop("batch_id")
+
+
+def _only(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
+    return _read(spark, path, schema).where(F.col("batch_id") == batch_id).drop("batch_id")
 
 
 def _start(df: DataFrame, action, checkpoint: str, available_now: bool) -> StreamingQuery:

@@ -120,7 +120,7 @@ def test_streams_survive_a_restart(spark, folder):
     def run():
         stream = spark.readStream.schema(S.CAPTURE_FACT).json(f"{folder}/in")
         streams.stream_append_captures(stream, f"{folder}/facts", f"{folder}/cp1").awaitTermination()
-        streams.decide_stream(stream, f"{folder}/facts", f"{folder}/decisions", f"{folder}/cp2").awaitTermination()
+        streams.decide_stream(stream, f"{folder}/decisions", f"{folder}/cp2").awaitTermination()
 
     run()
     facts(spark, *rows[2:]).write.mode("append").json(f"{folder}/in")
