@@ -12,6 +12,7 @@ from factlake.functions import exprs as X
 from factlake.operators import availability as A
 from factlake.operators import replay as R
 from factlake.session import materialize
+from factlake.sources import tables
 
 
 @dataclass(frozen=True)
@@ -45,13 +46,17 @@ class ReplayView:
         return self.records().orderBy(*R.ORDER_COLUMNS[self.request.ordering])
 
     def page(self, last_key: tuple | None = None, page_size: int | None = None) -> DataFrame:
-        """One page of full records.  The page holds at most ``page_size`` keys -- a bound that the
-        request check enforces -- so the keys are broadcast and payloads are read where they lie."""
+        """One page of full records.
+
+        The page holds at most ``page_size`` keys, a bound the request check enforces.  They are found
+        first; payloads are then read only from the arrival range of the page, and the keys broadcast.
+        """
         size = page_size or self.request.page_size
         if not 0 < size <= R.MAX_PAGE_SIZE:
             raise S.ContractError("INVALID_REQUEST", "page size is outside the bound")
-        page = R.keyset_page(self.keys, self.request.ordering, size, last_key)
-        return widen(self.lake, page, self.request, few=True)
+        page = materialize(R.keyset_page(self.keys, self.request.ordering, size, last_key))
+        span = page.agg(F.min("received_ns"), F.max("received_ns")).first()
+        return widen(self.lake, page, self.request, few=True, received=tuple(span))
 
     def summary(self) -> DataFrame:
         return view_summary(self)
@@ -114,14 +119,23 @@ def references(authorities: S.AuthorityIdentities, policy: str) -> list:
     ]
 
 
-def widen(lake: Lake, keys: DataFrame, request: R.AsOfRequest, few: bool = False) -> DataFrame:
+def widen(
+    lake: Lake,
+    keys: DataFrame,
+    request: R.AsOfRequest,
+    few: bool = False,
+    received: tuple[int | None, int | None] = (None, None),
+) -> DataFrame:
     """Full records of selected keys: payload and decision are joined only here.
 
-    On the arrival axis the window also prunes the fact partitions.
+    On the arrival axis the window also prunes the fact partitions, and so does a known ``received``
+    range of the keys.
     """
     facts = lake.facts
     if request.axis == "arrival_time":
         facts = R.select_arrival_window(facts, request.start_ns, request.end_ns)
+    if received[0] is not None:
+        facts = tables.in_received_range(facts, received[0], received[1], closed=True)
     known = {"capture_id", "category", "received_ns", "provider_ns"}
     facts = facts.select("capture_id", *[c for c in S.FACT_COLUMNS if c not in known])
     decisions = lake.decisions.where(F.col("policy_version") == request.policy_version).select(
