@@ -839,7 +839,7 @@ def replay_many_summaries(spark, sf):
 
 
 def _view(spark, sf) -> ReplayView:
-    return replay_as_of(fx.decided_lake(spark, sf), _request(spark, sf), strict=False)
+    return replay_as_of(fx.decided_lake(spark, sf), _request(spark, sf), strict=True)
 
 
 @query
@@ -890,9 +890,9 @@ def write_snapshot(spark, sf):
 def compare_snapshots(spark, sf):
     """Two datasets of one lake, cut a day apart, with some payloads changed by id."""
     lk, r = fx.decided_lake(spark, sf), _request(spark, sf)
-    before = dataset.admit_records(replay_as_of(lk, r, strict=False).records())
+    before = dataset.admit_records(replay_as_of(lk, r, strict=True).records())
     later = _request(spark, sf, cutoff_ns=r.cutoff_ns + S.NS_PER_DAY)
-    after = dataset.admit_records(replay_as_of(lk, later, strict=False).records())
+    after = dataset.admit_records(replay_as_of(lk, later, strict=True).records())
     touched = F.col("capture_id").endswith("7")
     after = after.where("capture_id NOT LIKE '%55'").withColumn(
         "payload", F.when(touched, F.concat("payload", F.lit(" "))).otherwise(F.col("payload"))

@@ -185,7 +185,9 @@ def view_summary(view: ReplayView) -> DataFrame:
 
 def many_summaries(lake: Lake, requests: DataFrame) -> DataFrame:
     """``view_summary`` for a whole table of requests; refused requests carry their code."""
-    valid = R.canonical_filters(R.validate_requests(requests).where("reject_reason IS NULL"))
+    valid = materialize(
+        R.canonical_filters(R.validate_requests(requests).where("reject_reason IS NULL"))
+    )
     paired = R.pair_candidates(lake.facts, lake.decisions, lake.markers, authorities=lake.authorities)
     candidates = materialize(R.with_filters(paired, lake.facts))
     members = materialize(R.fold_members(R.replay_many(valid, candidates)))
