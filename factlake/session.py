@@ -28,10 +28,16 @@ def build_session(app: str = "factlake", master: str | None = None, **conf: str)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a local one only when unset."""
+    """The folder the cluster names in ``spark.checkpoint.dir``.
+
+    Unset, a local master (tests, bench) gets a temporary folder; a cluster is refused, because its
+    executors would not see a machine-local one.
+    """
     named = spark.conf.get(CHECKPOINT_CONF, None)
     if not named:
         named = spark.sparkContext.getCheckpointDir() or spark.conf.get(LOCAL_FOLDER_CONF, None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that every executor can reach")
     if not named:
         named = tempfile.mkdtemp(prefix="factlake-")
         spark.conf.set(LOCAL_FOLDER_CONF, named)
