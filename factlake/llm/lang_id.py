@@ -1,7 +1,7 @@
 """Language of a text by compression.
 
 Each language has a raw-content Zstandard dictionary of ``dict_bytes`` bytes, cut from a bounded sample of labelled
-texts.  A text is compressed whole, in blocks, with every dictionary; the language with the smallest sum
+texts.  Case does not matter.  A text is compressed whole, in blocks, with every dictionary; the language with the smallest sum
 wins, a tie goes to the language with more labelled rows.  The score is the margin: the share of bytes that the best
 saves against the second.  A text is rejected if it has no letter or its margin is below ``min_margin``.
 
@@ -54,7 +54,7 @@ def fit(labelled: DataFrame, dict_bytes: int = 110_000, sample_rows: int = 400,
         texts.setdefault(r["lang"], []).append((r["k"], r["text"]))
     out = []
     for lang in sorted(counts, key=lambda x: (-counts[x], x)):
-        some = "\n".join(t for _, t in sorted(texts.get(lang, [])))
+        some = "\n".join(t for _, t in sorted(texts.get(lang, []))).lower()
         out.append((lang, some.encode()[:dict_bytes]))
     return LanguageModel(tuple(out), level, block)
 
@@ -75,7 +75,7 @@ def _compressors(model: LanguageModel):
 def classify(model: LanguageModel, text: str | None) -> tuple[str, float]:
     if not text or not model.dictionaries or not any(map(str.isalpha, text)):
         return UNKNOWN, 0.0
-    data = text.encode()
+    data = text.lower().encode()
     blocks = [data[k : k + model.block] for k in range(0, len(data), model.block)]
     sizes = [sum(len(compress(b)) for b in blocks) for _, compress in _compressors(model)]
     best = int(np.argmin(sizes))

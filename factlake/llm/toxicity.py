@@ -33,8 +33,8 @@ from factlake.llm.text import documents
 
 THRESHOLD = 0.3
 REACH = 4
-#: Words beyond this many letters are learned by their beginnings only.
-STEM = 5
+#: Letters of the beginnings of words that are learned beside whole words.
+STEMS = (4, 5, 6)
 
 #: Function words of the grammar, in the languages at hand.
 TARGET = frozenset("you your yours yourself u ur du dich dir dein deine sie ihr tu te toi vous ton ta tes usted tú ti vosotros eres".split())
@@ -71,8 +71,9 @@ def _grammar(model: ToxicityModel):
 
 
 def _weight(word: str, words: dict, stems: dict) -> float:
-    w = words.get(word, 0.0)
-    return w if w or len(word) < STEM else stems.get(word[:STEM], 0.0)
+    if word in words:
+        return words[word]
+    return max((stems.get(word[:n], 0.0) for n in STEMS if len(word) >= n), default=0.0)
 
 
 def clause_score(clause: str, words: dict, stems: dict) -> float:
@@ -141,7 +142,7 @@ def probability(model: ToxicityModel, amount: float) -> float:
     return 1.0 / (1.0 + math.exp(-max(-60.0, min(60.0, model.bias + model.slope * amount))))
 
 
-def fit(labelled: DataFrame, sample_rows: int = 6000, most_words: int = 400, least_docs: int = 8, least_odds: float = 2.5) -> ToxicityModel:
+def fit(labelled: DataFrame, sample_rows: int = 6000, most_words: int = 400, least_docs: int = 8, least_odds: float = 4.8) -> ToxicityModel:
     """Learn from ``text`` and ``toxic`` (0/1) of ``labelled``.
 
     Reaches the driver: two counts, at most ``most_words`` words and as many beginnings, and the evidence of the sample as
@@ -165,7 +166,7 @@ def fit(labelled: DataFrame, sample_rows: int = 6000, most_words: int = 400, lea
                 own = {m[0].replace("’", "'") for m in _WORD.finditer(text.lower())}
                 for w in own:
                     out[w, y, False] = out.get((w, y, False), 0) + 1
-                for w in {w[:STEM] for w in own if len(w) >= STEM}:
+                for w in {w[:n] for w in own for n in STEMS if len(w) >= n}:
                     out[w, y, True] = out.get((w, y, True), 0) + 1
             keys = list(out)
             yield pa.RecordBatch.from_arrays(
