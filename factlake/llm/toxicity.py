@@ -142,9 +142,11 @@ def probability(model: ToxicityModel, amount: float) -> float:
     return 1.0 / (1.0 + math.exp(-max(-60.0, min(60.0, model.bias + model.slope * amount))))
 
 
-def fit(labelled: DataFrame, sample_rows: int = 6000, most_words: int = 400, least_docs: int = 8, least_odds: float = 4.8) -> ToxicityModel:
+def fit(labelled: DataFrame, sample_rows: int = 6000, most_words: int = 400, least_docs: int = 6, least_odds: float = 3.8, mixed_odds: float = 5.5) -> ToxicityModel:
     """Learn from ``text`` and ``toxic`` (0/1) of ``labelled``.
 
+    A word that a clean text of the sample has needs log-odds of ``mixed_odds``, any other ``least_odds``.
+
     Reaches the driver: two counts, at most ``most_words`` words and as many beginnings, and the evidence of the sample as
     grouped counts.
     """
@@ -178,7 +180,8 @@ def fit(labelled: DataFrame, sample_rows: int = 6000, most_words: int = 400, lea
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("bad"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("good")
     )
     odds = F.log(((F.col("bad") + 0.5) / (sizes[1] + 1.0)) / ((F.col("good") + 0.5) / (sizes[0] + 1.0)))
-    strong = per_word.withColumn("odds", odds).where((F.col("bad") >= least_docs) & (F.col("odds") >= least_odds) & (F.length("word") > 2))
+    strong = per_word.withColumn("odds", odds).where((F.col("bad") >= least_docs) & (F.length("word") > 2))
+    strong = strong.where((F.col("odds") >= mixed_odds) | ((F.col("odds") >= least_odds) & (F.col("good") == 0)))
     learned = {}
     for stem in (False, True):
         best = strong.where(F.col("stem") == stem).orderBy(F.desc("odds"), F.desc("bad"), "word").limit(most_words).collect()
