@@ -84,12 +84,15 @@ def micros(ts: Column) -> Column:
     return F.unix_micros(ts)
 
 
-ISO_WITH_OFFSET = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})$"
+ISO_WITH_OFFSET = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})$"
 
 
 def delta_event_time(ts_ms: Column, ts: Column) -> Column:
-    """``ts_ms`` first; else an ISO text that carries an offset; naive or absent text is null."""
-    aware = F.when(ts.rlike(ISO_WITH_OFFSET), ts)
+    """``ts_ms`` first; else an ISO text that carries an offset; naive or absent text is null.
+
+    A fraction of any length is cut to microseconds.
+    """
+    aware = F.regexp_replace(F.when(ts.rlike(ISO_WITH_OFFSET), ts), r"(\.\d{6})\d+", "$1")
     return F.coalesce(
         ms_to_ns(ts_ms),
         F.unix_micros(F.try_to_timestamp(aware)) * F.lit(S.NS_PER_US).cast("bigint"),

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from factlake import schemas as S
 from factlake.functions import exprs as X
-from factlake.operators.skew import lookup_small
 
 # Only these fields of a message are opened; the rest stays opaque text.
 MESSAGE_SCHEMA_DDL = (
@@ -61,17 +60,19 @@ def bind_reference_asset(reference: DataFrame, scope: DataFrame) -> DataFrame:
 def bind_market_identity(messages: DataFrame, identities: DataFrame) -> DataFrame:
     """Attach the verified identity each message was received under.
 
-    ``identities(ticker, event_ticker, asset)`` has one row per ticker.  A single ticker can carry a
-    large share of the feed.  The identities are counted first: a usual set (four windows an hour and
-    series) is broadcast and the messages stay where they are; a larger one goes through a salted
-    lookup.
+    ``identities(ticker, event_ticker, asset)`` has one row per ticker; a repeated ticker fails the query
+    as soon as a message needs it.  One plan serves batches and streams (there as a stream-static join) and
+    any number of identities: Spark broadcasts a small set by its size, and splits a hot ticker otherwise.
     """
-    known = identities.select(
-        F.col("ticker").alias("binding_ticker"),
-        F.col("event_ticker").alias("bound_event_ticker"),
-        F.col("asset").alias("bound_asset"),
+    bound = F.min(F.struct("event_ticker", "asset"))
+    known = identities.groupBy(F.col("ticker").alias("binding_ticker")).agg(F.count(F.lit(1)).alias("n"), bound.alias("b"))
+    repeated = F.raise_error(F.concat(F.lit("MALFORMED_EVIDENCE: several identities of ticker "), F.col("binding_ticker")))
+    known = known.select(
+        "binding_ticker",
+        F.when(F.col("n") > 1, repeated.cast("string")).otherwise(F.col("b.event_ticker")).alias("bound_event_ticker"),
+        F.when(F.col("n") > 1, repeated.cast("string")).otherwise(F.col("b.asset")).alias("bound_asset"),
     )
-    return lookup_small(messages, known, ["binding_ticker"], ["source", "partition", "offset"])
+    return messages.join(known, "binding_ticker", "left")
 
 
 def classify_messages(raw: DataFrame, identities: DataFrame, reference: DataFrame) -> DataFrame:

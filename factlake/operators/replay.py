@@ -457,7 +457,8 @@ def resume_check(bookmarks: DataFrame, current: DataFrame, selected: DataFrame)
     """Judges stored bookmarks against the rebuilt request and snapshot (``current``, one row).
 
     ``bookmarks(bookmark_id, request_identity, snapshot_identity, ordering, last_provider_ns,
-    last_received_ns, last_capture_id)``; an arrival key has no provider time.
+    last_received_ns, last_capture_id)``; an arrival key has no provider time.  A bookmark with missing
+    fields is judged by its shape before anything it says is compared.
     """
     now = current.select(
         F.col("request_identity").alias("now_request"),
@@ -473,14 +474,15 @@ def resume_check(bookmarks: DataFrame, current: DataFrame, selected: DataFrame)
     members = members.join(asked, "last_capture_id", "left_semi")
     strict = F.col("ordering") == "strict_event"
     shape_ok = F.col("last_received_ns").isNotNull() & (strict == F.col("last_provider_ns").isNotNull())
+    named = F.col("request_identity").isNotNull() & F.col("snapshot_identity").isNotNull() & F.col("last_capture_id").isNotNull()
     member = (F.col("last_received_ns") == F.col("m_received")) & (
         ~strict | F.col("last_provider_ns").eqNullSafe(F.col("m_provider"))
     )
     code = (
-        F.when(F.col("request_identity") != F.col("now_request"), "CURSOR_MISMATCH")
-        .when(F.col("snapshot_identity") != F.col("now_snapshot"), "SOURCE_UNAVAILABLE")
-        .when(F.col("ordering") != F.col("now_ordering"), "INVALID_CURSOR")
-        .when(~shape_ok, "INVALID_CURSOR")
+        F.when(~F.coalesce(shape_ok & named, F.lit(False)), "INVALID_CURSOR")
+        .when(~F.col("request_identity").eqNullSafe(F.col("now_request")), "CURSOR_MISMATCH")
+        .when(~F.col("snapshot_identity").eqNullSafe(F.col("now_snapshot")), "SOURCE_UNAVAILABLE")
+        .when(~F.col("ordering").eqNullSafe(F.col("now_ordering")), "INVALID_CURSOR")
         .when(~F.coalesce(member, F.lit(False)), "INVALID_CURSOR")
         .otherwise("ok")
     )

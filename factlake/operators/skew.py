@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SALTS = 256
-BROADCAST_ROWS = 200_000  # narrow dimension rows: some tens of MB at most
 _SALT = "__salt"
 
 
@@ -73,32 +72,9 @@ def lookup_unique(
     )
 
 
-def lookup_small(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    row_id: Sequence[str],
-    max_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """Like ``lookup_unique``, for a side that is usually small: its rows are counted first, and only
-    up to ``max_rows`` are they broadcast; beyond that the salted lookup takes over."""
-    if right.count() <= max_rows:
-        return left.join(F.broadcast(right), list(keys), "left")
-    return lookup_unique(left, right, keys, row_id)
-
-
-def keep_matching(big: DataFrame, keys_of: DataFrame, keys: Sequence[str], few: bool) -> DataFrame:
-    """Rows of a large table whose key occurs in a batch.
-
-    ``few`` says that the batch was counted and is small; its keys are then broadcast and the large
-    table is filtered where it lies.  Otherwise both sides are shuffled.
-    """
-    wanted = keys_of.select(*keys).distinct()
-    return big.join(F.broadcast(wanted) if few else wanted, list(keys), "left_semi")
-
-
-def is_few(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    return df.count() <= max_rows
+def keep_matching(big: DataFrame, keys_of: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of a large table whose key occurs in a batch; Spark broadcasts the keys where their size allows it."""
+    return big.join(keys_of.select(*keys).distinct(), list(keys), "left_semi")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -111,3 +87,11 @@ def one_row_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     packed = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("__row"))
     return packed.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns])
+
+
+def fold_replays(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key with ``differs``: whether its rows were anything but exact repeats of one another."""
+    row = F.struct(*[c for c in df.columns if c not in keys])
+    packed = df.groupBy(*keys).agg(F.min(row).alias("__row"), F.max(row).alias("__last"))
+    columns = [F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns]
+    return packed.select(*columns, (~F.col("__row").eqNullSafe(F.col("__last"))).alias("differs"))

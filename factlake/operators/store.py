@@ -11,10 +11,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from factlake import schemas as S
 from factlake.functions import exprs as X
-from factlake.operators.skew import duplicate_keys, one_row_per_key
+from factlake.operators.skew import duplicate_keys, fold_replays, one_row_per_key
 from factlake.session import materialize
 from factlake.sources import tables
 
@@ -43,27 +44,46 @@ def plan_append_captures(new: DataFrame, existing: DataFrame) -> DataFrame:
     return fresh.join(existing.select(*FACT_KEY), list(FACT_KEY), "left_anti")
 
 
+def conflicting_captures(new: DataFrame, existing: DataFrame) -> DataFrame:
+    """Keys of new facts that differ from a stored fact, or from one another, under one key."""
+    digest = X.digest({c: F.col(c) for c in S.FACT_COLUMNS}).alias("d")
+    ours = new.select(*FACT_KEY, digest)
+    theirs = existing.select(*S.FACT_COLUMNS).join(new.select(*FACT_KEY).distinct(), list(FACT_KEY), "left_semi").select(*FACT_KEY, digest)
+    folded = ours.unionByName(theirs).groupBy(*FACT_KEY).agg(F.min("d").alias("x"), F.max("d").alias("y"))
+    return folded.where("x != y").select(*FACT_KEY)
+
+
+def folded_captures(facts: DataFrame) -> DataFrame:
+    """Facts with exact replays folded to one row; one key with different content stops the batch."""
+    folded = materialize(fold_replays(facts.select(*S.FACT_COLUMNS), FACT_KEY))
+    if not folded.where("differs").isEmpty():
+        raise S.ContractError("INVARIANT_CONFLICT", "one capture came with different content")
+    return folded.drop("differs")
+
+
 def append_captures(
     spark: SparkSession, path: str, new: DataFrame, batch_id: int | None = None
 ) -> AppendReceipt:
     """Write the planned rows under ``received_date`` (and ``batch_id``, when given).
 
     A retried batch overwrites its own partitions, so at-least-once delivery leaves one row.  The
-    stored side is pruned to the days the new rows touch.
+    stored side is pruned to the days the new rows touch.  Only exact replays are folded: a key that comes, or is
+    stored, with different content is a conflict, and nothing is written.
     """
     bounds = new.agg(F.min("received_ns"), F.max("received_ns")).first()
     if bounds[0] is None:
         return AppendReceipt(0)
     marker = -1 if batch_id is None else batch_id
     if path_exists(spark, path):
-        stored = spark.read.schema(
-            "capture_id string, received_ns bigint, received_date date, batch_id bigint"
-        ).parquet(path)
+        extra = [T.StructField("received_date", T.DateType()), T.StructField("batch_id", T.LongType())]
+        stored = spark.read.schema(T.StructType([*S.CAPTURE_FACT.fields, *extra])).parquet(path)
         stored = tables.in_received_range(stored, bounds[0], bounds[1], closed=True)
         if batch_id is not None:
             stored = stored.where(F.col("batch_id") != batch_id)
     else:
-        stored = spark.createDataFrame([], "capture_id string, received_ns bigint")
+        stored = spark.createDataFrame([], S.CAPTURE_FACT)
+    if not conflicting_captures(new, stored).isEmpty():
+        raise S.ContractError("INVARIANT_CONFLICT", "one capture came with different content")
     rows = (
         plan_append_captures(new, stored)
         .withColumn("received_date", X.received_date(F.col("received_ns")))
@@ -74,9 +94,8 @@ def append_captures(
         writer.mode("append").parquet(path)
     else:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    written = spark.read.parquet(path)
     if batch_id is not None:
-        written = written.where(F.col("batch_id") == batch_id)
+        written = spark.read.parquet(path).where(F.col("batch_id") == batch_id)
         return AppendReceipt(written.count())
     return AppendReceipt(new.select(*FACT_KEY).distinct().count())
 
@@ -165,7 +184,9 @@ def append_decisions(spark: SparkSession, path: str, candidates: DataFrame) -> A
     """Append, read back, and require exactly the candidate rows to be stored."""
     columns = list(S.DECISION_COLUMNS)
     existing = read_decisions(spark, path)
-    plan = materialize(plan_append_decisions(candidates, existing))
+    plan = materialize(plan_append_decisions(candidates.select(*columns).distinct(), existing))
+    if not duplicate_keys(plan, DECISION_KEY).isEmpty():
+        raise S.ContractError("AUTHORITY_CONFLICT", "a subject has several candidates, or is stored twice")
     if not plan.where("outcome = 'conflict'").isEmpty():
         raise S.ContractError("AUTHORITY_CONFLICT", "a stored decision differs from its candidate")
     plan.where("outcome = 'new'").select(*columns).write.mode("append").parquet(path)
@@ -174,7 +195,7 @@ def append_decisions(spark: SparkSession, path: str, candidates: DataFrame) -> A
     counts = verification.agg(
         F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("outcome") != "same", 1)).alias("differ")
     ).first()
-    if counts["differ"]:
+    if counts["differ"] or counts["n"] != plan.count():
         raise S.ContractError("SOURCE_UNAVAILABLE", "appended decisions did not read back exactly")
     return AppendReceipt(counts["n"])
 
@@ -225,12 +246,21 @@ def plan_append_availability(candidates: DataFrame, existing: DataFrame) -> Data
 
 
 def append_availability(spark: SparkSession, path: str, candidates: DataFrame) -> AppendReceipt:
-    plan = materialize(plan_append_availability(candidates, read_markers(spark, path)))
+    """Append and read back; copies of a marker in the batch count once, and must be equal."""
+    compared = [c for c in S.MARKER_COLUMNS if c != "written_at_ns"]
+    folded = candidates.groupBy(*compared).agg(F.min("written_at_ns").alias("written_at_ns")).select(*S.MARKER_COLUMNS)
+    plan = materialize(plan_append_availability(folded, read_markers(spark, path)))
+    if not duplicate_keys(plan, S.MARKER_KEY).isEmpty():
+        raise S.ContractError("INVARIANT_CONFLICT", "a marker key has several candidates, or is stored twice")
     if not plan.where("outcome = 'conflict'").isEmpty():
         raise S.ContractError("INVARIANT_CONFLICT", "immutable availability conflict")
     new = plan.where("outcome = 'new'").select(*S.MARKER_COLUMNS)
     new.write.mode("append").parquet(path)
-    return AppendReceipt(plan.count())
+    verification = plan_append_availability(plan.select(*S.MARKER_COLUMNS), read_markers(spark, path))
+    same, n = verification.where("outcome = 'same'").count(), plan.count()
+    if same != n or verification.count() != n:
+        raise S.ContractError("SOURCE_UNAVAILABLE", "appended markers did not read back exactly")
+    return AppendReceipt(n)
 
 
 def read_markers(spark: SparkSession, path: str) -> DataFrame:

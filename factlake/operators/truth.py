@@ -100,31 +100,44 @@ def adjudicate_trades(facts: DataFrame) -> DataFrame:
     return _decisions(anchored)
 
 
-def undecided(facts: DataFrame, existing: DataFrame, few: bool = False) -> DataFrame:
+def undecided(facts: DataFrame, existing: DataFrame) -> DataFrame:
     """Facts without a decision.  The stored side is first cut down to the subjects of the batch."""
     done = existing.where(F.col("policy_version") == S.TRUTH_POLICY).select(
         F.col("subject_capture_id").alias("capture_id")
     )
-    return facts.join(keep_matching(done, facts, ["capture_id"], few), "capture_id", "left_anti")
+    return facts.join(keep_matching(done, facts, ["capture_id"]), "capture_id", "left_anti")
 
 
 def unsupported_facts(facts: DataFrame) -> DataFrame:
     return route_facts(facts).where("family = 'unsupported'").select("capture_id", "message_type")
 
 
+def refuse_unsupported(facts: DataFrame) -> DataFrame:
+    """No rows, unless a fact has an unsupported type: reading it then fails, so that no such fact is lost quietly."""
+    message = F.concat(F.lit("UNSUPPORTED_FACT: "), F.coalesce("message_type", F.lit("no type")))
+    return unsupported_facts(facts).select(
+        F.raise_error(message).cast("string").alias("policy_version"),
+        F.col("capture_id").alias("subject_capture_id"),
+        *[F.lit(None).cast(S.TRUTH_DECISION[c].dataType).alias(c) for c in S.DECISION_COLUMNS[2:]],
+    )
+
+
 def decide_new(facts: DataFrame) -> DataFrame:
     """Decisions for facts none of which has been decided, with no stored anchors."""
     return accept_observations(facts).unionByName(adjudicate_trades(facts))
 
 
 def decide_facts(facts: DataFrame, existing: DataFrame, stored_facts: DataFrame) -> DataFrame:
-    """Existing decisions of these facts as they are, plus new ones for the rest."""
+    """Existing decisions of these facts as they are, plus new ones for the rest.
+
+    A fact that comes twice is decided once; a fact of an unsupported type fails the query.
+    """
     subjects = facts.select(F.col("capture_id").alias("subject_capture_id"))
     kept = existing.where(F.col("policy_version") == S.TRUTH_POLICY).join(
         subjects, "subject_capture_id", "left_semi"
     )
     fresh = decide_incremental(undecided(facts, existing), existing, stored_facts)
-    return kept.select(*S.DECISION_COLUMNS).unionByName(fresh)
+    return kept.select(*S.DECISION_COLUMNS).unionByName(fresh.distinct()).unionByName(refuse_unsupported(facts))
 
 
 def find_accepted_anchor(decisions: DataFrame, facts: DataFrame) -> DataFrame:
@@ -139,18 +152,31 @@ def find_accepted_anchor(decisions: DataFrame, facts: DataFrame) -> DataFrame:
 
 
 def stored_anchors(
-    decisions: DataFrame, facts: DataFrame, wanted: DataFrame, few: bool = False
+    decisions: DataFrame, facts: DataFrame, wanted: DataFrame
 ) -> DataFrame:
     """Stored anchors of the wanted identities, in the shape of ``comparable_trades``.
 
-    Restricting to the batch's identities first keeps the payload read to what the batch needs; an
-    invalid trade has no identity that a decision could carry.
+    Restricting to the batch's identities first keeps the payload read to what the batch needs.  An anchor
+    fails the query if its evidence is missing or no longer a valid trade of its identity.
     """
     accepted = decisions.where("category = 'accepted' AND event IS NOT NULL").select(
         F.col("subject_capture_id").alias("capture_id"), "event.*"
     )
-    ids = keep_matching(accepted, wanted, S.IDENTITY_COLUMNS, few)
-    return comparable_trades(keep_matching(facts, ids, ["capture_id"], few))
+    ids = keep_matching(accepted, wanted, S.IDENTITY_COLUMNS)
+    said = ids.select("capture_id", F.struct(*S.IDENTITY_COLUMNS).cast(S.EVENT_IDENTITY).alias("said"))
+    opened = comparable_trades(keep_matching(facts, ids, ["capture_id"]))
+    own = F.struct(*S.IDENTITY_COLUMNS).cast(S.EVENT_IDENTITY)
+    found = opened.select("capture_id", "received_ns", "content", (F.col("fault") == "").alias("valid"), own.alias("own"))
+    sound = F.coalesce(F.col("valid") & (F.col("own") == F.col("said")), F.lit(False))
+    fault = F.raise_error(F.concat(F.lit("INVARIANT_CONFLICT: a stored anchor is not sound: "), F.col("capture_id"))).cast("string")
+    # the identity is that of the decision, so an anchor without evidence reaches the check as well
+    return said.join(found, "capture_id", "left").select(
+        "capture_id",
+        F.coalesce("received_ns", F.lit(0).cast("bigint")).alias("received_ns"),
+        *[F.col(f"said.{c}").alias(c) for c in S.IDENTITY_COLUMNS],
+        F.when(sound, F.lit("")).otherwise(fault).alias("fault"),
+        F.coalesce("content", F.lit("")).alias("content"),
+    )
 
 
 def decide_incremental(
@@ -158,7 +184,6 @@ def decide_incremental(
     decisions: DataFrame,
     stored_facts: DataFrame,
     anchors: DataFrame | None = None,
-    few: bool = False,
 ) -> DataFrame:
     """Decisions for a new batch; a stored anchor wins over any new row, even an earlier one.
 
@@ -167,9 +192,9 @@ def decide_incremental(
     """
     trades = comparable_trades(new)
     if anchors is None:
-        anchors = stored_anchors(decisions, stored_facts, trades, few)
+        anchors = stored_anchors(decisions, stored_facts, trades)
     else:
-        anchors = keep_matching(anchors, trades, S.IDENTITY_COLUMNS, few)
+        anchors = keep_matching(anchors, trades, S.IDENTITY_COLUMNS)
     both = anchors.withColumn("is_new", F.lit(0)).unionByName(trades.withColumn("is_new", F.lit(1)))
     anchored = first_per_key(
         both,

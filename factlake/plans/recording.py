@@ -151,7 +151,7 @@ def record_captures(
 ) -> DataFrame:
     """Normalise, append, read back, decide and mark one batch of messages; returns its progress."""
     reference = S.reference_scope(spark)
-    facts = materialize(ingest.normalize_messages(raw, identities, reference))
+    facts = store.folded_captures(ingest.normalize_messages(raw, identities, reference))
     store.append_captures(spark, paths.facts, facts, batch_id)
     return recover_facts(spark, paths, facts)
 
@@ -160,8 +160,9 @@ def recover_facts(spark: SparkSession, paths: LakePaths, facts: DataFrame) -> Da
     """Re-prove facts without appending them again; a second run changes nothing.
 
     Decisions are stored before their markers are issued, so a stop in between leaves facts that the
-    next run finishes.
+    next run finishes.  A fact given twice is one fact.
     """
+    facts = store.folded_captures(facts)
     stored = tables.read_facts(spark, paths.facts)
     markers = store.read_markers(spark, paths.markers)
     floor = A.read_committed_floor(markers)

@@ -9,7 +9,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from factlake import schemas as S
 from factlake.operators import store, truth
-from factlake.operators.skew import is_few
 
 
 def read_raw_messages(
@@ -62,14 +61,14 @@ def decide_stream(
         spark = batch.sparkSession
         kept = batch.persist()
         try:
-            few = is_few(kept)
             stored = _before(spark, decisions_path, S.TRUTH_DECISION, batch_id)
             anchors = _before(spark, anchors_path, S.TRADE_ANCHOR, batch_id)
-            open_facts = truth.undecided(kept, stored, few)
-            fresh = truth.decide_incremental(open_facts, stored, kept, anchors, few)
+            open_facts = truth.undecided(kept, stored)
+            fresh = truth.decide_incremental(open_facts, stored, kept, anchors)
+            fresh = fresh.distinct().unionByName(truth.refuse_unsupported(kept))  # a repeated message is decided once
             _overwrite(fresh, decisions_path, batch_id)
             written = _only(spark, decisions_path, S.TRUTH_DECISION, batch_id)
-            _overwrite(truth.anchors_of(written, kept), anchors_path, batch_id)
+            _overwrite(truth.anchors_of(written, kept).distinct(), anchors_path, batch_id)
         finally:
             kept.unpersist()
 
