@@ -53,6 +53,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        ids = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
+        if ids("a b \n c, ") != ids("a") + ids("b") + ids("c,"):
+            raise ValueError(f"{path}: white space is no boundary for this vocabulary")
         spec = json.loads(self.tokenizer.to_str())
         self.plain_decode = spec["decoder"] is None
         self.suffix = spec["model"].get("end_of_word_suffix") or ""
