@@ -38,7 +38,9 @@ LETTER_RUNS = {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N
 #: Latin-1 letters.
 SIMPLE = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 #: Words whose ids a worker remembers; beyond it the memory starts anew.
-MEMORY = 1_000_000
+MEMORY = 400_000
+#: Rows that are decoded before they are handed on.
+DECODE_ROWS = 500
 #: Words that go to the tokenizer in one call.
 CALL = 20_000
 
@@ -57,11 +59,7 @@ class Encoder:
         if ids("a b \n c, ") != ids("a") + ids("b") + ids("c,"):
             raise ValueError(f"{path}: white space is no boundary for this vocabulary")
         spec = json.loads(self.tokenizer.to_str())
-        self.plain_decode = spec["decoder"] is None
         self.suffix = spec["model"].get("end_of_word_suffix") or ""
-        spec["model"]["end_of_word_suffix"] = None
-        #: Encodes text from the middle of a pre-token, which has no word end.
-        self.inner = Tokenizer.from_str(json.dumps(spec)) if self.suffix else self.tokenizer
         self.words: dict[str, int] = {}
         self.store, self.used = np.zeros(1 << 16, "<u4"), 0
         self.starts, self.lens = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
@@ -70,6 +68,15 @@ class Encoder:
         self.added = added
         self.split_added = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
 
+    @functools.cached_property
+    def inner(self):
+        """Encodes text from the middle of a pre-token, which has no word end."""
+        if not self.suffix:
+            return self.tokenizer
+        spec = json.loads(self.tokenizer.to_str())
+        spec["model"]["end_of_word_suffix"] = None
+        return type(self.tokenizer).from_str(json.dumps(spec))
+
     def _letters(self, spec: dict) -> dict[int, str] | None:
         """Byte-level symbols of lower-case Latin-1 letters, if the file cuts letters from punctuation and nothing else."""
         norm = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
@@ -205,18 +212,27 @@ class Encoder:
     def encode_one(self, text: bytes) -> np.ndarray:
         return self.encode(pa.array([text.decode()], pa.large_string()))[0]
 
-    def decode(self, ids: list[int]) -> str:
-        if self.plain_decode:
-            strings = self.strings
-            return " ".join([strings[i] for i in ids if i < len(strings) and strings[i] is not None])
-        return self.tokenizer.decode(ids, skip_special_tokens=False)
-
 
 @functools.lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+@functools.lru_cache(maxsize=4)
+def _decoder(path: str):
+    """Text of a list of ids.  A file without a decoder joins the tokens by spaces; its tokens alone are loaded then."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    if spec["decoder"] is not None:
+        tokenizer = encoder(path).tokenizer
+        return lambda ids: tokenizer.decode(ids, skip_special_tokens=False)
+    known = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
+    strings: list[str | None] = [None] * (max(known.values(), default=-1) + 1)
+    for token, i in known.items():
+        strings[i] = token
+    return lambda ids: " ".join([strings[i] for i in ids if i < len(strings) and strings[i] is not None])
+
+
 def as_lists(ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.view("<i4"), pa.int32()))
 
@@ -313,10 +329,12 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``doc_id``, ``ids`` and the decoded ``text`` (special tokens kept); null ids decode to an empty text."""
 
     def texts(batches):
-        enc = encoder(path)
+        decoded = _decoder(path)
         for batch in batches:
-            out = [enc.decode(ids or []) for ids in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(out, pa.string())], ["doc_id", "ids", "text"])
+            for first in range(0, len(batch), DECODE_ROWS):  # only so many texts and one list of ids are held at once
+                some = batch.slice(first, DECODE_ROWS)
+                out = [decoded(ids.values.to_numpy().tolist() if ids.is_valid else []) for ids in some.column("ids")]
+                yield pa.RecordBatch.from_arrays([some.column("doc_id"), some.column("ids"), pa.array(out, pa.string())], ["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(texts, "doc_id long, ids array<int>, text string")
 
