@@ -5,7 +5,7 @@ texts.  Case does not matter.  A text is compressed whole, in blocks, with every
 wins, a tie goes to the language with more labelled rows.  The score is the margin: the share of bytes that the best
 saves against the second.  A text is rejected if it has no letter or its margin is below ``min_margin``.
 
-The sample takes, per language, the ``sample_rows`` labelled rows with the smallest hash of their text, whatever
+The sample takes, per language, the ``sample_rows`` different labelled texts with the smallest hash, whatever
 the size of the table.  Null or empty text gives ``und``; so does any text if no labelled row exists.  With a single
 learned language the margin is 1.
 """
@@ -45,12 +45,13 @@ def fit(labelled: DataFrame, dict_bytes: int = 110_000, sample_rows: int = 400,
     # first a share of each language's rows by hash that is larger than the sample, then the exact smallest of those
     place = F.pmod(F.xxhash64("text"), F.lit(1 << 40))
     limit = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, float(min(1.0, (3.0 * sample_rows + 50) / n) * (1 << 40)))))
+    # copies are folded, so that no group of them fills the sample; a dictionary holds no more of a text than its own size
     near = rows.withColumn("place", place).where(F.col("place") < limit[F.col("lang")])
+    near = near.select("lang", "place", F.substring("text", 1, dict_bytes).alias("text")).distinct()
     order = Window.partitionBy("lang").orderBy("place", "text")
     taken = near.withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample_rows)
-    # the driver needs no more of a text than a dictionary can hold
     texts: dict[str, list[tuple[int, str]]] = {}
-    for r in taken.select("lang", "k", F.substring("text", 1, dict_bytes).alias("text")).collect():
+    for r in taken.select("lang", "k", "text").collect():
         texts.setdefault(r["lang"], []).append((r["k"], r["text"]))
     out = []
     for lang in sorted(counts, key=lambda x: (-counts[x], x)):

@@ -2,7 +2,8 @@
 
 A text is cut into clauses at sentence marks and line ends, and its words become the symbols of five transducers:
 
-- insult: a learned word (or the learned beginning of one) carries its log-odds;
+- insult: a learned word (or the learned beginning of one) carries its log-odds, and a learned beginning that
+  the text uses again the log-odds of being used twice;
 - threat: a verb of harm after a sign of intent, or intent to end something of the target;
 - target: the second person, or "is/are" before the insult;
 - negation: "not", "never" and the like within ``REACH`` words before the match;
@@ -21,6 +22,7 @@ from __future__ import annotations
 import functools
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from factlake.llm.text import documents
+from factlake.session import materialize
 
 THRESHOLD = 0.3
 REACH = 4
@@ -54,6 +57,8 @@ class ToxicityModel:
     #: (word, log-odds) and (beginning, log-odds).
     words: tuple[tuple[str, float], ...]
     stems: tuple[tuple[str, float], ...]
+    #: (beginning, log-odds of texts that use it twice or more).
+    repeats: tuple[tuple[str, float], ...]
     #: Calibration: log-odds of a text without a match, and of each unit of evidence.
     bias: float
     slope: float
@@ -61,13 +66,13 @@ class ToxicityModel:
 
 @functools.lru_cache(maxsize=2)
 def _grammar(model: ToxicityModel):
-    words, stems = dict(model.words), dict(model.stems)
+    words, stems, repeats = dict(model.words), dict(model.stems), dict(model.repeats)
     # one pass over a text finds the clauses that can match at all
     automaton = ahocorasick.Automaton()
-    for head in {*words, *stems, *HARM}:
+    for head in {*words, *stems, *repeats, *HARM}:
         automaton.add_word(head, len(head))
     automaton.make_automaton()
-    return words, stems, automaton
+    return words, stems, repeats, automaton
 
 
 def _weight(word: str, words: dict, stems: dict) -> float:
@@ -76,8 +81,12 @@ def _weight(word: str, words: dict, stems: dict) -> float:
     return max((stems.get(word[:n], 0.0) for n in STEMS if len(word) >= n), default=0.0)
 
 
-def clause_score(clause: str, words: dict, stems: dict) -> float:
-    """Weight of the matches of one lower-case clause, by the composed transducer."""
+def clause_score(clause: str, words: dict, stems: dict, repeats: dict | None = None, used: set[str] | None = None) -> float:
+    """Weight of the matches of one lower-case clause, by the composed transducer.
+
+    ``used`` holds the beginnings in ``repeats`` that the text has used so far.
+    """
+    repeats, used = repeats or {}, set() if used is None else used
     score, last = 0.0, -1_000
     negated = target = intent = reported = last
     for k, m in enumerate(_WORD.finditer(clause)):
@@ -91,6 +100,10 @@ def clause_score(clause: str, words: dict, stems: dict) -> float:
         if w in INTENT:
             intent = k
         weight = _weight(w, words, stems)
+        for head in {w[:n] for n in STEMS if w[:n] in repeats}:
+            if head in used:
+                weight = max(weight, repeats[head])
+            used.add(head)
         if not weight and w in HARM and k - intent <= REACH:
             weight = THREAT_WEIGHT
         if not weight:
@@ -116,8 +129,9 @@ def clauses(text: str) -> Iterator[tuple[int, int]]:
 
 def evidence(model: ToxicityModel, text: str | None) -> tuple[float, list[dict]]:
     """Sum of the clause scores, and the clauses that matched."""
-    words, stems, automaton = _grammar(model)
+    words, stems, repeats, automaton = _grammar(model)
     found: list[dict] = []
+    used: set[str] = set()
     if not text:
         return 0.0, found
     low = text.lower()
@@ -130,7 +144,7 @@ def evidence(model: ToxicityModel, text: str | None) -> tuple[float, list[dict]]
     k = 0
     for a, b in clauses(low):
         if k < len(hits) and hits[k] < b:
-            score = clause_score(low[a:b], words, stems)
+            score = clause_score(low[a:b], words, stems, repeats, used)
             if score > 0:
                 found.append({"start": a, "end": b, "score": score})
             while k < len(hits) and hits[k] < b:
@@ -145,56 +159,61 @@ def probability(model: ToxicityModel, amount: float) -> float:
 def fit(labelled: DataFrame, sample_rows: int = 6000, most_words: int = 400, least_docs: int = 6, least_odds: float = 3.8, mixed_odds: float = 5.5) -> ToxicityModel:
     """Learn from ``text`` and ``toxic`` (0/1) of ``labelled``.
 
-    A word that a clean text of the sample has needs log-odds of ``mixed_odds``, any other ``least_odds``.
+    A word or beginning that a clean text of the sample has needs log-odds of ``mixed_odds``; any other, and the
+    repeated use of a beginning, ``least_odds``.
 
-    Reaches the driver: two counts, at most ``most_words`` words and as many beginnings, and the evidence of the sample as
+    Reaches the driver: two counts, at most ``most_words`` words and twice as many beginnings, and the evidence of the sample as
     grouped counts.
     """
     rows = labelled.select(F.col("text").cast("string").alias("text"), F.col("toxic").cast("int").alias("toxic")).where("toxic IN (0, 1) AND text IS NOT NULL")
     counts = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(counts) < 2:
-        return ToxicityModel((), (), 4.0 if counts.get(1) else -4.0, 0.0)
+        return ToxicityModel((), (), (), 4.0 if counts.get(1) else -4.0, 0.0)
     place = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
     share = F.create_map(*(F.lit(x) for y, n in counts.items() for x in (y, float(min(1.0, (1.5 * sample_rows + 50) / n) * (1 << 30)))))
     near = rows.withColumn("place", place).where(F.col("place") < share[F.col("toxic")])
-    order = Window.partitionBy("toxic").orderBy("place", "text")
-    sample = near.withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample_rows).select("text", "toxic")
+    # copies are folded into a count, so that no group of them meets in one task
+    order = Window.partitionBy("toxic").orderBy("place", "text").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    folded = near.groupBy("toxic", "place", "text").agg(F.count("*").alias("n")).withColumn("upto", F.sum("n").over(order))
+    room = F.lit(sample_rows) - (F.col("upto") - F.col("n"))
+    sample = materialize(folded.where(room > 0).select("text", "toxic", F.least("n", room).alias("n")))
     sizes = {y: min(n, sample_rows) for y, n in counts.items()}
 
     def seen(batches):
         for batch in batches:
-            out: dict[tuple[str, int, bool], int] = {}
-            for text, y in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                own = {m[0].replace("’", "'") for m in _WORD.finditer(text.lower())}
-                for w in own:
-                    out[w, y, False] = out.get((w, y, False), 0) + 1
-                for w in {w[:n] for w in own for n in STEMS if len(w) >= n}:
-                    out[w, y, True] = out.get((w, y, True), 0) + 1
+            out: dict[tuple[str, int, str], int] = {}
+            for text, y, n in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic", "n"))):
+                own = [m[0].replace("’", "'") for m in _WORD.finditer(text.lower())]
+                heads = Counter(w[:k] for w in own for k in STEMS if len(w) >= k)
+                kinds = ("word", set(own)), ("stem", heads), ("repeat", [w for w, uses in heads.items() if uses > 1])
+                for kind, some in kinds:
+                    for w in some:
+                        out[w, y, kind] = out.get((w, y, kind), 0) + n
             keys = list(out)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in keys], pa.string()), pa.array([x[1] for x in keys], pa.int32()), pa.array([x[2] for x in keys], pa.bool_()), pa.array([out[x] for x in keys], pa.int64())],
-                ["word", "toxic", "stem", "n"],
+                [pa.array([x[0] for x in keys], pa.string()), pa.array([x[1] for x in keys], pa.int32()), pa.array([x[2] for x in keys], pa.string()), pa.array([out[x] for x in keys], pa.int64())],
+                ["word", "toxic", "kind", "n"],
             )
 
-    per_word = sample.mapInArrow(seen, "word string, toxic int, stem boolean, n long").groupBy("word", "stem").agg(
+    per_word = sample.mapInArrow(seen, "word string, toxic int, kind string, n long").groupBy("word", "kind").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("bad"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("good")
     )
     odds = F.log(((F.col("bad") + 0.5) / (sizes[1] + 1.0)) / ((F.col("good") + 0.5) / (sizes[0] + 1.0)))
     strong = per_word.withColumn("odds", odds).where((F.col("bad") >= least_docs) & (F.length("word") > 2))
-    strong = strong.where((F.col("odds") >= mixed_odds) | ((F.col("odds") >= least_odds) & (F.col("good") == 0)))
-    learned = {}
-    for stem in (False, True):
-        best = strong.where(F.col("stem") == stem).orderBy(F.desc("odds"), F.desc("bad"), "word").limit(most_words).collect()
-        learned[stem] = tuple(sorted((r["word"], round(r["odds"], 6)) for r in best))
-    model = ToxicityModel(learned[False], learned[True], 0.0, 1.0)
+    strong = strong.where(F.col("odds") >= F.when((F.col("kind") == "repeat") | (F.col("good") == 0), least_odds).otherwise(mixed_odds))
+    learned = []
+    for kind in ("word", "stem", "repeat"):
+        best = strong.where(F.col("kind") == kind).orderBy(F.desc("odds"), F.desc("bad"), "word").limit(most_words).collect()
+        learned.append(tuple(sorted((r["word"], round(r["odds"], 6)) for r in best)))
+    model = ToxicityModel(*learned, 0.0, 1.0)
 
     # calibration on binned evidence of the same sample
     def bins(batches):
         for batch in batches:
             got = [min(40, int(2 * evidence(model, t)[0])) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(got, pa.int32()), batch.column("toxic")], ["bin", "toxic"])
+            yield pa.RecordBatch.from_arrays([pa.array(got, pa.int32()), batch.column("toxic"), batch.column("n")], ["bin", "toxic", "n"])
 
-    table = sample.mapInArrow(bins, "bin int, toxic int").groupBy("bin", "toxic").agg(F.count("*").alias("n")).collect()
+    table = sample.mapInArrow(bins, "bin int, toxic int, n long").groupBy("bin", "toxic").agg(F.sum("n").alias("n")).collect()
     scale = {y: counts[y] / sizes[y] for y in counts}  # the sample is even, the table is not
     return _calibrated(model, [((r["bin"] + (0.5 if r["bin"] else 0.0)) / 2, r["toxic"], r["n"] * scale[r["toxic"]]) for r in table])
 
@@ -213,7 +232,7 @@ def _calibrated(model: ToxicityModel, points: list[tuple[float, int, float]]) ->
         step = ((h11 * g0 - h01 * g1) / det, (h00 * g1 - h01 * g0) / det)
         size = max(1.0, abs(step[0]), abs(step[1]))
         bias, slope = bias - step[0] / size, slope - step[1] / size
-    return ToxicityModel(model.words, model.stems, bias, max(0.0, slope))
+    return ToxicityModel(model.words, model.stems, model.repeats, bias, max(0.0, slope))
 
 
 _MATCHES = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
