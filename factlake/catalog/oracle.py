@@ -319,7 +319,7 @@ def proof_times(source: str, floor: str) -> str:
     """Closed form of the recurrence over the issue order."""
     return f"""
 {source}_ranked AS (
-  SELECT *, row_number() OVER (ORDER BY candidate_ns, CASE kind WHEN 'evidence' THEN 0 ELSE 1 END, substr(sha256(capture_id), 1, 3), capture_id) - 1 AS pos
+  SELECT *, row_number() OVER (ORDER BY candidate_ns, CASE kind WHEN 'evidence' THEN 0 ELSE 1 END, capture_id) - 1 AS pos
   FROM {source}),
 {source}_timed AS (
   SELECT *, (pos + greatest({floor} + 1, max(candidate_ns - pos) OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)))::BIGINT AS at_ns
@@ -493,10 +493,12 @@ def all_sql() -> dict[str, str]:
         count(*) FILTER (WHERE p.evidence_at <= r.cutoff_ns AND p.authority_at <= r.cutoff_ns) AS n_q,
         count(*) FILTER (WHERE p.evidence_at <= r.cutoff_ns AND p.authority_at <= r.cutoff_ns AND p.provider_ns IS NULL) AS q_undated
         FROM v r JOIN p ON {_PASS} GROUP BY r.request_id)
-      SELECT request_id, sha256({req}) AS request_identity, sha256({snap}) AS snapshot_identity,
+      SELECT request_id, request_identity, CASE WHEN outcome = 'ok' THEN identity END AS snapshot_identity, outcome,
+        CASE WHEN outcome = 'ok' THEN n END AS n_records, n_qualified, n_evidence_missing, n_authority_missing
+      FROM (SELECT request_id, sha256({req}) AS request_identity, sha256({snap}) AS identity,
         CASE WHEN (axis = 'event_time' AND coalesce(q_undated, 0) > 0) OR (ordering = 'strict_event' AND coalesce(undated, 0) > 0) THEN 'UNSUPPORTED_EVENT_TIME' ELSE 'ok' END AS outcome,
-        coalesce(n_records, 0) AS n_records, coalesce(n_q, 0) AS n_qualified, coalesce(n_ev, 0) AS n_evidence_missing, coalesce(n_au, 0) AS n_authority_missing
-      FROM v LEFT JOIN mem USING (request_id) LEFT JOIN cnt USING (request_id)""")
+        coalesce(n_records, 0) AS n, coalesce(n_q, 0) AS n_qualified, coalesce(n_ev, 0) AS n_evidence_missing, coalesce(n_au, 0) AS n_authority_missing
+      FROM v LEFT JOIN mem USING (request_id) LEFT JOIN cnt USING (request_id))""")
 
     # ---------------------------------------------------------------------------------- dataset
     put("collect_view", PAIRED, "SELECT capture_id, category, message_type, received_ns FROM p WHERE code IS NULL")

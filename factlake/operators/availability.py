@@ -94,18 +94,18 @@ def authority_candidates(decisions: DataFrame, candidate_ns: Column, authority:
 
 # ---------------------------------------------------------------------------------- proof times
 
-TIE_HEX = 3  # 4096 sub-groups for markers that share one candidate time
+TIE_CHARS = 3  # 4096 sub-groups of hex ids for markers that share one candidate time
 
 
 def assign_proof_times(candidates: DataFrame, floor: int | None, blocks: int | None = None) -> DataFrame:
     """Strictly increasing times ``x_i = max(c_i, x_{i-1} + 1)`` starting above ``floor``.
 
-    Issue order is ``(candidate_ns, evidence before authority, digest prefix of the id, id)``.  With
+    Issue order is ``(candidate_ns, evidence before authority, id)``.  With
     the candidates sorted the recurrence has the closed form ``x_i = i + max(floor + 1, max(c_j - j))``
     over j <= i (counting from 0), which needs a global rank.  Three bounded steps give it:
 
-    1. rows fold into cells that share (time, kind, prefix); a burst at one instant is 8192 cells
-       at most, and each is a hash share of the burst;
+    1. rows fold into cells that share (time, kind, beginning of the id); ids are hashes, so a burst at one
+       instant is up to 8192 cells of about equal size.  Beginnings sort as the ids do;
     2. cells are cut into ``blocks`` ranges of about equal size at approximate quantiles of the time;
        ranks and running maxima are taken inside each block in parallel;
     3. one row per block -- ``blocks`` rows -- carries the totals across.
@@ -115,7 +115,7 @@ def assign_proof_times(candidates: DataFrame, floor: int | None, blocks: int | N
     kind_rank = F.when(F.col("kind") == "evidence", 0).otherwise(1)
     cell_key = ["candidate_ns", "kind_rank", "tie"]
     rows = candidates.withColumn("kind_rank", kind_rank).withColumn(
-        "tie", F.substring(F.sha2("capture_id", 256), 1, TIE_HEX)
+        "tie", F.substring("capture_id", 1, TIE_CHARS)
     )
     cells = rows.groupBy(*cell_key).agg(F.count(F.lit(1)).alias("n"))
     boundaries = block_boundaries(candidates, "candidate_ns", blocks)

@@ -36,17 +36,17 @@ class AsOfRequest:
     channels: tuple[str, ...] | None = None
     page_size: int = 1000
 
-    def validated(self) -> AsOfRequest:
+    def validated(self, max_page_size: int = MAX_PAGE_SIZE) -> AsOfRequest:
         """Canonical form, or INVALID_REQUEST."""
         for number in (self.cutoff_ns, self.start_ns, self.end_ns, self.page_size):
             if isinstance(number, bool) or not isinstance(number, int):
                 raise S.ContractError("INVALID_REQUEST", "times and sizes must be integers")
         problems = (
             (self.policy_version != S.TRUTH_POLICY, "unsupported authority policy"),
-            (self.axis not in AXES, "unsupported selection axis"),
-            (self.ordering not in ORDERINGS, "unsupported ordering"),
+            (self.axis not in AXES, "the axis is neither arrival nor event time"),
+            (self.ordering not in ORDERINGS, "the ordering is not known"),
             (self.start_ns >= self.end_ns, "window must be half-open and non-empty"),
-            (not 0 < self.page_size <= MAX_PAGE_SIZE, "page size is outside the bound"),
+            (not 0 < self.page_size <= max_page_size, "page size is outside the bound"),
         )
         for failed, message in problems:
             if failed:
@@ -58,7 +58,7 @@ class AsOfRequest:
         if assets is not None and not set(assets) <= set(S.ASSETS):
             raise S.ContractError("INVALID_REQUEST", "assets must be approved")
         if channels is not None and not all(isinstance(c, str) and 0 < len(c) <= 128 for c in channels):
-            raise S.ContractError("INVALID_REQUEST", "channels must be bounded non-empty strings")
+            raise S.ContractError("INVALID_REQUEST", "a channel is a string of 1 to 128 characters")
         return AsOfRequest(
             self.cutoff_ns,
             self.start_ns,
@@ -497,8 +497,12 @@ def resume_check(bookmarks: DataFrame, current: DataFrame, selected: DataFrame)
 
 
 def with_filters(paired: DataFrame, facts: DataFrame) -> DataFrame:
-    """Candidates with asset and channel, for requests that filter differently."""
-    return paired.join(facts.select("capture_id", "asset", "channel"), "capture_id")
+    """Candidates with asset and channel, for requests that filter differently.
+
+    A candidate stays one row: without a fact it has no asset, and a fact that is stored twice counts once.
+    """
+    scope = facts.groupBy("capture_id").agg(F.min("asset").alias("asset"), F.min("channel").alias("channel"))
+    return paired.join(scope, "capture_id", "left")
 
 
 def _passes_filters() -> Column:

@@ -34,6 +34,7 @@ class ReplayView:
     scoped: DataFrame
     keys: DataFrame
     exclusions: DataFrame
+    max_page_size: int = R.MAX_PAGE_SIZE
 
     def ordered_keys(self) -> DataFrame:
         return self.keys.orderBy(*R.ORDER_COLUMNS[self.request.ordering])
@@ -49,28 +50,32 @@ class ReplayView:
         """One page of full records.
 
         The page holds at most ``page_size`` keys, a bound the request check enforces.  They are found
-        first; payloads are then read only from the arrival range of the page, and the keys broadcast.
+        first; payloads are then read only from the arrival range of the page.
         """
         size = page_size or self.request.page_size
-        if not 0 < size <= R.MAX_PAGE_SIZE:
+        if not 0 < size <= self.max_page_size:
             raise S.ContractError("INVALID_REQUEST", "page size is outside the bound")
         page = materialize(R.keyset_page(self.keys, self.request.ordering, size, last_key))
         span = page.agg(F.min("received_ns"), F.max("received_ns")).first()
-        return widen(self.lake, page, self.request, few=True, received=tuple(span))
+        return widen(self.lake, page, self.request, received=tuple(span))
 
     def summary(self) -> DataFrame:
         return view_summary(self)
 
 
 def replay_as_of(
-    lake: Lake, request: R.AsOfRequest, strict: bool = True, check_scope: str = "policy"
+    lake: Lake,
+    request: R.AsOfRequest,
+    strict: bool = True,
+    check_scope: str = "policy",
+    max_page_size: int = R.MAX_PAGE_SIZE,
 ) -> ReplayView:
     """Stages in contract order: validate, pair, check, filter, qualify, select.
 
     A strict read computes the pairing once, keeps it in the shared folder, and raises the most
-    important defect before it returns.
+    important defect before it returns.  ``max_page_size`` is for the owner of the service to set.
     """
-    request = request.validated()
+    request = request.validated(max_page_size)
     paired = R.pair_candidates(
         lake.facts,
         lake.decisions,
@@ -94,7 +99,7 @@ def replay_as_of(
     keys = selected.select(
         "capture_id", "category", "received_ns", "provider_ns", "evidence_at", "authority_at"
     )
-    return ReplayView(lake, request, scoped, keys, R.replay_exclusions(scoped, request.cutoff_ns))
+    return ReplayView(lake, request, scoped, keys, R.replay_exclusions(scoped, request.cutoff_ns), max_page_size)
 
 
 def raise_first(violations: DataFrame) -> None:
@@ -123,7 +128,6 @@ def widen(
     lake: Lake,
     keys: DataFrame,
     request: R.AsOfRequest,
-    few: bool = False,
     received: tuple[int | None, int | None] = (None, None),
 ) -> DataFrame:
     """Full records of selected keys: payload and decision are joined only here.
@@ -145,11 +149,9 @@ def widen(
     refs = references(lake.authorities, request.policy_version)
     extra = [c for c in ("position", "has_more") if c in keys.columns]
     small = keys.select("capture_id", "category", "received_ns", "provider_ns", *extra, *refs)
-    if few:
-        small = F.broadcast(small)
-        wide = F.broadcast(facts.join(small, "capture_id"))
-        return decisions.join(wide, "capture_id").select(*record_columns(), *extra)
-    return small.join(facts, "capture_id").join(decisions, "capture_id").select(*record_columns())
+    # no hint: a page is a small table that Spark broadcasts by its size, payloads have no bound
+    of_keys = decisions.join(keys.select("capture_id"), "capture_id", "left_semi")
+    return small.join(facts, "capture_id").join(of_keys, "capture_id").select(*record_columns(), *extra)
 
 
 def record_columns() -> list[str]:
@@ -183,12 +185,19 @@ def view_summary(view: ReplayView) -> DataFrame:
     )
 
 
-def many_summaries(lake: Lake, requests: DataFrame) -> DataFrame:
-    """``view_summary`` for a whole table of requests; refused requests carry their code."""
+def many_summaries(lake: Lake, requests: DataFrame, strict: bool = True) -> DataFrame:
+    """``view_summary`` for a whole table of requests.
+
+    A refused request carries its code and neither members nor an identity.  A strict call raises the defects of the
+    lake that stop a single read.
+    """
     valid = materialize(
         R.canonical_filters(R.validate_requests(requests).where("reject_reason IS NULL"))
     )
     paired = R.pair_candidates(lake.facts, lake.decisions, lake.markers, authorities=lake.authorities)
+    if strict:
+        paired = materialize(paired)
+        raise_first(R.pair_violations(paired))
     candidates = materialize(R.with_filters(paired, lake.facts))
     members = materialize(R.fold_members(R.replay_many(valid, candidates)))
     zero = F.lit(0).cast("bigint")
@@ -203,6 +212,7 @@ def many_summaries(lake: Lake, requests: DataFrame) -> DataFrame:
         R.bind_snapshot(joined, lake.authorities)
         .join(R.exclusion_counts(valid, candidates), "request_id")
         .join(R.replay_many_status(valid, candidates, members), "request_id")
+        .withColumns({c: F.when(F.col("outcome") == "ok", F.col(c)) for c in ("n_records", "snapshot_identity")})
         .withColumn("ordering_rule_version", F.lit(S.ORDERING_RULE_VERSION))
         .withColumn("completeness", F.lit(S.COMPLETENESS))
     )

@@ -21,7 +21,7 @@ def candidates(spark, rows):
 
 
 def recurrence(rows, floor):
-    order = sorted(rows, key=lambda r: (r[2], r[0] != "evidence", hashlib.sha256(r[1].encode()).hexdigest()[:3], r[1]))
+    order = sorted(rows, key=lambda r: (r[2], r[0] != "evidence", r[1]))
     out, last = {}, floor
     for kind, cid, t in order:
         last = t if last is None else max(t, last + 1)
