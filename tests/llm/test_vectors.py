@@ -53,6 +53,20 @@ def test_recall_of_the_forest(llm, vectors, rounds):
     assert 0.97 * 2 * len(links) <= found <= 2 * len(links)
 
 
+@pytest.mark.parametrize("rows, noise", [(300, 0.1), (3000, 0.3), (10000, 0.1), (6000, "groups")])
+def test_recall_of_dense_groups(llm, rows, noise):
+    """One label with more different vectors than a leaf holds, all near one another; production parameters."""
+    rng = np.random.default_rng(11)
+    centres = rng.standard_normal((20 if noise == "groups" else 1, 64))
+    x = (centres[np.arange(rows) % len(centres)] + (0.25 if noise == "groups" else noise) * rng.standard_normal((rows, 64))).astype(np.float32)
+    unit = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    links = (unit @ unit.T >= 0.93).sum(axis=1) - 1
+    table = llm.createDataFrame([(k, v.tolist(), 0) for k, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    got = {r["vec_id"]: r["n_links"] for r in near_vectors.near_duplicates(table, 0.93).collect()}
+    assert len(got) == rows and all(got[k] <= links[k] for k in got)
+    assert sum(got.values()) >= 0.9 * links.sum() > 0
+
+
 def test_blocks_lose_nothing(llm, vectors, monkeypatch):
     monkeypatch.setattr(near_vectors, "BLOCK", 20)
     got = near_vectors.near_duplicates(llm.createDataFrame(vectors, SCHEMA), 0.93, leaf=5, trees=1, rounds=0).collect()
