@@ -11,7 +11,8 @@ token sums over the first ``PREFIX`` hex digits of the order, so that only the d
 are ordered row by row.
 
 A token is a word unless ``tokens`` names a column.  Nulls of domain, language and source are a value of their own.  A
-child without weight gets weight 0: it is used only after every sibling with weight.  Documents without tokens
+child of weight None gets its share of the tokens of all siblings, and those with a number divide the rest; a child that
+is not named beside named ones gets weight 0: it is used only after every sibling with weight.  Documents without tokens
 cost nothing and are taken with the prefix they lie in.
 """
 
@@ -60,7 +61,16 @@ def share_out(budget: int, capacity: dict, weight: dict) -> dict:
     return out
 
 
-def leaf_budgets(tokens: dict[tuple, int], weights: dict[tuple, float], budget: int, max_epochs: int) -> dict[tuple, int]:
+def _weigh(kin: dict, named: dict) -> dict:
+    """Numbers for the weights of siblings; None stands for the share of the tokens of ``kin``."""
+    total = sum(kin.values())
+    shares = {c: Fraction(kin[c], total) if total else Fraction(0) for c, w in named.items() if w is None}
+    given = {c: Fraction(w) for c, w in named.items() if w is not None and w > 0}
+    rest = (1 - sum(shares.values())) / (sum(given.values()) or 1)
+    return shares | {c: w * rest for c, w in given.items()} if shares else named
+
+
+def leaf_budgets(tokens: dict[tuple, int], weights: dict[tuple, float | None], budget: int, max_epochs: int) -> dict[tuple, int]:
     """Budget of every leaf.  ``weights`` may name a node at any level by its path; an unnamed one weighs its tokens."""
     capacity: dict[tuple, int] = defaultdict(int)
     for leaf, n in tokens.items():
@@ -75,7 +85,7 @@ def leaf_budgets(tokens: dict[tuple, int], weights: dict[tuple, float], budget:
         for node in [n for n in out if len(n) == depth]:
             kin = {c: capacity[c] for c in sorted(children[node], key=str)}
             named = {c: weights[c] for c in kin if c in weights}
-            out.update(share_out(out[node], kin, named or {c: capacity[c] for c in kin}))
+            out.update(share_out(out[node], kin, _weigh(kin, named) if named else {c: capacity[c] for c in kin}))
     return {leaf: out[leaf] for leaf in tokens}
 
 
@@ -100,7 +110,7 @@ def _on_leaf(rows: DataFrame, plan: DataFrame, *more: str) -> DataFrame:
     return rows.join(plan, same).drop(*(f"p{c}" for c in (*LEAF, *more)))
 
 
-def mix(docs: DataFrame, weights: dict[tuple, float], budget: int | float, domain, max_epochs: int = 4, seed: int = 0, tokens=None) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[tuple, float | None], budget: int | float, domain, max_epochs: int = 4, seed: int = 0, tokens=None) -> DataFrame:
     """Rows of ``docs`` with ``mix_epoch``, ``mix_domain`` and ``mix_tokens``; a row comes once for each epoch that takes it.
 
     ``weights`` names nodes by path: ``(domain,)``, ``(domain, lang)``, ``(domain, lang, source)``.  Where no child of a node is

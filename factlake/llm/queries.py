@@ -76,8 +76,9 @@ def domain() -> Column:
     return F.when(F.coalesce(number, F.lit("")) == "", "other").otherwise(F.concat(F.lit("d"), (F.pmod(number.cast("decimal(38,0)"), F.lit(4))).cast("int").cast("string")))
 
 
-#: Target weights of the production mix; languages and sources below weigh what they hold.
-WEIGHTS = {("d0",): 0.4, ("d1",): 0.3, ("d2",): 0.2, ("d3",): 0.1}
+#: Target weights of the production mix; languages and sources below weigh what they hold.  Sources without a number get
+#: their share of the tokens, and the numbered domains divide the rest.
+WEIGHTS = {("d0",): 0.4, ("d1",): 0.3, ("d2",): 0.2, ("d3",): 0.1, ("other",): None}
 
 
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -96,6 +96,20 @@ def test_mix(docs, corpus, budget, epochs):
     assert sorted(((r["doc_id"], r["mix_epoch"]) for r in got), key=str) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("name", [None, "web"])
+def test_mix_of_sources_without_a_number(llm, tmp_path, name):
+    """A third of the rows have a null or unnumbered source: they keep their share in op9 and in the pipeline."""
+    rows = [(k, "word " * 10, "en", name if k % 3 == 0 else f"src{k % 8}", 50) for k in range(1200)]
+    llm.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    taken = queries.op9_source_mix(llm, str(tmp_path)).groupBy("mix_domain").agg(F.sum("mix_tokens").alias("n")).collect()
+    taken = {r[0]: r[1] for r in taken}
+    assert taken == {"d0": 3200, "d1": 2400, "d2": 1600, "d3": 800, "other": 4000}
+    docs = llm.read.parquet(f"{tmp_path}/documents.parquet")
+    kept = corpus_pipeline.mix_sources(llm, docs, str(tmp_path))
+    # 360 rows are its share; the budget of 1080 fills d0 and d1, so it gets some of what they cannot use too
+    assert kept.where(F.col("source").eqNullSafe(F.lit(name))).count() >= 360 and 1070 <= kept.count() <= 1080
+
+
 def test_mix_of_nothing(empty):
     assert mixing.mix(empty, {}, 1.0, queries.domain()).count() == 0
 
