@@ -81,7 +81,7 @@ def build_index(rows: DataFrame, n_pivots: int = N_PIVOTS, annulus_rows: int = A
     share = Window.partitionBy("size").orderBy(F.xxhash64("vec_id"), "vec_id")
     drawn = sized.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < F.lit(float(1 << 30)) * F.least(F.lit(1.0), F.lit(64.0 * n_pivots) / F.lit(max(1, rows.count()))))
     picked = drawn.withColumn("k", F.row_number().over(share)).where(F.col("k") <= n_pivots).select("size", "v").collect()
-    pivots = {size: _lifted(np.array([r["v"] for r in picked if r["size"] == size] or [[0] * size], np.float64).reshape(-1, size), m) for size, m in most.items()}
+    pivots = {size: _lifted(_matrix(pd.Series([r["v"] for r in picked if r["size"] == size] or [[0] * size])), m) for size, m in most.items()}
 
     def assign(batches):
         for batch in batches:
