@@ -89,7 +89,8 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     labels = _read(spark, sf_dir, "labels").where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    model = toxicity.fit(docs.where(~held_out()).select("doc_id", "text").join(labels, "doc_id"))
+    drawn, totals = toxicity.draw(labels.where(~held_out()))
+    model = toxicity.fit(docs.select("doc_id", "text").join(drawn, "doc_id"), totals=totals)
     return toxicity.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 

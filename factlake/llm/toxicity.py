@@ -36,6 +36,8 @@ from factlake.session import materialize
 
 THRESHOLD = 0.3
 REACH = 4
+#: Labelled rows of each label that are learned from at most.
+SAMPLE_ROWS = 6000
 #: Letters of the beginnings of words that are learned beside whole words.
 STEMS = (4, 5, 6)
 
@@ -156,11 +158,36 @@ def probability(model: ToxicityModel, amount: float) -> float:
     return 1.0 / (1.0 + math.exp(-max(-60.0, min(60.0, model.bias + model.slope * amount))))
 
 
-def fit(labelled: DataFrame, sample_rows: int = 6000, most_words: int = 400, least_docs: int = 6, least_odds: float = 3.8, mixed_odds: float = 5.5) -> ToxicityModel:
+def draw(labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[DataFrame, dict[int, int]]:
+    """At most ``sample_rows`` ids of each label (``doc_id``, ``toxic``), those with the smallest hash, and how many rows each label has.
+
+    Only ids are drawn; the few that are meet the texts without a shuffle of the texts.
+    """
+    rows = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("toxic IN (0, 1) AND doc_id IS NOT NULL")
+    totals = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    some = [rows.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows) for y in (0, 1)]
+    return F.broadcast(materialize(some[0].union(some[1]))), totals
+
+
+def _sampled(rows: DataFrame, counts: dict[int, int], sample_rows: int) -> tuple[DataFrame, dict[int, int]]:
+    """A bounded sample of labelled texts, copies folded, and its size by label."""
+    place = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
+    share = F.create_map(*(F.lit(x) for y, n in counts.items() for x in (y, float(min(1.0, (1.5 * sample_rows + 50) / n) * (1 << 30)))))
+    near = rows.withColumn("place", place).where(F.col("place") < share[F.col("toxic")])
+    # copies are folded into a count, so that no group of them meets in one task
+    order = Window.partitionBy("toxic").orderBy("place", "text").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    folded = near.groupBy("toxic", "place", "text").agg(F.count("*").alias("n")).withColumn("upto", F.sum("n").over(order))
+    room = F.lit(sample_rows) - (F.col("upto") - F.col("n"))
+    sample = materialize(folded.where(room > 0).select("text", "toxic", F.least("n", room).alias("n")))
+    return sample, {y: min(n, sample_rows) for y, n in counts.items()}
+
+
+def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, most_words: int = 400, least_docs: int = 6, least_odds: float = 3.8, mixed_odds: float = 5.5, totals: dict[int, int] | None = None) -> ToxicityModel:
     """Learn from ``text`` and ``toxic`` (0/1) of ``labelled``.
 
     A word or beginning that a clean text of the sample has needs log-odds of ``mixed_odds``; any other, and the
-    repeated use of a beginning, ``least_odds``.
+    repeated use of a beginning, ``least_odds``.  ``totals`` says that ``labelled`` is a bounded sample already (see ``draw``)
+    and how many rows each label has in all.
 
     Reaches the driver: two counts, at most ``most_words`` words and twice as many beginnings, and the evidence of the sample as
     grouped counts.
@@ -169,15 +196,11 @@ def fit(labelled: DataFrame, sample_rows: int = 6000, most_words: int = 400, lea
     counts = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(counts) < 2:
         return ToxicityModel((), (), (), 4.0 if counts.get(1) else -4.0, 0.0)
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
-    share = F.create_map(*(F.lit(x) for y, n in counts.items() for x in (y, float(min(1.0, (1.5 * sample_rows + 50) / n) * (1 << 30)))))
-    near = rows.withColumn("place", place).where(F.col("place") < share[F.col("toxic")])
-    # copies are folded into a count, so that no group of them meets in one task
-    order = Window.partitionBy("toxic").orderBy("place", "text").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    folded = near.groupBy("toxic", "place", "text").agg(F.count("*").alias("n")).withColumn("upto", F.sum("n").over(order))
-    room = F.lit(sample_rows) - (F.col("upto") - F.col("n"))
-    sample = materialize(folded.where(room > 0).select("text", "toxic", F.least("n", room).alias("n")))
-    sizes = {y: min(n, sample_rows) for y, n in counts.items()}
+    if totals is not None:
+        sample = materialize(rows.groupBy("text", "toxic").agg(F.count("*").alias("n")))
+        sizes = counts
+    else:
+        sample, sizes = _sampled(rows, counts, sample_rows)
 
     def seen(batches):
         for batch in batches:
@@ -214,7 +237,7 @@ def fit(labelled: DataFrame, sample_rows: int = 6000, most_words: int = 400, lea
             yield pa.RecordBatch.from_arrays([pa.array(got, pa.int32()), batch.column("toxic"), batch.column("n")], ["bin", "toxic", "n"])
 
     table = sample.mapInArrow(bins, "bin int, toxic int, n long").groupBy("bin", "toxic").agg(F.sum("n").alias("n")).collect()
-    scale = {y: counts[y] / sizes[y] for y in counts}  # the sample is even, the table is not
+    scale = {y: (totals or counts).get(y, sizes[y]) / sizes[y] for y in counts}  # the sample is even, the table is not
     return _calibrated(model, [((r["bin"] + (0.5 if r["bin"] else 0.0)) / 2, r["toxic"], r["n"] * scale[r["toxic"]]) for r in table])
 
 
