@@ -37,8 +37,12 @@ PART_BYTES = 1 << 17
 LETTER_RUNS = {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
 #: Latin-1 letters.
 SIMPLE = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
-#: Words whose ids a worker remembers; beyond it the memory starts anew.
-MEMORY = 400_000
+#: Bytes that a worker's memory of words may take, by the estimate of ``WORD_BYTES`` a word; beyond it the memory starts anew.
+MEMORY_BYTES = 24 << 20
+#: A word as key and place in a dictionary, with its ids.
+WORD_BYTES = 240
+#: Bytes of text that are encoded, and rows handed on, at once.
+ENCODE_BYTES = 1 << 20
 #: Rows that are decoded before they are handed on.
 DECODE_ROWS = 500
 #: Words that go to the tokenizer in one call.
@@ -184,7 +188,7 @@ class Encoder:
         split = pc.ascii_split_whitespace(self.plainer(texts))
         coded = split.flatten().dictionary_encode()
         words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        if len(self.words) + len(words) > MEMORY:
+        if (len(self.words) + len(words)) * WORD_BYTES > MEMORY_BYTES:
             self.words, self.used = {}, 0
         new = [w for w in words if w not in self.words]
         if new:
@@ -198,13 +202,17 @@ class Encoder:
         bounds = np.append(0, ends)[split.offsets.to_numpy() - split.offsets[0].as_py()]
         return self.store[where], bounds
 
-    def encode(self, texts: pa.Array, size: int = 1 << 23) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, one after another, and where each text's begin (with the end of the last)."""
+    def encode_some(self, texts: pa.Array, size: int = ENCODE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Runs of rows of about ``size`` bytes: number of rows, their ids, and where each row's begin (with the end of the last)."""
         texts = texts.cast(pa.large_string()).fill_null("")
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-        ids, bounds = [np.zeros(0, "<u4")], [np.zeros(1, np.int64)]
         for first, last in passes(offsets, size):
-            some, ends = self._some(texts.slice(first, last - first))
+            yield last - first, *self._some(texts.slice(first, last - first))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and where each text's begin (with the end of the last)."""
+        ids, bounds = [np.zeros(0, "<u4")], [np.zeros(1, np.int64)]
+        for _, some, ends in self.encode_some(texts):
             ids.append(some)
             bounds.append(ends[1:] + bounds[-1][-1])
         return np.concatenate(ids), np.concatenate(bounds)
@@ -271,8 +279,10 @@ def encode(docs: DataFrame, path: str, long_chars: int = 1 << 20) -> DataFrame:
     def whole(batches):
         enc = encoder(path)
         for batch in batches:
-            ids = as_lists(*enc.encode(batch.column("text")))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
+            first = 0
+            for n, *ids in enc.encode_some(batch.column("text")):
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, n), as_lists(*ids)], ["doc_id", "ids"])
+                first += n
 
     def leaves(batches):
         enc = encoder(path)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of text that one numpy pass takes; a longer document is a pass of its own.
-PASS_BYTES = 1 << 21
+PASS_BYTES = 1 << 19
 #: Longer words are hashed by BLAKE2 (a polynomial modulo 2^64 has known collisions from 1024 symbols on).
 LONG_WORD = 512
 
@@ -37,6 +37,17 @@ def keyed(df: DataFrame) -> DataFrame:
     return documents(df).withColumn("text_key", F.xxhash64("text"))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores after them as long as a column of ``df`` has such a name (in any case of letters)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The finaliser of SplitMix64, a bijection of 64-bit numbers."""
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
