@@ -90,6 +90,8 @@ def leaf_budgets(tokens: dict[tuple, int], weights: dict[tuple, float | None], b
 
 
 LEAF = ("__domain", "__lang", "__source")
+#: Columns that the mix adds to the rows.
+ADDED = ("mix_epoch", "mix_domain", "mix_tokens")
 
 
 def _order(seed: int, epoch):
@@ -97,10 +99,6 @@ def _order(seed: int, epoch):
     return F.md5(F.concat_ws("|", F.lit(str(seed)), epoch.cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text))
 
 
-def _with_leaf(docs: DataFrame, domain) -> DataFrame:
-    return docs.withColumns({"__domain": domain.cast("string"), "__lang": F.col("lang").cast("string"), "__source": F.col("source").cast("string")})
-
-
 def _on_leaf(rows: DataFrame, plan: DataFrame, *more: str) -> DataFrame:
     """Join on the leaf, nulls included; ``plan`` has a row per leaf and epoch, so it is as small as the tree."""
     plan = plan.select(*(F.col(c).alias(f"p{c}") for c in (*LEAF, *more)), *(c for c in plan.columns if c not in (*LEAF, *more)))
@@ -110,9 +108,12 @@ def _on_leaf(rows: DataFrame, plan: DataFrame, *more: str) -> DataFrame:
     return rows.join(plan, same).drop(*(f"p{c}" for c in (*LEAF, *more)))
 
 
-def mix(docs: DataFrame, weights: dict[tuple, float | None], budget: int | float, domain, max_epochs: int = 4, seed: int = 0, tokens=None) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[tuple, float | None], budget: int | float, domain, max_epochs: int = 4, seed: int = 0, tokens=None, added: tuple[str, str, str] = ADDED) -> DataFrame:
     """Rows of ``docs`` with ``mix_epoch``, ``mix_domain`` and ``mix_tokens``; a row comes once for each epoch that takes it.
 
+    ``added`` may give these columns other names; a column of ``docs`` with such a name gives way.  Further columns of any
+    name are carried along.
+
     ``weights`` names nodes by path: ``(domain,)``, ``(domain, lang)``, ``(domain, lang, source)``.  Where no child of a node is
     named, its children weigh what they hold.  ``budget`` is a number of tokens, or as a float a share of all.  ``domain``
     and ``tokens`` are columns over ``docs``.  One row per leaf reaches the driver, as many as the weights speak of.
@@ -120,7 +121,13 @@ def mix(docs: DataFrame, weights: dict[tuple, float | None], budget: int | float
     spark = docs.sparkSession
     n = tokens if tokens is not None else n_words()
     # all counting runs on a narrow table; the texts are read once more at the end and never shuffled
-    narrow = materialize(_with_leaf(docs, domain).select(*LEAF, "doc_id", F.md5(F.col("text").cast("string")).alias("digest"), n.cast("long").alias("n")))
+    own = [c for c in docs.columns if c.lower() not in {x.lower() for x in added}]
+    # a row travels as one value, so that no name in it meets a name used here
+    packed = docs.select(
+        *(c.cast("string").alias(x) for c, x in zip((domain, F.col("lang"), F.col("source")), LEAF)),
+        F.col("doc_id").alias("doc_id"), F.col("text").alias("text"), n.cast("long").alias("n"), F.struct(*(F.col(f"`{c}`") for c in own)).alias("row"),
+    )
+    narrow = materialize(packed.select(*LEAF, "doc_id", F.md5(F.col("text").cast("string")).alias("digest"), "n"))
     sums = narrow.groupBy(*LEAF).agg(F.sum("n").alias("n")).collect()
     leaves = {(r[0], r[1], r[2]): int(r[3] or 0) for r in sums}
     whole = int(budget * sum(leaves.values())) if isinstance(budget, float) else int(budget)
@@ -153,5 +160,5 @@ def mix(docs: DataFrame, weights: dict[tuple, float | None], budget: int | float
     for c in group[1:]:
         same = same & plan[c].eqNullSafe(ends[f"e{c}"])
     plan = plan.join(ends, same, "left").select(*group, "whole", "last")
-    chosen = _on_leaf(_with_leaf(docs, domain), plan).where(F.col("whole") | F.col("last").isNull() | (_order(seed, F.col("mix_epoch")) <= F.col("last")))
-    return chosen.select(*(chosen[c] for c in docs.columns), "mix_epoch", F.col("__domain").alias("mix_domain"), n.cast("long").alias("mix_tokens"))
+    chosen = _on_leaf(packed, plan).where(F.col("whole") | F.col("last").isNull() | (_order(seed, F.col("mix_epoch")) <= F.col("last")))
+    return chosen.select(*(F.col(f"row.`{c}`").alias(c) for c in own), *(F.col(c).alias(x) for c, x in zip(("mix_epoch", LEAF[0], "n"), added)))

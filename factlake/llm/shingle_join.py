@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from factlake.llm.components import components
-from factlake.llm.text import Words, keyed, mix, passes, range_hashes, utf8
+from factlake.llm.text import keyed, mix, passes, range_hashes, unused, utf8, Words
 from factlake.session import materialize
 
 #: Ratio of the sizes at the ends of a band.
@@ -252,12 +252,12 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 
     Rows without words and rows with null ``doc_id`` link with nothing and all stay.
     """
-    key, doc = "__text_key", "__doc_id"
+    key, doc, is_head, nth = unused(docs, "__text_key", "__doc_id", "__head", "__copy")
     rows = docs.withColumns({doc: F.col("doc_id").cast("long"), key: F.xxhash64(F.col("text").cast("string"))})
     found = linked_components(docs, n, percent).where("doc_id IS NOT NULL AND n_shingles > 0")
     head = (F.col("doc_id") == F.col("component_id")) & (F.col("text_key") == F.col("head_key"))
-    verdict = found.groupBy(F.col("doc_id").alias(doc), F.col("text_key").alias(key)).agg(F.max(head).alias("__head"))
+    verdict = found.groupBy(F.col("doc_id").alias(doc), F.col("text_key").alias(key)).agg(F.max(head).alias(is_head))
     copy = Window.partitionBy(doc, key).orderBy(F.xxhash64(*docs.columns))
-    judged = rows.where(F.col(doc).isNotNull()).join(verdict, [doc, key], "left").withColumn("__copy", F.row_number().over(copy))
-    stay = judged.where("__head IS NULL OR (__head AND __copy = 1)").select(*docs.columns)
+    judged = rows.where(F.col(doc).isNotNull()).join(verdict, [doc, key], "left").withColumn(nth, F.row_number().over(copy))
+    stay = judged.where(F.col(is_head).isNull() | (F.col(is_head) & (F.col(nth) == 1))).select(*(judged[f"`{c}`"] for c in docs.columns))
     return stay.union(docs.where(F.col("doc_id").cast("long").isNull()))

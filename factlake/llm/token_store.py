@@ -209,22 +209,25 @@ def lookup(store: Store, keys: DataFrame) -> DataFrame:
     n_buckets = buckets.select(F.max("n_buckets")).first()[0] or 1
     asked = _hashed(keys.select(F.col("doc_id").cast("long")), n_buckets).join(buckets.select("bucket", "index_file"), "bucket")
 
-    def find(frames):
+    def find(batches):
         name, known = None, None
-        for rows in frames:
-            for file, part in rows.groupby("index_file", sort=False):
-                if file != name:
-                    name, known = file, _read_bucket(file)
+        for batch in batches:
+            files = batch.column("index_file").to_pylist()
+            edges = [0, *(k for k in range(1, len(files)) if files[k] != files[k - 1]), len(files)] if files else []
+            for first, last in itertools.pairwise(edges):
+                part = batch.slice(first, last - first)
+                if files[first] != name:
+                    name, known = files[first], _read_bucket(files[first])
                 displacements, entry = known
-                h1, h2 = (part[c].to_numpy(np.int64).view(_U) for c in ("h1", "h2"))
+                h1, h2 = (part.column(c).to_numpy().view(_U) for c in ("h1", "h2"))
                 got = entry[_slot(h2, displacements[(mix(h2 ^ _STEP) % _U(len(displacements))).astype(np.int64)], len(entry))]
                 same = got["print"] == (h1 >> _U(32)).astype(np.uint32)
-                out = pd.DataFrame({c: got[c][same].astype(np.int64) for c in ("shard", "place", "copies", "last_shard")})
-                out.insert(0, "doc_id", part["doc_id"].to_numpy()[same])
-                yield out.astype({"doc_id": "Int64"})
+                # keys stay Arrow's integers: beside a null, pandas would make them doubles
+                out = [part.column("doc_id").filter(pa.array(same)), *(pa.array(got[c][same].astype(np.int64)) for c in ("shard", "place", "copies", "last_shard"))]
+                yield pa.RecordBatch.from_arrays(out, ["doc_id", "shard", "place", "copies", "last_shard"])
 
     ordered = asked.repartition("bucket").sortWithinPartitions("bucket")
-    return ordered.mapInPandas(find, "doc_id long, shard long, place long, copies long, last_shard long")
+    return ordered.mapInArrow(find, "doc_id long, shard long, place long, copies long, last_shard long")
 
 
 class _Shard:
@@ -239,6 +242,10 @@ class _Shard:
         self.keys = np.frombuffer(meta, "<i8", n, 8 * (n + 1))
         self.nulls = int(np.frombuffer(meta, np.uint8, n, 16 * n + 8).sum())
 
+    def holds(self, key: int | None, place: int) -> bool:
+        """Whether the document at a place has this key; a fingerprint alone may be that of another one."""
+        return place < self.nulls if key is None else place >= self.nulls and int(self.keys[place]) == key
+
     def run(self, key: int | None) -> tuple[int, int]:
         """Places of a key that goes on from an earlier shard."""
         if key is None:
@@ -277,6 +284,8 @@ def fetch(store: Store, keys: DataFrame) -> DataFrame:
                 if file != name:
                     yield from _emit(shard, wanted)
                     name, shard, wanted = file, _Shard(file), []
+                if place is not None and not shard.holds(key, place):
+                    continue
                 first, last = (place, place + copies) if place is not None else shard.run(key)
                 wanted.extend((key, base, p) for p in range(first, last))
             yield from _emit(shard, wanted)

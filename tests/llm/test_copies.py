@@ -1,9 +1,11 @@
 """Shingle join and substring dedup against brute force."""
 
 import pytest
+from pyspark.sql import functions as F
 from brute import components, jaccard_links, removed, shingles
 
-from factlake.llm import repeats, shingle_join
+import corpus_pipeline
+from factlake.llm import mixing, repeats, shingle_join
 
 
 @pytest.mark.parametrize("n, percent", [(3, 90), (5, 80), (1, 50)])
@@ -53,3 +55,20 @@ def test_different_texts_of_one_id(llm):
     rows = [(1, a), (2, a), (2, b), (3, b), (3, "short")]
     got = repeats.remove_repeats(llm.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r["doc_id"], r["n_words"], r["n_removed"]) for r in got) == [(1, 40, 0), (2, 40, 0), (2, 40, 40), (3, 1, 0), (3, 40, 40)]
+
+
+def test_clashing_columns(llm):
+    """Further columns named as the operators name theirs come through, beside right results."""
+    names = ["__head", "__copy", "n_words", "n_removed", "kept", "spans", "mix_epoch", "mix_domain", "mix_tokens", "whole", "last", "p__domain", "__domain", "row", "n", "text_key", "node", "part", "label"]
+    passage, start = (" ".join(f"{x}{k}" for k in range(30)) for x in "ws")
+    rows = [(1, passage + " one", "en", "src1", 1), (2, passage + " one", "en", "src1", 1), (3, start + " " + passage, "en", "src2", 1), (None, None, None, None, None)]
+    docs = llm.createDataFrame([(*r, *range(len(names))) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` int" for c in names))
+    one = shingle_join.keep_one(docs)
+    assert one.columns == docs.columns and sorted(r["doc_id"] or 0 for r in one.collect()) == [0, 1, 3]
+    cut = corpus_pipeline.cut_repeats(llm, docs, "")
+    assert cut.columns == docs.columns
+    assert {(r["doc_id"], r["text"], r["n_words"], r["kept"], r["spans"], r["label"]) for r in cut.collect()} == {(1, rows[0][1], 2, 4, 5, 18), (3, start, 2, 4, 5, 18), (None, None, 2, 4, 5, 18)}
+    mixed = corpus_pipeline.mix_sources(llm, docs, "")
+    assert mixed.columns == docs.columns and mixed.count() > 0
+    added = mixing.mix(docs, {}, 1.0, F.lit("d"))
+    assert sorted(added.columns) == sorted(docs.columns) and {(r["mix_domain"], r["whole"]) for r in added.collect()} == {("d", 9)}

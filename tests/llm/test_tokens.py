@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from factlake.llm import bpe, token_counts, token_store
 from factlake.llm.queries import vocabulary
@@ -111,3 +112,20 @@ def test_length_tables(docs, corpus, library):
 
 def test_length_tables_of_nothing(empty):
     assert token_counts.limit_table(token_counts.length_histogram(empty, PATH)).count() == 0
+
+
+def test_store_keeps_large_keys_beside_a_null(llm):
+    rows = [(2**53 + 1, "one"), (None, "two"), (2**53 + 3, "three four"), (2**53 + 2, "five")]
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    store = token_store.write_store(docs, PATH)
+    asked = llm.createDataFrame([(k,) for k, _ in rows] + [(2**53,), (7,)], "doc_id long")
+    assert {r["doc_id"] for r in token_store.fetch(store, asked).collect()} == {k for k, _ in rows}
+
+
+def test_a_fingerprint_is_not_a_key(llm, monkeypatch):
+    """A key whose fingerprint is that of another one is found out at the place read."""
+    docs = llm.createDataFrame([(k, f"word {k}") for k in range(20)], "doc_id long, text string")
+    store = token_store.write_store(docs, PATH)
+    at = token_store.lookup(store, llm.createDataFrame([(3,)], "doc_id long")).withColumn("doc_id", F.lit(99).cast("long"))
+    monkeypatch.setattr(token_store, "lookup", lambda store, keys: at)
+    assert token_store.fetch(store, docs).count() == 0
