@@ -28,7 +28,7 @@ def rows_of(columns, rows):
     return sorted((tuple(norm(r[i]) for i in order) for r in rows), key=repr)
 
 
-TYPE_NAMES = {"bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE"}
+TYPE_NAMES = {"bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE", "int": "INTEGER"}
 
 
 def difference(df, con, sql: str) -> str | None:
