@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factlake.llm import bpe, lang_id, mixing, near_vectors, repeats, shingle_join, token_counts, token_store, topk, toxicity
+from factlake.llm import bpe, hard_negatives, lang_id, mixing, near_vectors, prefix_trie, repeats, shingle_join, spotsigs, token_counts, token_store, topk, toxicity
 from factlake.session import materialize
 
 #: Name of the vocabulary file; a path may be given instead (see ``vocabulary``).
@@ -94,9 +94,30 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+#: Turns that a rebuilt conversation takes over at most.
+MOST_HEAD = 5
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    head = F.pmod(F.crc32(F.col("conv_id").cast("string")), F.lit(MOST_HEAD + 1))
+    base = F.col("conv_id") - F.col("conv_id") % 100
+    return prefix_trie.node_table(_read(spark, sf_dir, "conversations"), base, head, MOST_HEAD)
+
+
+def op12_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.with_edited(_read(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec = F.col("vec_id")
+    label = F.when(vec % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _read(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.mine(rows, rows.where(vec % 100 == 0), n_positives=5, n_negatives=5, least_percent=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_language_id, op2_token_store, op3_token_counts, op4_near_vectors, op5_bpe, op6_substring_dedup, op7_top_k, op8_shingle_join, op9_source_mix, op10_toxicity)
+    for f in (op1_language_id, op2_token_store, op3_token_counts, op4_near_vectors, op5_bpe, op6_substring_dedup, op7_top_k, op8_shingle_join, op9_source_mix, op10_toxicity, op11_prefix_trie, op12_spotsigs, op13_hard_negatives)
 }
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -131,6 +152,38 @@ WITH v AS (
 s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+""",
+    "op11_prefix_trie": """
+WITH RECURSIVE ids AS (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL),
+crc AS (
+  SELECT c, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(c::VARCHAR, ''), lambda x: [ord(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384::BIGINT * (a & 1)) END) AS r FROM ids),
+h AS (SELECT c, c - c % 100 AS base, xor(r, 4294967295::BIGINT) % 6 AS h FROM crc),
+t AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p, [coalesce(role, ''), coalesce(text, '')] AS v
+  FROM conversations WHERE conv_id IS NOT NULL),
+s AS (SELECT c, list(v ORDER BY p) AS v FROM t GROUP BY c),
+b AS (SELECT h.c, list_concat(coalesce(base.v[1:h.h], []), coalesce(own.v[h.h + 1:], [])) AS v FROM h LEFT JOIN s base ON base.c = h.base LEFT JOIN s own ON own.c = h.c),
+m AS (SELECT c, d, v[1:d] AS path, len(v) = d AS ends FROM (SELECT c, v, unnest(generate_series(0, len(v))) AS d FROM b)),
+n AS (SELECT d, path, min(c) AS id, count(*) AS n, coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), '') AS ends FROM m GROUP BY d, path),
+k AS (SELECT d - 1 AS d, path[1:d - 1] AS path, count(*) AS kids FROM n WHERE d > 0 GROUP BY ALL),
+w AS (
+  SELECT n.*, coalesce(k.kids, 0) AS kids, u.id AS parent, (n.n - 1) * coalesce(length(n.path[n.d][2]), 0) AS saved
+  FROM n LEFT JOIN k ON k.d = n.d AND k.path = n.path LEFT JOIN n u ON u.d = n.d - 1 AND u.path = n.path[1:n.d - 1]),
+a AS (SELECT x.d, x.path, sum(w.saved)::BIGINT AS saved, count(*) FILTER (WHERE w.kids = 0) AS leaves FROM w JOIN m x ON x.c = w.id AND x.d <= w.d GROUP BY x.d, x.path)
+SELECT w.id AS conv_id, w.d::BIGINT AS depth, w.parent AS parent_conv_id, w.n::BIGINT AS n_convs, w.kids::BIGINT AS n_children, a.leaves::BIGINT AS n_leaves, a.saved AS saved_tokens, sha256(w.ends) AS ends_sha256
+FROM w JOIN a ON a.d = w.d AND a.path = w.path
+""",
+    "op13_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS a, c.vec_id AS b, q.label = c.label AS same, list_dot_product(q.e, c.e)::BIGINT AS score FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+p AS (SELECT a, b, score FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, b) AS r FROM s WHERE same) WHERE r <= 5),
+n AS (
+  SELECT p.a, p.b, p.score AS positive_score, s.b AS negative_id, s.score AS negative_score, row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b)::INTEGER AS rank
+  FROM p JOIN s ON s.a = p.a AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
+SELECT a AS anchor_id, b AS positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
 """,
     "op8_shingle_join": f"""
 WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws FROM documents),
