@@ -217,17 +217,23 @@ def decided_lake(spark: SparkSession, sf_dir: str) -> Lake:
 # -------------------------------------------------------------------------------------- requests
 
 
+#: Requests per day of the fixture.
+PER_DAY = 68
+
+
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two requests per UTC day of the data, with changing axis, order and filters; some are bad."""
+    """``PER_DAY`` overlapping requests per UTC day of the data, with changing window, cutoff, axis, order and filters; some are bad."""
     day_us = 86_400 * 1_000_000
     days = (
         events(spark, sf_dir)
         .select(F.call_function("div", F.col("us"), F.lit(day_us).cast("bigint")).alias("day"))
         .distinct()
-        .select("day", F.explode(F.array(F.lit(0), F.lit(1))).alias("k"))
+        .select("day", F.explode(F.sequence(F.lit(0), F.lit(PER_DAY - 1))).alias("k"))
     )
     day = F.lit(S.NS_PER_DAY).cast("bigint")
-    n = F.col("day") * 2 + F.col("k")
+    hour = F.lit(3_600 * 1_000_000_000).cast("bigint")
+    n = F.col("day") * PER_DAY + F.col("k")
+    start = (F.col("day") - F.col("k") % 2) * day + F.col("k") * hour
     no_strings = F.lit(None).cast("array<string>")
     assets = (
         F.when(n % 5 == 1, F.array(F.lit("ETH"), F.lit("BTC"), F.lit("ETH")))
@@ -242,12 +248,12 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return days.select(
         F.concat(F.lit("r"), n.cast("string")).alias("request_id"),
-        (F.col("day") * day + 2 * day).alias("cutoff_ns"),
+        (F.col("day") * day + 2 * day + F.col("k") * hour).alias("cutoff_ns"),
         F.when(n % 29 == 4, "data-truth/v2").otherwise(S.TRUTH_POLICY).alias("policy_version"),
-        F.when(F.col("k") == 0, "arrival_time").otherwise("event_time").alias("axis"),
+        F.when(F.col("k") % 2 == 0, "arrival_time").otherwise("event_time").alias("axis"),
         F.when(n % 4 == 0, "arrival").otherwise("strict_event").alias("ordering"),
-        ((F.col("day") - F.col("k")) * day).alias("start_ns"),
-        F.when(n % 31 == 5, F.col("day") * day - 2 * day).otherwise((F.col("day") + 1) * day).alias("end_ns"),
+        start.alias("start_ns"),
+        F.when(n % 31 == 5, start - day).otherwise(start + (F.col("k") % 31 + 1) * hour).alias("end_ns"),
         assets.alias("assets"),
         channels.alias("channels"),
         F.when(n % 37 == 6, 0).otherwise(100).cast("bigint").alias("page_size"),

@@ -13,6 +13,7 @@ from factlake import schemas as S
 P = S.TRUTH_POLICY
 EV_AUTH, DEC_AUTH = S.AuthorityIdentities().evidence, S.AuthorityIdentities().decision
 DAY = S.NS_PER_DAY
+HOUR = 3_600 * 1_000_000_000
 
 
 def _list(values) -> str:
@@ -150,19 +151,18 @@ m AS (
 """
 )
 
-_n = "(day * 2 + k)"
 REQUESTS = (
     EV
     + f""",
 days AS (SELECT DISTINCT us // 86400000000 AS day FROM ev),
-rq0 AS (SELECT day, k, {_n} AS n FROM days, (VALUES (0), (1)) t(k)),
+rq0 AS (SELECT day, k, day * 68 + k AS n, (day - k % 2) * {DAY} + k * {HOUR} AS start_ns FROM days, range(68) t(k)),
 rq AS (
-  SELECT 'r' || n AS request_id, day * {DAY} + 2 * {DAY} AS cutoff_ns,
+  SELECT 'r' || n AS request_id, day * {DAY} + 2 * {DAY} + k * {HOUR} AS cutoff_ns,
     CASE WHEN n % 29 = 4 THEN 'data-truth/v2' ELSE '{P}' END AS policy_version,
-    CASE WHEN k = 0 THEN 'arrival_time' ELSE 'event_time' END AS axis,
+    CASE WHEN k % 2 = 0 THEN 'arrival_time' ELSE 'event_time' END AS axis,
     CASE WHEN n % 4 = 0 THEN 'arrival' ELSE 'strict_event' END AS ordering,
-    (day - k) * {DAY} AS start_ns,
-    CASE WHEN n % 31 = 5 THEN day * {DAY} - 2 * {DAY} ELSE (day + 1) * {DAY} END AS end_ns,
+    start_ns,
+    CASE WHEN n % 31 = 5 THEN start_ns - {DAY} ELSE start_ns + (k % 31 + 1) * {HOUR} END AS end_ns,
     CASE WHEN n % 5 = 1 THEN ['ETH', 'BTC', 'ETH'] WHEN n % 5 = 2 THEN ['SOL'] WHEN n % 23 = 3 THEN ['Gold'] END AS assets,
     CASE WHEN n % 3 = 0 THEN ['trade', 'ticker', 'trade'] WHEN n % 3 = 1 THEN ['ticker'] END AS channels,
     CASE WHEN n % 37 = 6 THEN 0 ELSE 100 END AS page_size
@@ -305,6 +305,11 @@ sel AS (
    AND CASE r.axis WHEN 'arrival_time' THEN p.received_ns ELSE p.provider_ns END < r.end_ns)
 """
 )
+#: Requests that a single read refuses for want of event times.
+REFUSED = f""", refused AS (
+  SELECT request_id FROM v r JOIN p ON {_PASS} WHERE r.axis = 'event_time' AND p.evidence_at <= r.cutoff_ns AND p.authority_at <= r.cutoff_ns AND p.provider_ns IS NULL
+  UNION SELECT request_id FROM sel WHERE ordering = 'strict_event' AND provider_ns IS NULL)
+"""
 
 PROOF = (
     MARKERS
@@ -483,7 +488,12 @@ def all_sql() -> dict[str, str]:
       FROM p WHERE code IS NULL ORDER BY received_ns, capture_id""")
     put("view_summary", SUMMARY, f"""SELECT request_identity, '{P}' AS policy_version, cutoff AS cutoff_ns, 'arrival_time' AS axis, lo * 1000 AS start_ns, (hi + 1) * 1000 AS end_ns, 'arrival' AS ordering,
       '{S.ORDERING_RULE_VERSION}' AS ordering_rule_version, snapshot_identity, '{S.COMPLETENESS}' AS completeness, n AS n_records, n_ev AS n_evidence_missing, n_au AS n_authority_missing FROM summary""")
-    put("replay_many", MANY, "SELECT request_id, capture_id, category, received_ns, provider_ns FROM sel")
+    put("replay_many", MANY, REFUSED + "SELECT request_id, capture_id, category, received_ns, provider_ns FROM sel ANTI JOIN refused USING (request_id)")
+    put("replay_many_exclusions", MANY, REFUSED + f"""SELECT request_id, code, count(*) AS n, min(capture_id) AS first_capture_id, max(capture_id) AS last_capture_id
+      FROM (SELECT request_id, capture_id, CASE WHEN p.evidence_at IS NULL THEN '{S.EVIDENCE_MISSING}' WHEN p.authority_at IS NULL THEN '{S.AUTHORITY_MISSING}'
+        WHEN p.evidence_at > r.cutoff_ns THEN '{S.EVIDENCE_MISSING}' ELSE '{S.AUTHORITY_MISSING}' END AS code
+        FROM (SELECT v.* FROM v ANTI JOIN refused USING (request_id)) r JOIN p ON {_PASS} AND (coalesce(p.evidence_at > r.cutoff_ns, true) OR coalesce(p.authority_at > r.cutoff_ns, true)))
+      GROUP BY request_id, code""")
     snap = snapshot_json("cutoff_ns", "coalesce(assets_json, 'null')", "policy_version", "coalesce(channels_json, 'null')", "coalesce(n_records, 0)",
                          "coalesce(dig, '" + ".".join("0" * 16) + "')", "ordering", "axis", "end_ns", "start_ns")
     put("replay_many_summaries", MANY, f""", mem AS (SELECT request_id, count(*) AS n_records, {set_digest("capture_id")} AS dig, count(*) FILTER (WHERE provider_ns IS NULL) AS undated FROM sel GROUP BY request_id),

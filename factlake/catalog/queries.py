@@ -821,11 +821,22 @@ def view_summary(spark, sf):
     )
 
 
+def _many_candidates(spark, sf) -> DataFrame:
+    return materialize(R.with_filters(_paired(spark, sf), fx.facts(spark, sf)))
+
+
 @query
 def replay_many(spark, sf):
     valid = R.canonical_filters(R.validate_requests(fx.requests(spark, sf)).where("reject_reason IS NULL"))
-    candidates = materialize(R.with_filters(_paired(spark, sf), fx.facts(spark, sf)))
-    return R.replay_many(valid, candidates).select("request_id", "capture_id", "category", "received_ns", "provider_ns")
+    return R.replay_many(valid, _many_candidates(spark, sf)).select("request_id", "capture_id", "category", "received_ns", "provider_ns")
+
+
+@query
+def replay_many_exclusions(spark, sf):
+    """The exclusions of every request, folded to counts and the ends of their range of ids."""
+    valid = R.canonical_filters(R.validate_requests(fx.requests(spark, sf)).where("reject_reason IS NULL"))
+    listed = R.replay_many_exclusions(valid, _many_candidates(spark, sf))
+    return listed.groupBy("request_id", "code").agg(F.count("*").alias("n"), F.min("capture_id").alias("first_capture_id"), F.max("capture_id").alias("last_capture_id"))
 
 
 @query

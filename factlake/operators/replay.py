@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from factlake import schemas as S
 from factlake.functions import exprs as X
 from factlake.operators import availability as A
+from factlake.operators import cells as C
 from factlake.operators.prefix import block_boundaries, into_blocks
+from factlake.session import materialize
 from factlake.sources import tables
 
 SNAPSHOT_SCHEME = "set-digest/v1"
@@ -512,63 +514,103 @@ def _passes_filters() -> Column:
     )
 
 
-def replay_many(requests: DataFrame, candidates: DataFrame, salts: int = 8) -> DataFrame:
+AXIS_LINES = {"arrival_time": "received_ns", "event_time": "provider_ns"}
+
+
+def _cells_of(requests: DataFrame) -> tuple[C.Line, C.Line]:
+    """The window bounds and the cutoffs that the requests name."""
+    return C.line_of(requests, "start_ns", "end_ns"), C.line_of(requests, "cutoff_ns")
+
+
+def _covers(requests: DataFrame, windows: C.Line, cutoffs: C.Line) -> DataFrame:
+    """Dyadic nodes of each request's window, with the cell of its cutoff (``by_cell``)."""
+    first, last = windows.cell(F.col("start_ns")), windows.cell(F.col("end_ns")) - 1
+    placed = requests.select("request_id", "axis", "ordering", "assets", "channels", first.alias("first"), last.alias("last"), (cutoffs.cell(F.col("cutoff_ns")) - 1).alias("by_cell"))
+    return materialize(C.cover(placed, F.col("first"), F.col("last"), windows.levels).drop("first", "last"))
+
+
+def _available_cell(cutoffs: C.Line) -> Column:
+    """How many cutoffs come before both sides of a candidate were available; such a request does not see it."""
+    both = F.col("evidence_at").isNotNull() & F.col("authority_at").isNotNull()
+    return F.when(both, cutoffs.cell(F.greatest("evidence_at", "authority_at") - 1))
+
+
+def replay_many_members(requests: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Per request: how many rows it selects, how many lack event time, and their set digest, without listing them.
+
+    Candidates are folded into cells of (time, availability, asset, channel) once, cells into the dyadic nodes above them, and
+    running sums over availability answer every cutoff.  From the first fold on, nothing depends on the number of rows.
+    """
+    windows, cutoffs = _cells_of(requests)
+    covers = _covers(requests, windows, cutoffs)
+    levels = C.highest(covers)
+    summed = ["n_records", "n_undated", *[f"w{i}" for i in range(X.DIGEST_WORDS)]]
+    group = ["asset", "channel"]
+    seen = candidates.withColumn("ac", _available_cell(cutoffs)).where(F.col("ac") < len(cutoffs.bounds))
+    words = materialize(X.with_words(seen.select(*group, "received_ns", "provider_ns", "ac", "capture_id"), w=F.col("capture_id")).drop("capture_id"))
+    out = None
+    for axis, column in AXIS_LINES.items():
+        one = words.select(*group, "ac", windows.cell(F.col(column)).alias("tc"), F.lit(1).cast("bigint").alias("n_records"), F.col("provider_ns").isNull().cast("bigint").alias("n_undated"), *summed[2:])
+        cells = C.folded(one.where("tc IS NOT NULL"), [*group, "tc", "ac"], summed)
+        asked = covers.where(F.col("axis") == axis)
+        # what every request on a node sees is one step there, and what none of them sees is none
+        named = asked.groupBy("level", "node").agg(F.min("by_cell").alias("all_by"), F.max("by_cell").alias("any_by"))
+        above = C.nodes_of(cells, F.col("tc"), levels).join(named, ["level", "node"]).where(F.col("ac") <= F.col("any_by"))
+        above = above.withColumn("ac", F.greatest("ac", "all_by"))
+        parts = materialize(C.folded(above, ["level", "node", *group, "ac"], summed))
+        found = C.prefix_sums(parts, asked, group, "ac", "by_cell", summed, ["request_id", "ordering", "assets", "channels"], _passes_filters())
+        part = C.folded(found, ["request_id", "ordering"], summed)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def answered(requests: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Requests less those that ``replay_many_status`` refuses."""
+    status = replay_many_status(requests, candidates, replay_many_members(requests, candidates))
+    return materialize(requests.join(status.where("outcome = 'ok'").select("request_id"), "request_id", "left_semi"))
+
+
+def replay_many(requests: DataFrame, candidates: DataFrame) -> DataFrame:
     """Selected rows of every request in the table; per request equal to a single read.
 
-    Windows are cut into UTC days and joined on (day, salt), with the exact bounds as a residual, so
-    rows only meet requests that can select them.  The salt splits a day that holds a large share of
-    the data; the requests are the small side and are repeated per salt.
+    A request that a single read refuses has no rows.  A row meets only requests whose window holds it (see ``cells``);
+    availability and filters are left to the join's residual.
     """
-    span = candidates.agg(
-        F.min(F.least("received_ns", F.coalesce("provider_ns", "received_ns"))),
-        F.max(F.greatest("received_ns", F.coalesce("provider_ns", "received_ns"))),
-    ).first()
-    if span[0] is None:
-        span = (0, 0)
-    first_day, last_day = span[0] // S.NS_PER_DAY, span[1] // S.NS_PER_DAY
-    lo = F.greatest(X.floor_div(F.col("start_ns"), S.NS_PER_DAY), F.lit(first_day).cast("bigint"))
-    hi = F.least(X.floor_div(F.col("end_ns") - 1, S.NS_PER_DAY), F.lit(last_day).cast("bigint"))
-    asked = (
-        requests.withColumn("day", F.explode(F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array())))
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    )
+    requests = answered(requests, candidates)
+    windows, cutoffs = _cells_of(requests)
+    covers = _covers(requests, windows, cutoffs)
+    levels = C.highest(covers)
+    seen = candidates.withColumn("ac", _available_cell(cutoffs)).where(F.col("ac") < len(cutoffs.bounds))
+    seen = seen.select("capture_id", "category", "asset", "channel", "received_ns", "provider_ns", "ac")
     out = None
-    for axis, column in AXIS_COLUMN.items():
-        rows = (
-            candidates.withColumn("day", X.floor_div(F.col(column), S.NS_PER_DAY))
-            .withColumn("salt", F.pmod(F.xxhash64("capture_id"), F.lit(salts).cast("bigint")).cast("int"))
-        )
-        hit = (
-            (F.col(column) >= F.col("start_ns"))
-            & (F.col(column) < F.col("end_ns"))
-            & (F.col("evidence_at") <= F.col("cutoff_ns"))
-            & (F.col("authority_at") <= F.col("cutoff_ns"))
-            & _passes_filters()
-        )
-        part = (
-            rows.join(asked.where(F.col("axis") == axis), ["day", "salt"])
-            .where(hit)
-            .select("request_id", "ordering", "capture_id", "category", "received_ns", "provider_ns")
-        )
+    for axis, column in AXIS_LINES.items():
+        rows = seen.withColumn("tc", windows.cell(F.col(column))).where("tc IS NOT NULL")
+        met = C.meet(rows, F.col("tc"), covers.where(F.col("axis") == axis), levels)
+        part = met.where((F.col("ac") <= F.col("by_cell")) & _passes_filters())
+        part = part.select("request_id", "ordering", "capture_id", "category", "received_ns", "provider_ns")
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def fold_members(records: DataFrame) -> DataFrame:
-    """Per request: how many rows it selects, how many lack event time, and their set digest."""
-    return (
-        X.with_words(records, w=F.col("capture_id"))
-        .groupBy("request_id", "ordering")
-        .agg(
-            F.count(F.lit(1)).alias("n_records"),
-            F.count(F.when(F.col("provider_ns").isNull(), 1)).alias("n_undated"),
-            *X.set_digest("w"),
-        )
-    )
+def replay_many_exclusions(requests: DataFrame, candidates: DataFrame) -> DataFrame:
+    """``request_id``, ``capture_id``, ``code``: the exclusions of every request, as ``replay_exclusions`` gives them for one.
+
+    A candidate that was never available on both sides is excluded from every request its filters let in, by definition; a
+    late one meets only requests whose cutoff comes before it.
+    """
+    requests = answered(requests, candidates)
+    cutoffs = C.line_of(requests, "cutoff_ns")
+    never = F.lit(len(cutoffs.bounds)).cast("bigint")
+    # cell k of this line: candidates that the first k cutoffs do not see
+    rows = candidates.select("capture_id", "asset", "channel", "evidence_at", "authority_at", F.coalesce(_available_cell(cutoffs), never).alias("ac"))
+    asked = requests.select("request_id", "assets", "channels", "cutoff_ns", cutoffs.cell(F.col("cutoff_ns")).alias("after"))
+    covers = C.cover(asked, F.col("after"), never, cutoffs.levels).drop("after")
+    met = C.meet(rows.where("ac > 0"), F.col("ac"), covers, cutoffs.levels).where(_passes_filters())
+    return met.select("request_id", "capture_id", exclusion_code(F.col("cutoff_ns")).alias("code"))
 
 
 def replay_many_status(requests: DataFrame, candidates: DataFrame, members: DataFrame) -> DataFrame:
-    """``ok`` or ``UNSUPPORTED_EVENT_TIME`` per request; ``members`` comes from ``fold_members``.
+    """``ok`` or ``UNSUPPORTED_EVENT_TIME`` per request; ``members`` comes from ``replay_many_members``.
 
     On the event axis any qualified row without event time refuses the request.  Such rows are folded
     to the earliest qualifying time per (asset, channel) before they meet the requests.

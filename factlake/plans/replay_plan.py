@@ -199,7 +199,7 @@ def many_summaries(lake: Lake, requests: DataFrame, strict: bool = True) -> Data
         paired = materialize(paired)
         raise_first(R.pair_violations(paired))
     candidates = materialize(R.with_filters(paired, lake.facts))
-    members = materialize(R.fold_members(R.replay_many(valid, candidates)))
+    members = materialize(R.replay_many_members(valid, candidates))
     zero = F.lit(0).cast("bigint")
     joined = R.request_identity(valid).join(members.drop("ordering", "n_undated"), "request_id", "left")
     joined = joined.withColumns(

@@ -161,7 +161,8 @@ def test_many_requests_equal_single_reads(spark):
         table = row if table is None else table.unionByName(row)
     paired = R.pair_candidates(lk.facts, lk.decisions, lk.markers)
     candidates = R.with_filters(paired, lk.facts)
-    records = R.replay_many(table, candidates, salts=2)
+    records = R.replay_many(table, candidates)
+    left_out = R.replay_many_exclusions(table, candidates).collect()
     counts = {r["request_id"]: r for r in R.exclusion_counts(table, candidates, blocks=4).collect()}
     for i, r in enumerate(asked):
         v = replay_as_of(lk, r)
@@ -169,6 +170,8 @@ def test_many_requests_equal_single_reads(spark):
         s = v.summary().first()
         for name in ("n_evidence_missing", "n_authority_missing"):
             assert counts[f"r{i}"][name] == s[name]
+        got = [(r["capture_id"], r["code"]) for r in left_out if r["request_id"] == f"r{i}"]
+        assert sorted(got) == sorted((r["capture_id"], r["code"]) for r in v.exclusions.collect())
 
 
 def test_page_scan_prunes_payload_until_the_page_is_known(spark):
