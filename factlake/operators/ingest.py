@@ -67,12 +67,10 @@ def bind_market_identity(messages: DataFrame, identities: DataFrame) -> DataFram
     bound = F.min(F.struct("event_ticker", "asset"))
     known = identities.groupBy(F.col("ticker").alias("binding_ticker")).agg(F.count(F.lit(1)).alias("n"), bound.alias("b"))
     repeated = F.raise_error(F.concat(F.lit("MALFORMED_EVIDENCE: several identities of ticker "), F.col("binding_ticker")))
-    known = known.select(
-        "binding_ticker",
-        F.when(F.col("n") > 1, repeated.cast("string")).otherwise(F.col("b.event_ticker")).alias("bound_event_ticker"),
-        F.when(F.col("n") > 1, repeated.cast("string")).otherwise(F.col("b.asset")).alias("bound_asset"),
-    )
-    return messages.join(known, "binding_ticker", "left")
+    known = known.select("binding_ticker", F.col("b.event_ticker").alias("bound_event_ticker"), F.col("b.asset").alias("bound_asset"), F.col("n").alias("n_bound"))
+    # the refusal is a condition on the rows: it stays whatever columns are read
+    bound = messages.join(known, "binding_ticker", "left")
+    return bound.where(F.when(F.col("n_bound") > 1, repeated.cast("boolean")).otherwise(True)).drop("n_bound")
 
 
 def classify_messages(raw: DataFrame, identities: DataFrame, reference: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from factlake import schemas as S
 from factlake.functions import exprs as X
 from factlake.functions.trades import open_trades
 from factlake.operators.skew import duplicate_keys, first_per_key, keep_matching
+from factlake.session import materialize
 
 NARROW = ("capture_id", "received_ns", "provider", "source_id", "message_type", "schema_version", "payload")
 
@@ -112,14 +113,14 @@ def unsupported_facts(facts: DataFrame) -> DataFrame:
     return route_facts(facts).where("family = 'unsupported'").select("capture_id", "message_type")
 
 
-def refuse_unsupported(facts: DataFrame) -> DataFrame:
-    """No rows, unless a fact has an unsupported type: reading it then fails, so that no such fact is lost quietly."""
-    message = F.concat(F.lit("UNSUPPORTED_FACT: "), F.coalesce("message_type", F.lit("no type")))
-    return unsupported_facts(facts).select(
-        F.raise_error(message).cast("string").alias("policy_version"),
-        F.col("capture_id").alias("subject_capture_id"),
-        *[F.lit(None).cast(S.TRUTH_DECISION[c].dataType).alias(c) for c in S.DECISION_COLUMNS[2:]],
-    )
+def require_supported(facts: DataFrame) -> None:
+    """Raise if a fact has a type that no rule covers.
+
+    The check runs before a plan is handed on: a failing column in the plan could be pruned away with the defect in it.
+    """
+    first = unsupported_facts(facts).select(F.coalesce("message_type", F.lit("no type")).alias("t")).head(1)
+    if first:
+        raise S.ContractError("UNSUPPORTED_FACT", first[0]["t"])
 
 
 def decide_new(facts: DataFrame) -> DataFrame:
@@ -130,14 +131,15 @@ def decide_new(facts: DataFrame) -> DataFrame:
 def decide_facts(facts: DataFrame, existing: DataFrame, stored_facts: DataFrame) -> DataFrame:
     """Existing decisions of these facts as they are, plus new ones for the rest.
 
-    A fact that comes twice is decided once; a fact of an unsupported type fails the query.
+    A fact that comes twice is decided once; a fact of an unsupported type raises.
     """
+    require_supported(facts)
     subjects = facts.select(F.col("capture_id").alias("subject_capture_id"))
     kept = existing.where(F.col("policy_version") == S.TRUTH_POLICY).join(
         subjects, "subject_capture_id", "left_semi"
     )
     fresh = decide_incremental(undecided(facts, existing), existing, stored_facts)
-    return kept.select(*S.DECISION_COLUMNS).unionByName(fresh.distinct()).unionByName(refuse_unsupported(facts))
+    return kept.select(*S.DECISION_COLUMNS).unionByName(fresh.distinct())
 
 
 def find_accepted_anchor(decisions: DataFrame, facts: DataFrame) -> DataFrame:
@@ -154,29 +156,64 @@ def find_accepted_anchor(decisions: DataFrame, facts: DataFrame) -> DataFrame:
 def stored_anchors(
     decisions: DataFrame, facts: DataFrame, wanted: DataFrame
 ) -> DataFrame:
-    """Stored anchors of the wanted identities, in the shape of ``comparable_trades``.
+    """Stored anchors of the wanted identities, in the shape of ``comparable_trades``; an unsound one raises.
 
-    Restricting to the batch's identities first keeps the payload read to what the batch needs.  An anchor
-    fails the query if its evidence is missing or no longer a valid trade of its identity.
+    The decisions are cut down to the identities of the batch first.  Facts meet them as comparable trades: the content
+    crosses the network as a digest, never as a payload.
     """
     accepted = decisions.where("category = 'accepted' AND event IS NOT NULL").select(
-        F.col("subject_capture_id").alias("capture_id"), "event.*"
-    )
-    ids = keep_matching(accepted, wanted, S.IDENTITY_COLUMNS)
-    said = ids.select("capture_id", F.struct(*S.IDENTITY_COLUMNS).cast(S.EVENT_IDENTITY).alias("said"))
-    opened = comparable_trades(keep_matching(facts, ids, ["capture_id"]))
-    own = F.struct(*S.IDENTITY_COLUMNS).cast(S.EVENT_IDENTITY)
-    found = opened.select("capture_id", "received_ns", "content", (F.col("fault") == "").alias("valid"), own.alias("own"))
-    sound = F.coalesce(F.col("valid") & (F.col("own") == F.col("said")), F.lit(False))
-    fault = F.raise_error(F.concat(F.lit("INVARIANT_CONFLICT: a stored anchor is not sound: "), F.col("capture_id"))).cast("string")
-    # the identity is that of the decision, so an anchor without evidence reaches the check as well
-    return said.join(found, "capture_id", "left").select(
-        "capture_id",
-        F.coalesce("received_ns", F.lit(0).cast("bigint")).alias("received_ns"),
-        *[F.col(f"said.{c}").alias(c) for c in S.IDENTITY_COLUMNS],
-        F.when(sound, F.lit("")).otherwise(fault).alias("fault"),
-        F.coalesce("content", F.lit("")).alias("content"),
+        F.col("subject_capture_id").alias("capture_id"),
+        "policy_version",
+        F.array_contains("contributing_capture_ids", F.col("subject_capture_id")).alias("contributes"),
+        "event.*",
+    )
+    said = materialize(keep_matching(accepted, wanted, S.IDENTITY_COLUMNS))
+    own = F.struct(*S.IDENTITY_COLUMNS)
+    # an inner join, so that the small side can be broadcast; what it leaves out has no evidence
+    found = comparable_trades(facts).select("capture_id", "received_ns", "content", "fault", own.alias("own"))
+    held = materialize(found.join(said.select("capture_id").distinct(), "capture_id"))
+    rule = F.coalesce(
+        F.when(F.col("own").isNull(), "missing_evidence"),
+        F.when(F.col("policy_version") != S.TRUTH_POLICY, "policy_differs"),
+        F.when(~F.coalesce("contributes", F.lit(False)), "not_a_contributor"),
+        F.when(F.col("fault") != "", "invalid_evidence"),
+        F.when(~F.col("own").eqNullSafe(own), "identity_differs"),
     )
+    anchors = said.join(held, "capture_id", "left").withColumn("rule", rule)
+    _raise_rule(anchors.where("rule IS NOT NULL").select("capture_id", "rule"))
+    anchors = anchors.select("capture_id", "received_ns", *S.IDENTITY_COLUMNS, "fault", "content")
+    require_one_anchor(anchors)
+    return anchors
+
+
+def _raise_rule(broken: DataFrame) -> None:
+    first = broken.head(1)
+    if first:
+        raise S.ContractError("INVARIANT_CONFLICT", f"a stored anchor is not sound: {first[0]['rule']}: {first[0]['capture_id']}")
+
+
+def require_one_anchor(anchors: DataFrame) -> None:
+    """Raise if an identity has several anchors, or an anchor is no valid trade (map-side combined, narrow)."""
+    broken = anchors.groupBy(*S.IDENTITY_COLUMNS).agg(F.count(F.lit(1)).alias("n"), F.max("fault").alias("fault"), F.min("capture_id").alias("capture_id"))
+    rule = F.when(F.col("n") > 1, "several_accepted").when(F.col("fault") != "", "invalid_evidence")
+    _raise_rule(broken.select("capture_id", rule.alias("rule")).where("rule IS NOT NULL"))
+
+
+#: Parts of an anchor table; a batch reads those that its identities hash to.
+ANCHOR_PARTS = 256
+
+
+def anchor_part() -> Column:
+    return F.pmod(F.xxhash64(*S.IDENTITY_COLUMNS), F.lit(ANCHOR_PARTS)).cast("int")
+
+
+def anchors_near(anchors: DataFrame, trades: DataFrame) -> DataFrame:
+    """The parts of an anchor table (partitioned by ``anchor_part``) that can hold an identity of ``trades``.
+
+    At most ``ANCHOR_PARTS`` numbers reach the driver; the scan then opens only their folders.
+    """
+    parts = [r["anchor_part"] for r in trades.where("fault = ''").select(anchor_part().alias("anchor_part")).distinct().collect()]
+    return anchors.where(F.col("anchor_part").isin(parts) if parts else F.lit(False)).drop("anchor_part")
 
 
 def decide_incremental(
@@ -188,13 +225,16 @@ def decide_incremental(
     """Decisions for a new batch; a stored anchor wins over any new row, even an earlier one.
 
     ``anchors`` may give the stored anchors in comparable form (see ``anchors_of``); they are then
-    not looked up in the decision and fact tables.
+    not looked up in the decision and fact tables.  Doubled or unsound anchors raise before anything is decided.
     """
     trades = comparable_trades(new)
     if anchors is None:
         anchors = stored_anchors(decisions, stored_facts, trades)
     else:
-        anchors = keep_matching(anchors, trades, S.IDENTITY_COLUMNS)
+        if "anchor_part" in anchors.columns:
+            anchors = anchors_near(anchors, trades)
+        anchors = materialize(keep_matching(anchors, trades, S.IDENTITY_COLUMNS).select(*S.TRADE_ANCHOR.names))
+        require_one_anchor(anchors)
     both = anchors.withColumn("is_new", F.lit(0)).unionByName(trades.withColumn("is_new", F.lit(1)))
     anchored = first_per_key(
         both,

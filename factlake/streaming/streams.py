@@ -52,7 +52,8 @@ def decide_stream(
     no state grows in the stream.
 
     Next to the decisions the stream keeps the anchors in comparable form (identity, order, content
-    digest), so a batch reads neither the fact table nor old payloads.  The batch's own partitions
+    digest), so a batch reads neither the fact table nor old payloads.  The anchors are laid out by a hash of their identity
+    (``truth.anchor_part``), and a batch opens only the parts its own identities hash to.  The batch's own partitions
     are ignored when it decides and overwritten when it writes, so a retried batch reproduces itself.
     """
     anchors_path = f"{decisions_path.rstrip('/')}-anchors"
@@ -62,23 +63,29 @@ def decide_stream(
         kept = batch.persist()
         try:
             stored = _before(spark, decisions_path, S.TRUTH_DECISION, batch_id)
-            anchors = _before(spark, anchors_path, S.TRADE_ANCHOR, batch_id)
+            anchors = _before(spark, anchors_path, ANCHOR_ROW, batch_id)
+            truth.require_supported(kept)
             open_facts = truth.undecided(kept, stored)
-            fresh = truth.decide_incremental(open_facts, stored, kept, anchors)
-            fresh = fresh.distinct().unionByName(truth.refuse_unsupported(kept))  # a repeated message is decided once
+            fresh = truth.decide_incremental(open_facts, stored, kept, anchors).distinct()  # a repeated message is decided once
             _overwrite(fresh, decisions_path, batch_id)
             written = _only(spark, decisions_path, S.TRUTH_DECISION, batch_id)
-            _overwrite(truth.anchors_of(written, kept).distinct(), anchors_path, batch_id)
+            made = truth.anchors_of(written, kept).distinct().withColumn("anchor_part", truth.anchor_part())
+            # one task a part, so that a batch adds one file to each part it touches
+            _overwrite(made.repartition("anchor_part"), anchors_path, batch_id, "anchor_part")
         finally:
             kept.unpersist()
 
     return _start(facts, decide, checkpoint, available_now)
 
 
-def _overwrite(rows: DataFrame, path: str, batch_id: int) -> None:
-    rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("batch_id").parquet(path)
+#: A stored anchor with the part that its identity hashes to.
+ANCHOR_ROW = T.StructType([*S.TRADE_ANCHOR.fields, T.StructField("anchor_part", T.IntegerType())])
+
+
+def _overwrite(rows: DataFrame, path: str, batch_id: int, *parts: str) -> None:
+    """Write a batch's partition anew; ``parts`` lie below it."""
+    writer = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", *parts).parquet(path)
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -121,3 +121,67 @@ def test_anchor_violations(spark):
     }
     with pytest.raises(S.ContractError):
         truth.require_sound_anchors(bad, f)
+
+
+IDENTITY = (S.PROVIDER, TICKER, "trade", "fill-77")
+
+
+def _anchor(capture_id, contributors=None, policy=S.TRUTH_POLICY):
+    return (policy, capture_id, "accepted", contributors or [capture_id], None, IDENTITY)
+
+
+@pytest.mark.parametrize(
+    "known",
+    [
+        (_anchor("old"), _anchor("older")),
+        (_anchor("old", ["older"]),),
+        (_anchor("old", policy="data-truth/v0"),),
+    ],
+    ids=["two accepted", "not its own contributor", "another policy"],
+)
+def test_unsound_anchors_raise_whatever_is_read(spark, known):
+    stored = facts(spark, fact("old", 10), fact("older", 9))
+    for read in (lambda d: d.count(), lambda d: d.select("subject_capture_id").collect()):
+        with pytest.raises(S.ContractError, match="INVARIANT_CONFLICT"):
+            read(truth.decide_incremental(facts(spark, fact("new", 30)), decisions(spark, *known), stored))
+
+
+def test_doubled_anchors_in_an_anchor_table_raise(spark):
+    stored = facts(spark, fact("old", 10), fact("older", 9))
+    anchors = truth.comparable_trades(stored)
+    with pytest.raises(S.ContractError, match="several_accepted"):
+        truth.decide_incremental(facts(spark, fact("new", 30)), decisions(spark), stored, anchors)
+    parts = anchors.where("capture_id = 'old'").withColumn("anchor_part", truth.anchor_part())
+    [row] = truth.decide_incremental(facts(spark, fact("new", 30)), decisions(spark), stored, parts).collect()
+    assert (row["category"], row["contributing_capture_ids"]) == ("duplicate", ["old", "new"])
+
+
+def test_unsupported_facts_raise_whatever_is_read(spark):
+    nothing = decisions(spark).select(*S.DECISION_COLUMNS)
+    batch = facts(spark, fact("a"), fact("b", message_type="novelty"))
+    for read in (lambda d: d.count(), lambda d: d.select("subject_capture_id").collect()):
+        with pytest.raises(S.ContractError, match="UNSUPPORTED_FACT"):
+            read(truth.decide_facts(batch, nothing, batch))
+
+
+def test_no_payload_crosses_the_network_when_anchors_are_looked_up(spark, tmp_path, monkeypatch):
+    """Neither the stored side nor the batch ships payloads, even where nothing is small enough to be broadcast."""
+    path = str(tmp_path / "facts")
+    facts(spark, fact("old", 10), fact("other", 11, payload=payload("fill-2"))).write.parquet(path)
+    stored = spark.read.parquet(path)
+    plans = []
+    keep = truth.materialize
+    monkeypatch.setattr(truth, "materialize", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or keep(df))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = truth.decide_incremental(facts(spark, fact("new", 30)), decisions(spark, _anchor("old")), stored)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        assert out.count() == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(plans) == 3
+    for plan in plans:
+        for line in plan.splitlines():
+            below = plan.splitlines()[plan.splitlines().index(line) + 1 : plan.splitlines().index(line) + 2]
+            if "Exchange hashpartitioning" in line:
+                assert "payload" not in "".join(below), below
