@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from factlake import schemas as S
 from factlake.functions import exprs as X
 from factlake.operators import store
-from factlake.operators.prefix import block_boundaries, into_blocks
+from factlake.operators.prefix import default_blocks
 from factlake.session import materialize
 from factlake.sources import tables
 
@@ -94,43 +94,44 @@ def authority_candidates(decisions: DataFrame, candidate_ns: Column, authority:
 
 # ---------------------------------------------------------------------------------- proof times
 
-TIE_CHARS = 3  # 4096 sub-groups of hex ids for markers that share one candidate time
+#: Rows of a block at most, about.
+BLOCK_ROWS = 1 << 20
+
+
+def ordered_blocks(candidates: DataFrame, blocks: int | None = None) -> DataFrame:
+    """Candidates in issue order, cut into ranges: ``block``, and ``at``, rising within a block.
+
+    The ranges are quantiles of the whole key, id included, so a burst at one instant is split wherever its ids allow, whatever
+    they look like.  The result is a table, because a second run of the sort could cut it elsewhere.
+    """
+    if blocks is None:
+        blocks = max(default_blocks(candidates), candidates.count() // BLOCK_ROWS + 1)
+    kind_rank = F.when(F.col("kind") == "evidence", 0).otherwise(1)
+    order = ["candidate_ns", "kind_rank", "capture_id", "policy_version"]
+    line = candidates.withColumn("kind_rank", kind_rank).repartitionByRange(blocks, *order).sortWithinPartitions(*order)
+    return materialize(line.select(*candidates.columns, F.spark_partition_id().alias("block"), F.monotonically_increasing_id().alias("at")))
 
 
 def assign_proof_times(candidates: DataFrame, floor: int | None, blocks: int | None = None) -> DataFrame:
     """Strictly increasing times ``x_i = max(c_i, x_{i-1} + 1)`` starting above ``floor``.
 
-    Issue order is ``(candidate_ns, evidence before authority, id)``.  With
-    the candidates sorted the recurrence has the closed form ``x_i = i + max(floor + 1, max(c_j - j))``
-    over j <= i (counting from 0), which needs a global rank.  Three bounded steps give it:
+    Issue order is ``(candidate_ns, evidence before authority, id, policy)``.  With the candidates sorted the recurrence has the
+    closed form ``x_i = i + max(floor + 1, max(c_j - j))`` over j <= i (counting from 0), which needs a global rank:
 
-    1. rows fold into cells that share (time, kind, beginning of the id); ids are hashes, so a burst at one
-       instant is up to 8192 cells of about equal size.  Beginnings sort as the ids do;
-    2. cells are cut into ``blocks`` ranges of about equal size at approximate quantiles of the time;
-       ranks and running maxima are taken inside each block in parallel;
-    3. one row per block -- ``blocks`` rows -- carries the totals across.
+    1. one range sort puts the rows into blocks of about equal size (see ``ordered_blocks``);
+    2. ranks and running maxima are taken inside each block in parallel;
+    3. one row per block carries the totals across.
 
     No window sees all rows, and nothing loops.
     """
-    kind_rank = F.when(F.col("kind") == "evidence", 0).otherwise(1)
-    cell_key = ["candidate_ns", "kind_rank", "tie"]
-    rows = candidates.withColumn("kind_rank", kind_rank).withColumn(
-        "tie", F.substring("capture_id", 1, TIE_CHARS)
-    )
-    cells = rows.groupBy(*cell_key).agg(F.count(F.lit(1)).alias("n"))
-    boundaries = block_boundaries(candidates, "candidate_ns", blocks)
-    cells = into_blocks(cells, "candidate_ns", boundaries)
-    inside = Window.partitionBy("block").orderBy(*cell_key)
-    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    line = ordered_blocks(candidates, blocks)
+    inside = Window.partitionBy("block").orderBy("at")
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
-    local = cells.withColumn("local_rank", F.coalesce(F.sum("n").over(before), F.lit(0))).withColumn(
+    local = line.withColumn("local_rank", (F.row_number().over(inside) - 1).cast("bigint")).withColumn(
         "local_max", F.max(F.col("candidate_ns") - F.col("local_rank")).over(upto)
     )
-    totals = local.groupBy("block").agg(
-        F.sum("n").alias("block_n"),
-        F.max(F.col("candidate_ns") - F.col("local_rank")).alias("block_max"),
-    )
-    # At most ``blocks`` rows from here on.
+    totals = local.groupBy("block").agg(F.count(F.lit(1)).alias("block_n"), F.max("local_max").alias("block_max"))
+    # one row a block from here on
     across = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumn("rank_base", F.coalesce(F.sum("block_n").over(across), F.lit(0)))
     offsets = offsets.withColumn(
@@ -142,16 +143,7 @@ def assign_proof_times(candidates: DataFrame, floor: int | None, blocks: int | N
         F.col("carried"),
         F.col("local_max") - F.col("rank_base"),
     )
-    first_time = local.join(F.broadcast(offsets), "block").select(
-        *cell_key, (rank + lead).alias("cell_first_ns")
-    )
-    within = Window.partitionBy(*cell_key).orderBy("capture_id", "policy_version")
-    return (
-        rows.withColumn("__r", F.row_number().over(within) - 1)
-        .join(first_time, cell_key)
-        .withColumn("available_at_ns", F.col("cell_first_ns") + F.col("__r"))
-        .select(*candidates.columns, "available_at_ns")
-    )
+    return local.join(F.broadcast(offsets), "block").select(*candidates.columns, (rank + lead).alias("available_at_ns"))
 
 
 def committed_floor(markers: DataFrame) -> DataFrame:

@@ -87,3 +87,19 @@ def test_marker_reference_is_sha256_of_canonical_json(spark):
         sort_keys=True, separators=(",", ":"),
     )
     assert got == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_a_burst_of_like_ids_is_split(spark):
+    """100,000 markers of one instant whose ids begin alike: blocks stay even, the published order holds."""
+    ids = spark.range(50_000).select(F.format_string("capture-2026-%08d", F.col("id")).alias("capture_id"))
+    rows = A.evidence_candidates(ids, F.lit(1_000), "e").unionByName(
+        A.authority_candidates(ids.select(F.col("capture_id").alias("subject_capture_id"), F.lit("p").alias("policy_version")), F.lit(1_000), "d")
+    )
+    sizes = [r["count"] for r in A.ordered_blocks(rows, 16).groupBy("block").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * 100_000 / 16
+    got = A.assign_proof_times(rows, 5_000, blocks=16).agg(
+        F.countDistinct("available_at_ns"), F.min("available_at_ns"), F.max("available_at_ns"),
+        F.max(F.when(F.col("kind") == "evidence", F.col("available_at_ns"))),
+        F.count(F.when((F.col("kind") == "evidence") & (F.col("available_at_ns") != 5_001 + F.substring("capture_id", -8, 8).cast("bigint")), 1)),
+    ).first()
+    assert tuple(got) == (100_000, 5_001, 105_000, 55_000, 0)
