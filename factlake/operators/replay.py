@@ -178,8 +178,14 @@ def pair_candidates(
     if channels is not None:
         scoped = scoped & F.col("channel").isin(*channels)
     category_code = F.array_position(F.array(*[F.lit(c) for c in S.CATEGORIES]), F.col("category"))
-    bad_decision = ~X.in_set(F.col("category"), S.CATEGORIES) | (
-        F.col("reason").isNotNull() & ~X.in_set(F.col("reason"), S.NOT_ACCEPTED_REASONS)
+    named = [F.col(f"event.{c}").isNull() for c in S.IDENTITY_COLUMNS]
+    contributors = F.col("contributing_capture_ids")
+    bad_decision = (
+        ~X.in_set(F.col("category"), S.CATEGORIES)
+        | (F.col("reason").isNotNull() & ~X.in_set(F.col("reason"), S.NOT_ACCEPTED_REASONS))
+        | (F.col("event").isNotNull() & (named[0] | named[1] | named[2] | named[3]))
+        | contributors.isNull()
+        | F.coalesce(F.exists(contributors, lambda c: c.isNull()), F.lit(False))
     )
     is_evidence = F.col("kind") == "evidence"
 
@@ -269,6 +275,16 @@ def pair_violations(paired: DataFrame, check_scope: str = "policy") -> DataFrame
     return out.select("capture_id", "code")
 
 
+def payload_violations(paired: DataFrame, facts: DataFrame, check_scope: str = "policy") -> DataFrame:
+    """Candidates whose stored fact has no payload.
+
+    The condition reaches the scan, which skips every row group whose statistics count no null; payloads are not read.
+    """
+    lost = facts.where("payload IS NULL").select("capture_id").distinct()
+    out = paired.where("n_fact > 0") if check_scope == "policy" else paired.where("n_fact > 0 AND scoped = 1")
+    return out.join(lost, "capture_id", "left_semi").select("capture_id", F.lit("MALFORMED_EVIDENCE").alias("code"))
+
+
 def check_pairs(pairs: DataFrame) -> DataFrame:
     """For input that arrives already paired: ``(policy_version, fact_capture_id, subject_capture_id)``."""
     mismatched = pairs.where(

@@ -76,6 +76,8 @@ def replay_as_of(
     important defect before it returns.  ``max_page_size`` is for the owner of the service to set.
     """
     request = request.validated(max_page_size)
+    if strict:
+        require_sources(lake)
     paired = R.pair_candidates(
         lake.facts,
         lake.decisions,
@@ -87,7 +89,7 @@ def replay_as_of(
     )
     if strict:
         paired = materialize(paired)
-        raise_first(R.pair_violations(paired, check_scope))
+        raise_first(R.pair_violations(paired, check_scope).unionByName(R.payload_violations(paired, lake.facts, check_scope)))
     scoped = R.filter_candidates(paired)
     qualified = R.qualify_as_of(scoped, request.cutoff_ns)
     if request.axis == "event_time":
@@ -102,6 +104,13 @@ def replay_as_of(
     return ReplayView(lake, request, scoped, keys, R.replay_exclusions(scoped, request.cutoff_ns), max_page_size)
 
 
+def require_sources(lake: Lake) -> None:
+    """Every table of the lake has exactly the columns and types of its contract."""
+    tables.require_contract(lake.facts, "capture_fact", S.CAPTURE_FACT)
+    tables.require_contract(lake.decisions, "truth_decision", S.TRUTH_DECISION)
+    tables.require_contract(lake.markers, "availability", S.AVAILABILITY)
+
+
 def raise_first(violations: DataFrame) -> None:
     """Raise the defect that comes first in the fixed precedence (one bounded aggregate)."""
     counts = {r["code"]: r["n"] for r in violations.groupBy("code").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -191,13 +200,15 @@ def many_summaries(lake: Lake, requests: DataFrame, strict: bool = True) -> Data
     A refused request carries its code and neither members nor an identity.  A strict call raises the defects of the
     lake that stop a single read.
     """
+    if strict:
+        require_sources(lake)
     valid = materialize(
         R.canonical_filters(R.validate_requests(requests).where("reject_reason IS NULL"))
     )
     paired = R.pair_candidates(lake.facts, lake.decisions, lake.markers, authorities=lake.authorities)
     if strict:
         paired = materialize(paired)
-        raise_first(R.pair_violations(paired))
+        raise_first(R.pair_violations(paired).unionByName(R.payload_violations(paired, lake.facts)))
     candidates = materialize(R.with_filters(paired, lake.facts))
     members = materialize(R.replay_many_members(valid, candidates))
     zero = F.lit(0).cast("bigint")

@@ -136,10 +136,14 @@ def split_valid(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
 # ------------------------------------------------------------------------------------- contract
 
 
-def schema_differences(df: DataFrame, table: str) -> list[tuple[str, str, str]]:
+#: Columns of the layout on disk, which are no part of a table's contract.
+LAYOUT_COLUMNS = ("received_date", "batch_id")
+
+
+def schema_differences(df: DataFrame, table: str, contract: T.StructType | None = None) -> list[tuple[str, str, str]]:
     """Driver-side comparison of two schemas (a handful of columns, no data)."""
-    declared = {f.name: f.dataType for f in S.TABLES[table].fields}
-    actual = {f.name: f.dataType for f in df.schema.fields if f.name != "received_date"}
+    declared = {f.name: f.dataType for f in (contract or S.TABLES[table]).fields}
+    actual = {f.name: f.dataType for f in df.schema.fields if f.name not in LAYOUT_COLUMNS}
     out = [(table, f"missing_column:{n}", "schema") for n in declared if n not in actual]
     out += [(table, f"extra_column:{n}", "schema") for n in actual if n not in declared]
     out += [
@@ -150,6 +154,13 @@ def schema_differences(df: DataFrame, table: str) -> list[tuple[str, str, str]]:
     return out
 
 
+def require_contract(df: DataFrame, table: str, contract: T.StructType) -> None:
+    """The gate of a strict read: exact columns and types, or the source is not available."""
+    found = schema_differences(df, table, contract)
+    if found:
+        raise S.ContractError("SOURCE_UNAVAILABLE", ", ".join(f"{name}: {finding}" for name, finding, _ in found))
+
+
 def check_table_contract(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
     """One report over all tables: schema differences, then rejected rows per rule."""
     reports = []

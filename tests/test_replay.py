@@ -185,3 +185,33 @@ def test_lone_fact_from_the_contract_example(spark):
     lk = lake(spark, [fact("capture-1", 20, 10)], [accepted("capture-1")], both("capture-1", 30, 40))
     assert replay_as_of(lk, request(cutoff_ns=40)).keys.count() == 1
     assert replay_as_of(lk, request(cutoff_ns=39)).keys.count() == 0
+
+
+@pytest.mark.parametrize("table, change", [
+    ("facts", lambda df: df.withColumn("received_ns", F.col("received_ns").cast("string"))),
+    ("facts", lambda df: df.withColumn("note", F.lit("x"))),
+    ("decisions", lambda df: df.drop("reason")),
+    ("markers", lambda df: df.withColumn("available_at_ns", F.col("available_at_ns").cast("int"))),
+])
+def test_a_strict_read_refuses_a_foreign_schema(spark, table, change):
+    lk = simple(spark)
+    parts = {"facts": lk.facts, "decisions": lk.decisions, "markers": lk.markers}
+    with pytest.raises(S.ContractError, match="SOURCE_UNAVAILABLE"):
+        replay_as_of(Lake(**{**parts, table: change(parts[table])}), request())
+    laid_out = lk.facts.withColumn("received_date", F.lit("2026-01-01").cast("date"))
+    assert replay_as_of(Lake(laid_out, lk.decisions, lk.markers), request()).keys.count() > 0
+
+
+def test_a_strict_read_refuses_malformed_rows(spark):
+    def read(fact_row, decision_row):
+        f = spark.createDataFrame([fact_row], ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in S.CAPTURE_FACT.fields))
+        d = spark.createDataFrame([decision_row], ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in S.TRUTH_DECISION.fields))
+        return replay_as_of(Lake(f, d, markers(spark, *both("A", 1, 1))), request()).keys.count()
+
+    good = (S.TRUTH_POLICY, "A", "accepted", ["A"], None, None)
+    assert read(observation("A"), good) == 1
+    with pytest.raises(S.ContractError, match="MALFORMED_EVIDENCE"):
+        read(observation("A", payload=None), good)
+    for contributors, event in ((None, None), (["A", None], None), (["A"], (None, None, None, None)), (["A"], ("p", "s", None, "t"))):
+        with pytest.raises(S.ContractError, match="MALFORMED_AUTHORITY"):
+            read(observation("A"), (S.TRUTH_POLICY, "A", "accepted", contributors, None, event))
