@@ -73,8 +73,8 @@ f AS (
     CASE WHEN defect = 0 THEN 'market-ingress/v2' ELSE '{S.MESSAGE_SCHEMA}' END AS schema_version,
     CASE WHEN kind <> 'trade' THEN '{{"type":"' || kind || '","sid":' || sid || ',"msg":{{"market_ticker":"' || mkt || '"}}}}'
          WHEN defect = 2 THEN 'not json'
-         WHEN i % 4 = 1 THEN '{{ "msg": {{"ts_ms": ' || sec || '000, "ts": ' || sec || ', "is_block_trade": false, "taker_side": "yes", "count": "2.00", "no_price": "0.5800", "yes_price": "' || price || '", "market_ticker": "' || mkt || '", "trade_id": "' || tid || '"}}, "sid": ' || sid || ', "type": "trade"}}'
-         ELSE '{{"type":"trade","sid":' || sid || ',"seq":null,"msg":{{"trade_id":"' || tid || '","market_ticker":"' || mkt || '","yes_price":"' || price || '","no_price":"0.5800","count":"2.00","taker_side":"yes","ts":' || sec || ',"is_block_trade":false,"ts_ms":' || sec || '000}}}}'
+         WHEN i % 4 = 1 THEN '{{ "msg": {{"ts_ms": ' || sec || '000, "ts": ' || sec || ', "is_block_trade": false, "taker_side": "yes", "count": "9.00", "no_price": "0.6150", "yes_price": "' || price || '", "market_ticker": "' || mkt || '", "trade_id": "' || tid || '"}}, "sid": ' || sid || ', "type": "trade"}}'
+         ELSE '{{"type":"trade","sid":' || sid || ',"seq":null,"msg":{{"trade_id":"' || tid || '","market_ticker":"' || mkt || '","yes_price":"' || price || '","no_price":"0.6150","count":"9.00","taker_side":"yes","ts":' || sec || ',"is_block_trade":false,"ts_ms":' || sec || '000}}}}'
     END AS payload,
     CASE WHEN i % 50 <> 7 THEN us * 1000 + (i % 11) * 60000000000 END AS evidence_at,
     CASE WHEN i % 70 <> 9 THEN us * 1000 + (i % 17) * 60000000000 END AS authority_at
@@ -239,10 +239,10 @@ r AS (
   SELECT *, us * 1000 AS received_ns, CASE WHEN k NOT IN (6, 7, 8) THEN ticker END AS binding_ticker,
     sha256('feed:' || part || ':' || i) AS capture_id,
     CASE k
-     WHEN 0 THEN '{{"type":"orderbook_snapshot","sid":1,"seq":' || i || ',"msg":{{"market_ticker":"' || ticker || '","market_id":"m","yes":[["0.4200","12.00"]]}}}}'
-     WHEN 1 THEN '{{"type":"orderbook_delta","sid":2,"seq":' || i || ',"msg":{{"market_ticker":"' || ticker || '","price":"0.4200","ts":' || iso || ',"ts_ms":' || CASE WHEN i % 7 = 0 THEN ms::VARCHAR ELSE 'null' END || '}}}}'
-     WHEN 2 THEN '{{"type":"ticker","sid":3,"seq":null,"msg":{{"market_ticker":"' || ticker || '","price":"0.4200","ts_ms":' || ms || '}}}}'
-     WHEN 3 THEN '{{"type":"trade","sid":4,"seq":null,"msg":{{"trade_id":"t' || i || '","market_ticker":"' || ticker || '","yes_price":"0.4200","ts_ms":' || ms || '}}}}'
+     WHEN 0 THEN '{{"type":"orderbook_snapshot","sid":1,"seq":' || i || ',"msg":{{"market_ticker":"' || ticker || '","market_id":"m","yes":[["0.3650","31.00"]]}}}}'
+     WHEN 1 THEN '{{"type":"orderbook_delta","sid":2,"seq":' || i || ',"msg":{{"market_ticker":"' || ticker || '","price":"0.3650","ts":' || iso || ',"ts_ms":' || CASE WHEN i % 7 = 0 THEN ms::VARCHAR ELSE 'null' END || '}}}}'
+     WHEN 2 THEN '{{"type":"ticker","sid":3,"seq":null,"msg":{{"market_ticker":"' || ticker || '","price":"0.3650","ts_ms":' || ms || '}}}}'
+     WHEN 3 THEN '{{"type":"trade","sid":4,"seq":null,"msg":{{"trade_id":"t' || i || '","market_ticker":"' || ticker || '","yes_price":"0.3650","ts_ms":' || ms || '}}}}'
      WHEN 4 THEN '{{"type":"market_lifecycle_v2","sid":5,"seq":null,"msg":{{"event_type":"created","market_ticker":"' || ticker || '"}}}}'
      WHEN 5 THEN '{{"type":"event_fee_update","sid":6,"seq":null,"msg":{{"event_ticker":"EV-' || asset || '","fee_type_override":null}}}}'
      WHEN 6 THEN '{{"type":"cfbenchmarks_value","sid":7,"seq":null,"msg":{{"index_id":"' || ref || '","received_at":1}}}}'
@@ -280,7 +280,7 @@ mk AS (
 ver AS (
   SELECT *, CASE WHEN w % 17 = 0 THEN 'no_match' WHEN w % 13 = 0 THEN 'ambiguous' WHEN w % 7 = 0 THEN 'invalid' ELSE 'verified' END AS status,
     CASE WHEN w % 17 = 0 THEN 0 WHEN w % 13 = 0 THEN 2 ELSE 1 END::BIGINT AS n_markets,
-    CASE WHEN w % 17 = 0 THEN 'no exact official market' WHEN w % 13 = 0 THEN 'multiple exact official markets' WHEN w % 7 = 0 THEN 'no usable structured official strike' END AS reason,
+    CASE WHEN w % 17 = 0 THEN 'no_market' WHEN w % 13 = 0 THEN 'several_markets' WHEN w % 7 = 0 THEN 'strike_not_usable' END AS reason,
     CASE WHEN w % 17 <> 0 AND w % 13 <> 0 AND w % 7 <> 0 THEN CASE WHEN w % 3 = 0 THEN series || '-W' || w ELSE cand END END AS official
   FROM req)
 """
@@ -412,7 +412,7 @@ def all_sql() -> dict[str, str]:
     put("accept_observations", DECIDED, f"SELECT {FLAT} FROM d JOIN f USING (i) WHERE message_type <> 'trade'")
     put("validate_trades", FACTS, f"SELECT capture_id, {REASON} AS reason FROM f WHERE message_type = 'trade'")
     put("trade_identity", FACTS, "SELECT capture_id, provider, source_id, message_type, 't' || (i % 97) AS trade_id FROM f WHERE message_type = 'trade' AND defect < 0")
-    put("trade_projection", FACTS, """SELECT capture_id, '{"count":"2.00","is_block_trade":false,"no_price":"0.5800","taker_side":"yes","ts":' || (1704067200 + i % 97) || ',"ts_ms":' ||
+    put("trade_projection", FACTS, """SELECT capture_id, '{"count":"9.00","is_block_trade":false,"no_price":"0.6150","taker_side":"yes","ts":' || (1704067200 + i % 97) || ',"ts_ms":' ||
       (1704067200 + i % 97) || '000,"yes_price":"0.4' || (i % 3) || '00"}' AS projection FROM f WHERE message_type = 'trade' AND defect < 0""")
     put("adjudicate_trades", DECIDED, f"SELECT {FLAT} FROM d JOIN f USING (i) WHERE message_type = 'trade'")
     put("decide_facts", DECIDED, f"SELECT {FLAT} FROM d")

@@ -119,11 +119,11 @@ def verify_market(requests: DataFrame, markets: DataFrame) -> DataFrame:
         .otherwise("verified")
     )
     reason = (
-        F.when(~ok, "unapproved binding")
-        .when(n == 0, "no exact official market")
-        .when(n > 1, "multiple exact official markets")
-        .when(nameless, "missing official market identity")
-        .when(~F.col("only.usable"), "no usable structured official strike")
+        F.when(~ok, "binding_not_approved")
+        .when(n == 0, "no_market")
+        .when(n > 1, "several_markets")
+        .when(nameless, "market_without_name")
+        .when(~F.col("only.usable"), "strike_not_usable")
     )
     return found.select(
         "request_id",
