@@ -76,23 +76,23 @@ def meet(rows: DataFrame, cell: Column, covers: DataFrame, levels: int) -> DataF
     return nodes_of(rows, cell, levels).join(covers, ["level", "node"])
 
 
-def prefix_sums(parts: DataFrame, covers: DataFrame, group: list[str], rank: str, asked: str, summed: list[str], keep: list[str], passes: Column) -> DataFrame:
+def prefix_sums(parts: DataFrame, covers: DataFrame, group: list[str], rank: str, asked: str, summed: list[str], keep: list[str], passes: Column, named: tuple[str, ...] = ("level", "node")) -> DataFrame:
     """Per row of ``covers`` and group: the sums of ``parts`` under its node whose ``rank`` is at most ``asked``.
 
     ``parts`` has ``level``, ``node``, ``group``, ``rank`` and the columns ``summed``, one row per combination; ``covers`` has ``level``,
-    ``node``, ``asked`` and ``keep``.  Running sums along ``rank`` are taken once per node and group, and the questions are put
+    ``node``, ``asked`` and ``keep``; both may name their nodes by further columns (``named``).  Running sums along ``rank`` are taken once per node and group, and the questions are put
     into the same line, so no question meets more than its place in it.  A line has at most a row per rank and question.
     """
-    at = ["level", "node", *group]
+    at = [*named, *group]
     steps = parts.withColumn("__order", F.lit(0))
     groups = parts.select(*at).distinct()
-    questions = covers.join(groups, ["level", "node"]).where(passes).select(*at, F.col(asked).alias(rank)).distinct()
+    questions = covers.join(groups, list(named)).where(passes).select(*at, F.col(asked).alias(rank)).distinct()
     questions = questions.select(*at, rank, *[F.lit(0).cast("bigint").alias(c) for c in summed], F.lit(1).alias("__order"))
     upto = Window.partitionBy(*at).orderBy(rank, "__order").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     line = steps.select(*at, rank, *summed, "__order").unionByName(questions)
     answers = line.select(*at, rank, "__order", *[F.sum(c).over(upto).alias(c) for c in summed]).where("__order = 1").drop("__order")
-    asked_again = covers.select("level", "node", F.col(asked).alias(rank), *keep)
-    return asked_again.join(answers, ["level", "node", rank]).where(passes)
+    asked_again = covers.select(*named, F.col(asked).alias(rank), *keep)
+    return asked_again.join(answers, [*named, rank]).where(passes)
 
 
 def folded(rows: DataFrame, keys: list[str], summed: list[str]) -> DataFrame:

@@ -551,38 +551,39 @@ def _available_cell(cutoffs: C.Line) -> Column:
     return F.when(both, cutoffs.cell(F.greatest("evidence_at", "authority_at") - 1))
 
 
-def replay_many_members(requests: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Per request: how many rows it selects, how many lack event time, and their set digest, without listing them.
+def replay_many_members(requests: DataFrame, candidates: DataFrame, digest: bool = True) -> DataFrame:
+    """Per request: how many rows it selects, how many lack event time, and (with ``digest``) their set digest, without listing them.
 
-    Candidates are folded into cells of (time, availability, asset, channel) once, cells into the dyadic nodes above them, and
-    running sums over availability answer every cutoff.  From the first fold on, nothing depends on the number of rows.
+    Candidates are folded into cells of (axis, time, availability, asset, channel) once, cells into the dyadic nodes above them,
+    and running sums over availability answer every cutoff.  From the first fold on, nothing depends on the number of rows.
     """
     windows, cutoffs = _cells_of(requests)
     covers = _covers(requests, windows, cutoffs)
     levels = C.highest(covers)
-    summed = ["n_records", "n_undated", *[f"w{i}" for i in range(X.DIGEST_WORDS)]]
-    group = ["asset", "channel"]
+    words = [f"w{i}" for i in range(X.DIGEST_WORDS)] if digest else []
+    summed = ["n_records", "n_undated", *words]
+    group, node = ["asset", "channel"], ("axis", "level", "node")
     seen = candidates.withColumn("ac", _available_cell(cutoffs)).where(F.col("ac") < len(cutoffs.bounds))
-    words = materialize(X.with_words(seen.select(*group, "received_ns", "provider_ns", "ac", "capture_id"), w=F.col("capture_id")).drop("capture_id"))
-    out = None
-    for axis, column in AXIS_LINES.items():
-        one = words.select(*group, "ac", windows.cell(F.col(column)).alias("tc"), F.lit(1).cast("bigint").alias("n_records"), F.col("provider_ns").isNull().cast("bigint").alias("n_undated"), *summed[2:])
-        cells = C.folded(one.where("tc IS NOT NULL"), [*group, "tc", "ac"], summed)
-        asked = covers.where(F.col("axis") == axis)
-        # what every request on a node sees is one step there, and what none of them sees is none
-        named = asked.groupBy("level", "node").agg(F.min("by_cell").alias("all_by"), F.max("by_cell").alias("any_by"))
-        above = C.nodes_of(cells, F.col("tc"), levels).join(named, ["level", "node"]).where(F.col("ac") <= F.col("any_by"))
-        above = above.withColumn("ac", F.greatest("ac", "all_by"))
-        parts = materialize(C.folded(above, ["level", "node", *group, "ac"], summed))
-        found = C.prefix_sums(parts, asked, group, "ac", "by_cell", summed, ["request_id", "ordering", "assets", "channels"], _passes_filters())
-        part = C.folded(found, ["request_id", "ordering"], summed)
-        out = part if out is None else out.unionByName(part)
-    return out
+    seen = seen.select(*group, "ac", "received_ns", "provider_ns", "capture_id")
+    seen = X.with_words(seen, w=F.col("capture_id")) if digest else seen
+    on_axis = [F.struct(F.lit(axis).alias("axis"), windows.cell(F.col(column)).alias("tc")) for axis, column in AXIS_LINES.items()]
+    one = seen.select(*group, "ac", F.lit(1).cast("bigint").alias("n_records"), F.col("provider_ns").isNull().cast("bigint").alias("n_undated"), *words, F.explode(F.array(*on_axis)).alias("on"))
+    one = one.select(*group, "ac", *summed, "on.*").where("tc IS NOT NULL")
+    cells = C.folded(one, [*group, "axis", "tc", "ac"], summed)
+    # what every request on a node sees is one step there, and what none of them sees is none
+    named = covers.groupBy(*node).agg(F.min("by_cell").alias("all_by"), F.max("by_cell").alias("any_by"))
+    above = C.nodes_of(cells, F.col("tc"), levels).join(named, list(node)).where(F.col("ac") <= F.col("any_by"))
+    above = above.withColumn("ac", F.greatest("ac", "all_by"))
+    parts = materialize(C.folded(above, [*node, *group, "ac"], summed))
+    found = C.prefix_sums(parts, covers, group, "ac", "by_cell", summed, ["request_id", "ordering", "assets", "channels"], _passes_filters(), node)
+    return C.folded(found, ["request_id", "ordering"], summed)
 
 
 def answered(requests: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Requests less those that ``replay_many_status`` refuses."""
-    status = replay_many_status(requests, candidates, replay_many_members(requests, candidates))
+    """Requests less those that ``replay_many_status`` refuses; only rows without event time are counted for that."""
+    ordered = requests.where("axis = 'arrival_time' AND ordering = 'strict_event'")
+    undated = replay_many_members(ordered, candidates.where("provider_ns IS NULL"), digest=False)
+    status = replay_many_status(requests, candidates, undated)
     return materialize(requests.join(status.where("outcome = 'ok'").select("request_id"), "request_id", "left_semi"))
 
 
