@@ -373,7 +373,8 @@ def all_sql() -> dict[str, str]:
 
     # ----------------------------------------------------------------------------------- ingest
     put("read_raw_messages", RAW, """SELECT 'feed' AS source, part AS partition, i AS "offset", received_ns, binding_ticker, value FROM r""")
-    put("subscribe_scope_filter", RAW, """SELECT i AS "offset", ref AS provider_id FROM r WHERE k IN (6, 7)""")
+    put("subscribe_scope_filter", RAW, """SELECT i AS "offset", CASE k WHEN 7 THEN 'pyth_value' ELSE 'cf_benchmarks' END AS source, ref AS provider_id
+      FROM r WHERE k IN (6, 7) AND (k = 7) = is_pyth""")
     put("normalize_messages", RAW, f"""SELECT capture_id, asset, '{S.PROVIDER}' AS provider, CASE WHEN k IN (6, 7) THEN ref ELSE ticker END AS source_id,
       CASE message_type WHEN 'orderbook_snapshot' THEN 'orderbook_delta' WHEN 'event_fee_update' THEN 'market_lifecycle_v2' ELSE message_type END AS channel,
       message_type, CASE WHEN k = 4 THEN 'created' END AS event_subtype, (k + 1)::BIGINT AS sid, CASE WHEN k IN (0, 1, 7) THEN i END AS seq,
@@ -484,6 +485,8 @@ def all_sql() -> dict[str, str]:
       ELSE CASE WHEN code IS NULL THEN 'ok' ELSE 'INVALID_CURSOR' END END AS outcome FROM p""")
     put("keyset_page", PAIRED, """, k AS (SELECT received_ns, capture_id, row_number() OVER (ORDER BY received_ns, capture_id) AS rn, count(*) OVER () AS n FROM p WHERE code IS NULL)
       SELECT rn - 500 AS position, received_ns, capture_id, n > 1000 AS has_more FROM k WHERE rn > 500 AND rn <= 1000""")
+    put("replay_pages", PAIRED, """, k AS (SELECT *, row_number() OVER (ORDER BY received_ns, capture_id) - 1 AS rn, count(*) OVER () AS n FROM p WHERE code IS NULL)
+      SELECT rn // 500 + 1 AS page, rn % 500 + 1 AS position, received_ns, capture_id, category, payload, n > (rn // 500 + 1) * 500 AS has_more FROM k WHERE rn < 2000""")
     put("replay_as_of", PAIRED, """SELECT capture_id, asset, channel, source_id, provider_ns, received_ns, payload, category, contributors, event_trade_id, evidence_reference, authority_reference
       FROM p WHERE code IS NULL ORDER BY received_ns, capture_id""")
     put("view_summary", SUMMARY, f"""SELECT request_identity, '{P}' AS policy_version, cutoff AS cutoff_ns, 'arrival_time' AS axis, lo * 1000 AS start_ns, (hi + 1) * 1000 AS end_ns, 'arrival' AS ordering,

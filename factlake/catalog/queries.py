@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from factlake.operators import availability as A
 from factlake.operators import dataset, ingest, markets, store, truth
 from factlake.operators import replay as R
 from factlake.plans import recording
+from factlake.plans.paging import SnapshotPages
 from factlake.plans.replay_plan import (
     ReplayView,
     many_summaries,
@@ -225,12 +227,16 @@ def read_raw_messages(spark, sf):
 
 @query
 def subscribe_scope_filter(spark, sf):
+    """Every message under the source of its feed; the fixture also sends ids of one source under the other."""
     parsed = ingest.parse_messages(fx.raw_messages(spark, sf))
     ids = parsed.select(
         "offset",
+        F.when(F.col("m.type") == "pyth_value", "pyth_value").otherwise("cf_benchmarks").alias("source"),
         F.coalesce("m.msg.index_id", "m.msg.underlying_ticker", "m.msg.market_ticker").alias("provider_id"),
     )
-    return ingest.subscribe_scope_filter(ids, S.reference_scope(spark))
+    scope = S.reference_scope(spark)
+    asked = [ingest.subscription(scope.where(F.col("source") == s), s) for s in ("cf_benchmarks", "pyth_value")]
+    return ingest.subscribe_scope_filter(ids, asked[0].unionByName(asked[1]))
 
 
 @query
@@ -790,6 +796,28 @@ def keyset_page(spark, sf):
     return page.select(F.col("position").cast("bigint").alias("position"), "received_ns", "capture_id", "has_more")
 
 
+@query
+def replay_pages(spark, sf):
+    """The first pages of a strict read, each continued from the bookmark of the one before."""
+    pages = SnapshotPages(replay_as_of(fx.lake(spark, sf), _request(spark, sf), strict=True))
+    at, parts = None, []
+    while len(parts) < 4 and (at or not parts):
+        page = pages.read(at, 500)
+        parts.append(
+            page.records.select(
+                F.lit(len(parts) + 1).cast("bigint").alias("page"),
+                F.col("position").cast("bigint").alias("position"),
+                "received_ns",
+                "capture_id",
+                "category",
+                "payload",
+                "has_more",
+            )
+        )
+        at = page.next
+    return reduce(DataFrame.unionByName, parts)
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Adjudicate every fact, then read the lake strictly as of the middle of the data."""
     v = replay_as_of(fx.decided_lake(spark, sf), _request(spark, sf), strict=True)

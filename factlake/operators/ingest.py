@@ -47,9 +47,26 @@ def event_time_ns(message_type: Column, msg: Column) -> Column:
     )
 
 
-def subscribe_scope_filter(raw: DataFrame, scope: DataFrame, key: str = "provider_id") -> DataFrame:
-    """Rows whose id is in the scope.  The scope is the fixed nine-row dimension, hence broadcast."""
-    return raw.join(F.broadcast(scope.select(key).distinct()), key, "left_semi")
+def subscription(bindings: DataFrame, source: str) -> DataFrame:
+    """The bindings one source is asked for; none, or one of another source, is refused as the feed refuses it.
+
+    ``bindings`` are rows of the fixed nine-row scope.
+    """
+    n, foreign = bindings.agg(F.count(F.lit(1)), F.count_if(~F.col("source").eqNullSafe(F.lit(source)))).first()
+    if not n or foreign:
+        raise S.ContractError("INVALID_REQUEST", f"{source} needs approved bindings of its own")
+    return bindings
+
+
+def subscribe_scope_filter(raw: DataFrame, scope: DataFrame) -> DataFrame:
+    """Rows whose ``(source, provider_id)`` is in the scope: an id counts under its own source only.
+
+    The scope is the fixed nine-row dimension, hence broadcast.  An empty one is refused; null ids match nothing.
+    """
+    if scope.isEmpty():
+        raise S.ContractError("INVALID_REQUEST", "a subscription needs a scope")
+    keys = ["source", "provider_id"]
+    return raw.join(F.broadcast(scope.select(*keys).distinct()), keys, "left_semi")
 
 
 def bind_reference_asset(reference: DataFrame, scope: DataFrame) -> DataFrame:

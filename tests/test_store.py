@@ -5,7 +5,7 @@ from frames import accepted, both, decisions, fact, facts, marker, markers, obse
 from pyspark.sql import functions as F
 
 from factlake import schemas as S
-from factlake.operators import dataset, store
+from factlake.operators import dataset, ingest, store
 from factlake.operators import replay as R
 from factlake.plans.replay_plan import Lake, replay_as_of
 from factlake.sources import tables
@@ -129,3 +129,19 @@ def test_streams_survive_a_restart(spark, folder):
     assert spark.read.parquet(f"{folder}/facts").count() == 6
     got = {r["subject_capture_id"]: r["category"] for r in store.read_decisions(spark, f"{folder}/decisions").collect()}
     assert got == {"c0": "accepted", **{f"c{i}": "duplicate" for i in range(1, 6)}}
+
+
+def test_a_subscription_takes_ids_under_their_own_source_only(spark):
+    scope = S.reference_scope(spark)
+    cf = scope.where("source = 'cf_benchmarks'")
+    ids = [r["provider_id"] for r in cf.orderBy("provider_id").collect()]
+    raw = spark.createDataFrame(
+        [(1, "cf_benchmarks", ids[0]), (2, "pyth_value", ids[0]), (3, "cf_benchmarks", None), (4, None, ids[1]), (5, "cf_benchmarks", "other")],
+        "offset long, source string, provider_id string",
+    )
+    assert [r["offset"] for r in ingest.subscribe_scope_filter(raw, ingest.subscription(cf, "cf_benchmarks")).collect()] == [1]
+    for bindings in (cf.limit(0), scope, scope.where("source <> 'cf_benchmarks'")):
+        with pytest.raises(S.ContractError):
+            ingest.subscription(bindings, "cf_benchmarks")
+    with pytest.raises(S.ContractError):
+        ingest.subscribe_scope_filter(raw, cf.limit(0))
