@@ -1,12 +1,15 @@
 """BPE encoding and decoding with tree concatenation.
 
-Text is cut at ASCII white space, where the vocabularies of this kind never merge, and every word is
-encoded once per worker.  A run without white space that is longer than ``LONG_RUN`` bytes is normalised and
-pre-tokenised; a pre-token longer than ``LEAF`` symbols is encoded in halves, and around each join a
-growing window is encoded again until its first and last token agree with what both halves already had.
-A sequence of tokens is the BPE encoding exactly if each two neighbours are the encoding of their own
-text, so that agreement makes the joined sequence exact.  Documents beyond ``long_chars`` characters are
-cut into leaves that are dealt over all tasks, encoded in parallel and joined per document.
+A text of more than ``long_chars`` characters is cut into halves, and these into halves, wherever the middle falls; the
+leaves are dealt over all tasks and encoded in parallel.  Around each join a growing window of both sides is encoded again
+until its first token is the one the left side already had there and its last the one of the right side, and both
+sides hold the rest of their part of the window as it stands.  Joins follow the tree, level by level.
+
+Inside a leaf, words between ASCII white space, where the vocabularies of this kind never merge, are encoded once per
+worker.  A run without white space that is longer than ``LONG_RUN`` bytes is normalised and pre-tokenised; a pre-token
+longer than ``LEAF`` symbols is encoded in halves and joined in the same way over its symbols.  A sequence of tokens is the
+BPE encoding exactly if each two neighbours are the encoding of their own text, so that agreement makes the joined
+sequence exact.
 
 A null text is encoded as an empty one.  Rows that repeat, and null keys, come out as they came in.
 """
@@ -31,8 +34,12 @@ from factlake.llm.text import documents, passes
 
 LONG_RUN = 512
 LEAF = 256
-#: Bytes of a leaf of a document that is encoded in parallel.
-PART_BYTES = 1 << 17
+#: Characters beyond which a document is encoded in parallel leaves.
+LONG_CHARS = 1 << 15
+#: Most bytes of a leaf of a document that is encoded in parallel.
+PART_BYTES = 1 << 14
+#: Bytes of either side in the first window around the join of two leaves.
+WINDOW = 48
 #: Fixed value: the pattern by which the lower-case vocabulary's file cuts text.
 LETTER_RUNS = {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
 #: Latin-1 letters.
@@ -47,6 +54,8 @@ ENCODE_BYTES = 1 << 20
 DECODE_ROWS = 500
 #: Words that go to the tokenizer in one call.
 CALL = 20_000
+SPACES = (b" ", b"\t", b"\n", b"\r", b"\x0b", b"\x0c")
+SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]")
 
 
 class Encoder:
@@ -220,6 +229,29 @@ class Encoder:
     def encode_one(self, text: bytes) -> np.ndarray:
         return self.encode(pa.array([text.decode()], pa.large_string()))[0]
 
+    def join_texts(self, left: tuple[bytes, np.ndarray], right: tuple[bytes, np.ndarray]) -> tuple[bytes, np.ndarray]:
+        """Text and ids of two neighbouring stretches as one, wherever they were cut apart."""
+        (before, l_ids), (after, r_ids) = left, right
+        i = j = WINDOW
+        while True:
+            a = max(map(before.rfind, SPACES, itertools.repeat(0), itertools.repeat(max(0, len(before) - i)))) + 1
+            space = SPACE.search(after, j)
+            b = space.start() if space else len(after)
+            had_l, had_r = self.encode_one(before[a:]), self.encode_one(after[:b])
+            window = self.encode_one(before[a:] + after[:b])
+            m, n = len(l_ids) - len(had_l), len(had_r)
+            left_agrees = a == 0 or (0 < len(had_l) and m >= 0 and np.array_equal(l_ids[m:], had_l) and window[0] == had_l[0])
+            right_agrees = b == len(after) or (0 < n and np.array_equal(r_ids[:n], had_r) and window[-1] == had_r[-1])
+            if left_agrees and right_agrees:
+                return before + after, np.concatenate([l_ids[: m if a else 0], window, r_ids[n if b < len(after) else len(r_ids) :]])
+            i, j = i * (1 if left_agrees else 2), j * (1 if right_agrees else 2)
+
+    def join_tree(self, parts: list[tuple[bytes, np.ndarray]]) -> np.ndarray:
+        """Ids of neighbouring stretches, joined level by level."""
+        while len(parts) > 1:
+            parts = [self.join_texts(*parts[k : k + 2]) if k + 1 < len(parts) else parts[k] for k in range(0, len(parts), 2)]
+        return parts[0][1]
+
 
 @functools.lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
@@ -245,21 +277,27 @@ def as_lists(ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.view("<i4"), pa.int32()))
 
 
+def halves(text: bytes) -> list[bytes]:
+    """The leaves of a tree of halves, each cut at the character in its middle."""
+    if len(text) <= PART_BYTES:
+        return [text]
+    k = len(text) // 2
+    while text[k] & 0xC0 == 0x80:  # inside a character
+        k += 1
+    return halves(text[:k]) + halves(text[k:])
+
+
 def cut(text: bytes, enc: Encoder) -> list[tuple[str, bytes, int, bool]]:
-    """Leaves of a long text: (kind, payload, number of the pre-token, whether it ends there).
+    """Leaves of a long text: (kind, payload, number of the stretch, whether it ends there).
 
-    Kind ``text`` has whole words, ``piece`` a stretch of one long pre-token, ``id`` an added token.
+    Kind ``text`` is a part of a stretch between long runs, ``piece`` of one long pre-token, ``id`` an added token.
     """
     out, start, number = [], 0, 0
     runs = [m.span() for m in re.finditer(rb"[^ \t\n\r\x0b\x0c]{%d,}" % (LONG_RUN + 1), text)]
     for a, b in [*runs, (len(text), len(text))]:
-        plain = text[start:a]
-        k = 0
-        while k < len(plain):
-            space = re.compile(rb"[ \t\n\r\x0b\x0c]").search(plain, k + PART_BYTES)
-            end = space.start() if space else len(plain)
-            out.append(("text", plain[k:end], -1, True))
-            k = end
+        number += 1
+        leaves = halves(text[start:a])
+        out.extend(("text", x, number, k == len(leaves) - 1) for k, x in enumerate(leaves))
         for x in enc.pieces(text[a:b].decode()) if b > a else ():
             number += 1
             if isinstance(x, int):
@@ -271,7 +309,7 @@ def cut(text: bytes, enc: Encoder) -> list[tuple[str, bytes, int, bool]]:
     return out
 
 
-def encode(docs: DataFrame, path: str, long_chars: int = 1 << 20) -> DataFrame:
+def encode(docs: DataFrame, path: str, long_chars: int = LONG_CHARS) -> DataFrame:
     """``doc_id`` and ``ids`` (array of int) of every row."""
     docs = documents(docs)
     ids_type = "doc_id long, ids array<int>"
@@ -301,23 +339,19 @@ def encode(docs: DataFrame, path: str, long_chars: int = 1 << 20) -> DataFrame:
                     ids.append(enc.encode_one(payload).tobytes())
                 else:
                     ids.append(np.array([int(payload)] if kind == "id" else enc.piece(payload.decode(), last), "<u4").tobytes())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "digest", "part", "number", "last")), pa.array(ids, pa.binary())], ["doc_id", "digest", "part", "number", "last", "ids"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "digest", "part", "kind", "payload", "number")), pa.array(ids, pa.binary())], ["doc_id", "digest", "part", "kind", "payload", "number", "ids"])
 
     def concatenate(rows: pd.DataFrame) -> pd.DataFrame:
         enc = encoder(path)
         copies = int((rows["part"] == 0).sum())
         rows = rows.drop_duplicates("part").sort_values("part")
         out: list[np.ndarray] = []
-        open_parts: list[list[int]] = []
-        for number, last, ids in zip(rows["number"], rows["last"], rows["ids"]):
-            ids = np.frombuffer(ids, "<u4")
-            if number < 0:
-                out.append(ids)
-                continue
-            open_parts.append(ids.tolist())
-            if last:
-                out.append(np.array(enc.join_all(open_parts, True), "<u4"))
-                open_parts = []
+        for _, own in itertools.groupby(zip(rows["number"], rows["kind"], rows["payload"], rows["ids"]), key=lambda r: r[0]):
+            own = [(kind, payload, np.frombuffer(ids, "<u4")) for _, kind, payload, ids in own]
+            if own[0][0] == "text":
+                out.append(enc.join_tree([(payload, ids) for _, payload, ids in own]))
+            else:  # an added token is its only part
+                out.append(np.array(enc.join_all([ids.tolist() for *_, ids in own], True), "<u4"))
         ids = np.concatenate(out).astype(np.int32)
         return pd.DataFrame({"doc_id": [rows["doc_id"].iloc[0]] * copies, "ids": [ids] * copies})
 
@@ -329,7 +363,7 @@ def encode(docs: DataFrame, path: str, long_chars: int = 1 << 20) -> DataFrame:
         .withColumn("digest", F.sha2("text", 256))
         .mapInArrow(leaves, "doc_id long, digest string, part int, kind string, payload binary, number int, last boolean")
         .repartition("doc_id", "digest", "part")
-        .mapInArrow(encode_leaves, "doc_id long, digest string, part int, number int, last boolean, ids binary")
+        .mapInArrow(encode_leaves, "doc_id long, digest string, part int, kind string, payload binary, number int, ids binary")
     )
     long = parts.groupBy("doc_id", "digest").applyInPandas(concatenate, ids_type)
     return short.unionByName(long)

@@ -37,6 +37,31 @@ def test_tree_concatenation_is_exact():
         assert enc.encode_one(text.encode()).tolist() == expected(enc.tokenizer, text)
 
 
+def test_halves_cut_anywhere_join_exactly(monkeypatch):
+    """Texts with words, long blanks, lines of blanks only and accents, cut inside words and blanks."""
+    enc, rng = bpe.Encoder(PATH), random.Random(9)
+    for size in (5, 40, 300):
+        monkeypatch.setattr(bpe, "PART_BYTES", size)
+        for _ in range(15):
+            words = ["".join(rng.choice("aeinorstéñ.,'sA1日") for _ in range(rng.randrange(1, 12))) for _ in range(rng.randrange(1, 200))]
+            text = "".join(w + rng.choice([" ", " ", "\n", "  \t", " " * 120, "\u00a0", "e\u0301 "]) for w in words)
+            parts = [(x, enc.encode_one(x)) for x in bpe.halves(text.encode())]
+            assert b"".join(x for x, _ in parts).decode() == text
+            assert enc.join_tree(parts).tolist() == expected(enc.tokenizer, text)
+
+
+def test_given_long_texts_go_through_the_joins(llm, library):
+    """Rows of the given table beyond the production bound: every one is cut, joined and equal to the library."""
+    docs = llm.read.parquet("/root/testdata/sf0.1/documents.parquet").where(F.length("text") > bpe.LONG_CHARS).select("doc_id", "text")
+    rows = docs.collect()
+    enc = bpe.Encoder(PATH)
+    leaves = [[leaf for leaf in bpe.cut(r["text"].encode(), enc) if leaf[0] == "text"] for r in rows]
+    assert rows and all(len(x) >= 2 for x in leaves)
+    assert any(x[k][1][-1:].strip() and x[k + 1][1][:1].strip() for x in leaves for k in range(len(x) - 1))  # cut inside a word
+    got = {r["doc_id"]: list(r["ids"]) for r in bpe.encode(docs, PATH).collect()}
+    assert got == {r["doc_id"]: expected(library, r["text"]) for r in rows}
+
+
 def test_roundtrip(docs, corpus, library):
     for long_chars in (1 << 20, 500):  # in one task, and dealt out
         got = bpe.decode(bpe.encode(docs, PATH, long_chars), PATH).collect()
