@@ -454,6 +454,13 @@ def all_sql() -> dict[str, str]:
       c AS (SELECT i, 'evidence' AS kind, capture_id, received_ns AS candidate_ns FROM g UNION ALL SELECT i, 'authority', capture_id, received_ns FROM g),""" + proof_times("c", "-9000000000000000000"),
         "SELECT kind, capture_id, at_ns AS available_at_ns FROM c_timed")
 
+    put("record_stream", RAW + """, g AS (SELECT * FROM rc WHERE reject_class IS NULL),
+      c AS (SELECT i, 'evidence' AS kind, capture_id, received_ns AS candidate_ns FROM g UNION ALL SELECT i, 'authority', capture_id, received_ns FROM g),""" + proof_times("c", "-9000000000000000000"),
+        """SELECT b AS batch_id, g.capture_id, CASE WHEN bad THEN 'not_sent' ELSE 'proven' END AS evidence_proof, CASE WHEN NOT bad THEN e.at_ns END AS evidence_at,
+        CASE WHEN NOT bad THEN a.at_ns END AS authority_at, CASE WHEN bad THEN 'content_conflict' END AS defect
+      FROM (SELECT 0::BIGINT AS b, i, capture_id, false AS bad FROM g UNION ALL SELECT 1, i, capture_id, i % 50 < 5 FROM g WHERE i % 50 < 10) g
+      JOIN (SELECT * FROM c_timed WHERE kind = 'evidence') e USING (i) JOIN (SELECT * FROM c_timed WHERE kind = 'authority') a USING (i)""")
+
     # ----------------------------------------------------------------------------------- replay
     put("validate_requests", REQUESTS, "SELECT request_id, reject_reason FROM rv")
     put("canonical_filters", REQUESTS, "SELECT request_id, assets_json AS assets, channels_json AS channels FROM rv")

@@ -24,7 +24,7 @@ from factlake.plans.replay_plan import (
 )
 from factlake.session import materialize, new_folder
 from factlake.sources import tables
-from factlake.streaming import streams
+from factlake.streaming import recorder, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -611,6 +611,26 @@ def record_captures(spark, sf):
     return stages.progress(captured)
 
 
+@query
+def record_stream(spark, sf):
+    """The whole feed as a stream that had stopped after its first write, then late messages over the same checkpoint.
+
+    Of the late ones some are exact replays and some bear the id of another content.
+    """
+    base = new_folder(spark, "lake")
+    paths = recording.LakePaths(f"{base}/facts", f"{base}/decisions", f"{base}/markers")
+    raw, identities, i = fx.raw_messages(spark, sf), fx.identities(spark, sf), F.col("offset")
+    facts = store.folded_captures(ingest.normalize_messages(raw, identities, S.reference_scope(spark)))
+    store.append_captures(spark, paths.facts, facts, 0)
+    changed = F.when(i % 50 < 5, F.concat("value", F.lit(" "))).otherwise(F.col("value"))
+    for sent in (raw, raw.where(i % 50 < 10).withColumn("value", changed)):
+        sent.select(*S.RAW_MESSAGE.names).write.mode("append").parquet(f"{base}/raw")
+        stream = streams.read_raw_messages(spark, f"{base}/raw", "parquet")
+        recorder.record_stream(stream, paths, f"{base}/ledger", identities, f"{base}/checkpoint").awaitTermination()
+    rows = recorder.read_ledger(spark, f"{base}/ledger")
+    return rows.select("batch_id", "capture_id", "evidence_proof", "evidence_at", "authority_at", "defect")
+
+
 @query
 def recover_facts(spark, sf):
     """Whole feed recorded into stored tables, then proven again: the second run adds nothing."""

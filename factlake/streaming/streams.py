@@ -39,7 +39,7 @@ def stream_append_captures(
         finally:
             kept.unpersist()
 
-    return _start(facts, write, checkpoint, available_now)
+    return start_batches(facts, write, checkpoint, available_now)
 
 
 def decide_stream(
@@ -67,22 +67,22 @@ def decide_stream(
             truth.require_supported(kept)
             open_facts = truth.undecided(kept, stored)
             fresh = truth.decide_incremental(open_facts, stored, kept, anchors).distinct()  # a repeated message is decided once
-            _overwrite(fresh, decisions_path, batch_id)
+            overwrite_batch(fresh, decisions_path, batch_id)
             written = _only(spark, decisions_path, S.TRUTH_DECISION, batch_id)
             made = truth.anchors_of(written, kept).distinct().withColumn("anchor_part", truth.anchor_part())
             # one task a part, so that a batch adds one file to each part it touches
-            _overwrite(made.repartition("anchor_part"), anchors_path, batch_id, "anchor_part")
+            overwrite_batch(made.repartition("anchor_part"), anchors_path, batch_id, "anchor_part")
         finally:
             kept.unpersist()
 
-    return _start(facts, decide, checkpoint, available_now)
+    return start_batches(facts, decide, checkpoint, available_now)
 
 
 #: A stored anchor with the part that its identity hashes to.
 ANCHOR_ROW = T.StructType([*S.TRADE_ANCHOR.fields, T.StructField("anchor_part", T.IntegerType())])
 
 
-def _overwrite(rows: DataFrame, path: str, batch_id: int, *parts: str) -> None:
+def overwrite_batch(rows: DataFrame, path: str, batch_id: int, *parts: str) -> None:
     """Write a batch's partition anew; ``parts`` lie below it."""
     writer = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", *parts).parquet(path)
@@ -103,7 +103,7 @@ def _only(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -
     return _read(spark, path, schema).where(F.col("batch_id") == batch_id).drop("batch_id")
 
 
-def _start(df: DataFrame, action, checkpoint: str, available_now: bool) -> StreamingQuery:
+def start_batches(df: DataFrame, action, checkpoint: str, available_now: bool) -> StreamingQuery:
     writer = df.writeStream.foreachBatch(action).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
