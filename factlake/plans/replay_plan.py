@@ -40,8 +40,14 @@ class ReplayView:
         return self.keys.orderBy(*R.ORDER_COLUMNS[self.request.ordering])
 
     def records(self) -> DataFrame:
-        """Every selected record in full, unordered."""
-        return widen(self.lake, self.keys, self.request)
+        """Every selected record in full, unordered.
+
+        On the event axis the arrival span of the keys, one aggregate of them, prunes the days of the facts.
+        """
+        span = (None, None)
+        if self.request.axis == "event_time":
+            span = tuple(self.keys.agg(F.min("received_ns"), F.max("received_ns")).first())
+        return widen(self.lake, self.keys, self.request, received=span)
 
     def ordered_records(self) -> DataFrame:
         return self.records().orderBy(*R.ORDER_COLUMNS[self.request.ordering])

@@ -94,3 +94,11 @@ def test_a_page_reads_the_files_of_its_range(spark):
     last = (19, "F029")
     rest = pages.keys_from(last, 5)
     assert rest.count() < 31 and rest.where("capture_id > 'F029'").count() >= 6
+
+
+def test_records_of_the_event_axis_read_the_arrival_span_of_their_keys(spark):
+    view = replay_as_of(many(spark), request(axis="event_time", ordering="strict_event", start_ns=880, end_ns=891))
+    records = view.records()
+    assert sorted(ids(records)) == [f"F{k:03d}" for k in range(20, 42)]
+    plan = records._jdf.queryExecution().optimizedPlan().toString()
+    assert "received_ns#" in plan and ">= 16" in plan and "<= 23" in plan
