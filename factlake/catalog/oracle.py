@@ -344,6 +344,9 @@ def all_sql() -> dict[str, str]:
     put("lookup_capture", FACTS, """SELECT capture_id, CASE WHEN i % 9 = 4 THEN 0 WHEN i % 500 = 0 THEN 2 ELSE 1 END::BIGINT AS n_rows,
       CASE WHEN i % 9 = 4 THEN 'absent' WHEN i % 500 = 0 THEN 'not_unique' ELSE 'found' END AS outcome FROM f""")
     put("append_captures", FACTS, "SELECT capture_id, received_ns, payload FROM f WHERE i % 3 <> 0")
+    put("commit_captures", FACTS, "SELECT capture_id, received_ns, payload FROM f")
+    put("commit_decisions", DECIDED, "SELECT subject_capture_id, category FROM d")
+    put("commit_availability", MARKERS, "SELECT kind, capture_id, policy_version, (SELECT max(available_at_ns) FROM m) AS committed_floor FROM m")
     put("stream_append_captures", FACTS, "SELECT capture_id, asset, received_ns, payload FROM f")
     put("audit_duplicate_captures", FACTS, """, x AS (SELECT capture_id, received_ns, i FROM f UNION ALL SELECT capture_id, received_ns, i FROM f WHERE i % 100 = 3
       UNION ALL SELECT capture_id, received_ns + 1, i FROM f WHERE i % 200 = 5)

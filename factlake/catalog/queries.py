@@ -64,6 +64,34 @@ def append_captures(spark, sf):
     return store.plan_append_captures(sent, existing).select("capture_id", "received_ns", "payload")
 
 
+@query
+def commit_captures(spark, sf):
+    """Facts written in two commits; the second sends the first's again, and some of its own twice."""
+    f, path = fx.facts_with_id(spark, sf), f"{new_folder(spark, 'append')}/facts"
+    for sent in (f.where(every(3)), f.unionByName(f.where(every(10)))):
+        store.append_captures(spark, path, sent.select(*S.FACT_COLUMNS))
+    return tables.read_facts(spark, path).select("capture_id", "received_ns", "payload")
+
+
+@query
+def commit_decisions(spark, sf):
+    """Decisions written in two commits that overlap."""
+    d, path = materialize(fx.decisions(spark, sf)), f"{new_folder(spark, 'append')}/decisions"
+    for sent in (d.where(F.substring("subject_capture_id", 2, 10).cast("bigint") % 2 == 0), d):
+        store.append_decisions(spark, path, sent)
+    return store.read_decisions(spark, path).select("subject_capture_id", "category")
+
+
+@query
+def commit_availability(spark, sf):
+    """Markers written in two commits that overlap, each beside the floor that the commits state."""
+    m, path = materialize(fx.markers(spark, sf, with_id=True)), f"{new_folder(spark, 'append')}/markers"
+    for sent in (m.where(every(2)), m):
+        store.append_availability(spark, path, sent.select(*S.MARKER_COLUMNS))
+    floor = F.lit(A.stored_floor(spark, path)).cast("bigint").alias("committed_floor")
+    return store.read_markers(spark, path).select("kind", "capture_id", "policy_version", floor)
+
+
 @query
 def stream_append_captures(spark, sf):
     """Appends the whole stream twice over one checkpoint, then replays it from another."""
@@ -72,7 +100,7 @@ def stream_append_captures(spark, sf):
     for checkpoint in ("a", "a", "b"):
         q = streams.stream_append_captures(stream, f"{base}/facts", f"{base}/checkpoint-{checkpoint}")
         q.awaitTermination()
-    return spark.read.parquet(f"{base}/facts").select("capture_id", "asset", "received_ns", "payload")
+    return tables.read_facts(spark, f"{base}/facts").select("capture_id", "asset", "received_ns", "payload")
 
 
 def _fact_stream(spark, sf):
@@ -638,7 +666,7 @@ def recover_facts(spark, sf):
     paths = recording.LakePaths(f"{base}/facts", f"{base}/decisions", f"{base}/markers")
     raw = fx.raw_messages(spark, sf)
     recording.record_captures(spark, paths, raw, fx.identities(spark, sf))
-    facts = spark.read.parquet(paths.facts).select(*S.FACT_COLUMNS)
+    facts = tables.read_facts(spark, paths.facts).select(*S.FACT_COLUMNS)
     recording.recover_facts(spark, paths, facts)
     return store.read_markers(spark, paths.markers).select("kind", "capture_id", "available_at_ns")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from factlake import schemas as S
@@ -10,7 +10,7 @@ from factlake.functions import exprs as X
 from factlake.operators import store
 from factlake.operators.prefix import default_blocks
 from factlake.session import materialize
-from factlake.sources import tables
+from factlake.sources import commits, tables
 
 DEFAULT_AUTHORITIES = S.AuthorityIdentities()
 
@@ -168,6 +168,20 @@ def read_committed_floor(markers: DataFrame) -> int | None:
     return row["committed_floor"]
 
 
+def stored_floor(spark: SparkSession, path: str) -> int | None:
+    """Highest stored time, from the statistics of the commits alone; null for an empty table.
+
+    Keys are unique because every append compares its own with the stored ones; ``committed_floor`` audits them.
+    """
+    live = commits.parts(spark, path)
+    if live is None:
+        return read_committed_floor(store.read_markers(spark, path))
+    floor = max((p.stats["latest_ns"] for p in live), default=None)
+    if floor is not None and floor < 0:
+        raise S.ContractError("SOURCE_UNAVAILABLE", "invalid committed floor")
+    return floor
+
+
 # -------------------------------------------------------------------------------------- markers
 
 

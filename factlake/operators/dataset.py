@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from factlake import schemas as S
 from factlake.functions import exprs as X
-from factlake.session import materialize
+from factlake.sources import commits
 
 DISPOSITION = "excluded_by_category"
 MANIFEST_VERSION = "set-digest/v1"
@@ -130,34 +131,42 @@ def write_snapshot(
 ) -> WrittenSnapshot:
     """Write once under ``dataset_identity=...``.  The manifest goes last and is the commit mark.
 
-    The records are computed once and kept in the shared folder while their identity is derived.  An
+    The records are computed and written a single time, into a staging folder under ``root`` where their identity is derived;
+    the admitted ones are then renamed into place.  An
     identity that is already committed is left alone after its manifest is compared; a folder without
-    a manifest is an interrupted write and is written again in full, so no reader that waits for the
-    manifest sees a part.
+    a manifest is an interrupted write and is made again in full, so no reader that waits for the
+    manifest sees a part.  Files are sized by bytes within a day.
     """
-    kept = materialize(with_digest(records))
+    root = root.rstrip("/")
+    staged = f"{root}/_staging/{uuid.uuid4().hex}"
+    rows = with_digest(records).withColumn("received_date", X.received_date(F.col("received_ns")))
+    rows = rows.withColumn("admitted", F.coalesce(F.col("category") == "accepted", F.lit(False)))
+    by = ("admitted", "received_date")
+    rows.hint("rebalance", *by).write.partitionBy(*by).parquet(f"{staged}/records")
+    kept = spark.read.schema(rows.schema).parquet(f"{staged}/records").drop(*by)
     manifest = dataset_manifest(summary, kept, replay_exclusions)
     core = manifest.first().asDict()
-    path = f"{root.rstrip('/')}/dataset_identity={core['dataset_identity']}"
+    path = f"{root}/dataset_identity={core['dataset_identity']}"
     stored = read_manifest(spark, path)
     if stored is not None:
+        commits.remove(spark, staged)
         if stored != core:
             raise S.ContractError("INVARIANT_CONFLICT", "one identity, two manifests")
         return WrittenSnapshot(core["dataset_identity"], path, created=False)
-    admit_records(kept).withColumn("received_date", X.received_date(F.col("received_ns"))).write.mode(
-        "overwrite"
-    ).partitionBy("received_date").parquet(f"{path}/records")
-    exclusion_provenance(kept, replay_exclusions).write.mode("overwrite").parquet(f"{path}/exclusions")
-    spark.createDataFrame([core], manifest.schema).coalesce(1).write.mode("overwrite").parquet(
-        f"{path}/manifest"
-    )
+    commits.remove(spark, path)
+    exclusion_provenance(kept, replay_exclusions).write.parquet(f"{path}/exclusions")
+    admitted = f"{staged}/records/admitted=true"
+    if commits.exists(spark, admitted):
+        commits.move(spark, admitted, f"{path}/records")
+    else:
+        admit_records(kept).withColumn("received_date", X.received_date(F.col("received_ns"))).limit(0).write.parquet(f"{path}/records")
+    commits.remove(spark, staged)
+    spark.createDataFrame([core], manifest.schema).coalesce(1).write.parquet(f"{path}/manifest")
     return WrittenSnapshot(core["dataset_identity"], path, created=True)
 
 
 def read_manifest(spark: SparkSession, path: str) -> dict | None:
-    jvm = spark._jvm
-    mark = jvm.org.apache.hadoop.fs.Path(f"{path}/manifest/_SUCCESS")
-    if not mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark):
+    if not commits.exists(spark, f"{path}/manifest/_SUCCESS"):
         return None
     return spark.read.parquet(f"{path}/manifest").first().asDict()
 

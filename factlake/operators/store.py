@@ -11,13 +11,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from factlake import schemas as S
 from factlake.functions import exprs as X
 from factlake.operators.skew import duplicate_keys, fold_replays, one_row_per_key
 from factlake.session import materialize
-from factlake.sources import tables
+from factlake.sources import commits, tables
 
 FACT_KEY = ("received_ns", "capture_id")
 DECISION_KEY = ("policy_version", "subject_capture_id")
@@ -64,40 +63,29 @@ def folded_captures(facts: DataFrame) -> DataFrame:
 def append_captures(
     spark: SparkSession, path: str, new: DataFrame, batch_id: int | None = None
 ) -> AppendReceipt:
-    """Write the planned rows under ``received_date`` (and ``batch_id``, when given).
+    """Commit the planned rows, laid out by ``received_date`` in files sized by bytes.
 
-    A retried batch overwrites its own partitions, so at-least-once delivery leaves one row.  The
-    stored side is pruned to the days the new rows touch.  Only exact replays are folded: a key that comes, or is
+    A retried batch replaces its own part, so at-least-once delivery leaves one row.  The
+    stored side is pruned to the parts and days the new rows touch.  Only exact replays are folded: a key that comes, or is
     stored, with different content is a conflict, and nothing is written.
     """
     bounds = new.agg(F.min("received_ns"), F.max("received_ns")).first()
     if bounds[0] is None:
         return AppendReceipt(0)
-    marker = -1 if batch_id is None else batch_id
-    if path_exists(spark, path):
-        extra = [T.StructField("received_date", T.DateType()), T.StructField("batch_id", T.LongType())]
-        stored = spark.read.schema(T.StructType([*S.CAPTURE_FACT.fields, *extra])).parquet(path)
-        stored = tables.in_received_range(stored, bounds[0], bounds[1], closed=True)
-        if batch_id is not None:
-            stored = stored.where(F.col("batch_id") != batch_id)
-    else:
-        stored = spark.createDataFrame([], S.CAPTURE_FACT)
+
+    def may_hold(part: commits.Part) -> bool:
+        known = part.stats.get("first_ns"), part.stats.get("last_ns")
+        return (batch_id is None or part.batch != batch_id) and (None in known or (known[0] <= bounds[1] and known[1] >= bounds[0]))
+
+    stored = commits.read(spark, path, tables.STORED_FACT, may_hold)
+    stored = tables.in_received_range(stored, bounds[0], bounds[1], closed=True)
     if not conflicting_captures(new, stored).isEmpty():
         raise S.ContractError("INVARIANT_CONFLICT", "one capture came with different content")
-    rows = (
-        plan_append_captures(new, stored)
-        .withColumn("received_date", X.received_date(F.col("received_ns")))
-        .withColumn("batch_id", F.lit(marker).cast("bigint"))
-    )
-    writer = rows.write.partitionBy("received_date", "batch_id")
-    if batch_id is None:
-        writer.mode("append").parquet(path)
-    else:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    if batch_id is not None:
-        written = spark.read.parquet(path).where(F.col("batch_id") == batch_id)
-        return AppendReceipt(written.count())
-    return AppendReceipt(new.select(*FACT_KEY).distinct().count())
+    rows = plan_append_captures(new, stored).withColumn("received_date", X.received_date(F.col("received_ns")))
+    span = {"first_ns": F.min("received_ns"), "last_ns": F.max("received_ns")}
+    part = commits.write(spark, path, rows, by=("received_date",), batch=batch_id, stats=span)
+    commits.compact(spark, path, tables.STORED_FACT, by=("received_date",), stats=span, before=batch_id)
+    return AppendReceipt(new.select(*FACT_KEY).distinct().count() if batch_id is None else part.rows)
 
 
 def lookup_capture(ids: DataFrame, facts: DataFrame) -> DataFrame:
@@ -181,7 +169,7 @@ def plan_append_decisions(candidates: DataFrame, existing: DataFrame) -> DataFra
 
 
 def append_decisions(spark: SparkSession, path: str, candidates: DataFrame) -> AppendReceipt:
-    """Append, read back, and require exactly the candidate rows to be stored."""
+    """Write the new rows, read them back, require them exactly as given, and commit them."""
     columns = list(S.DECISION_COLUMNS)
     existing = read_decisions(spark, path)
     plan = materialize(plan_append_decisions(candidates.select(*columns).distinct(), existing))
@@ -189,21 +177,20 @@ def append_decisions(spark: SparkSession, path: str, candidates: DataFrame) -> A
         raise S.ContractError("AUTHORITY_CONFLICT", "a subject has several candidates, or is stored twice")
     if not plan.where("outcome = 'conflict'").isEmpty():
         raise S.ContractError("AUTHORITY_CONFLICT", "a stored decision differs from its candidate")
-    plan.where("outcome = 'new'").select(*columns).write.mode("append").parquet(path)
-    stored = read_decisions(spark, path)
-    verification = plan_append_decisions(plan.select(*columns), stored)
-    counts = verification.agg(
-        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("outcome") != "same", 1)).alias("differ")
-    ).first()
-    if counts["differ"] or counts["n"] != plan.count():
-        raise S.ContractError("SOURCE_UNAVAILABLE", "appended decisions did not read back exactly")
-    return AppendReceipt(counts["n"])
+    new = plan.where("outcome = 'new'").select(*columns)
+    n_new = new.count()
+
+    def read_back(written: DataFrame) -> None:
+        if written.count() != n_new or plan_append_decisions(new, written).where("outcome = 'same'").count() != n_new:
+            raise S.ContractError("SOURCE_UNAVAILABLE", "appended decisions did not read back exactly")
+
+    commits.write(spark, path, new, check=read_back)
+    commits.compact(spark, path, S.TRUTH_DECISION)
+    return AppendReceipt(plan.count())
 
 
 def read_decisions(spark: SparkSession, path: str) -> DataFrame:
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], S.TRUTH_DECISION)
-    return spark.read.schema(S.TRUTH_DECISION).parquet(path).select(*S.DECISION_COLUMNS)
+    return commits.read(spark, path, S.TRUTH_DECISION).select(*S.DECISION_COLUMNS)
 
 
 def find_subject_decision(keys: DataFrame, decisions: DataFrame) -> DataFrame:
@@ -246,7 +233,10 @@ def plan_append_availability(candidates: DataFrame, existing: DataFrame) -> Data
 
 
 def append_availability(spark: SparkSession, path: str, candidates: DataFrame) -> AppendReceipt:
-    """Append and read back; copies of a marker in the batch count once, and must be equal."""
+    """Write, read back and commit; copies of a marker in the batch count once, and must be equal.
+
+    The commit states the latest time of its markers, from which ``stored_floor`` has the floor.
+    """
     compared = [c for c in S.MARKER_COLUMNS if c != "written_at_ns"]
     folded = candidates.groupBy(*compared).agg(F.min("written_at_ns").alias("written_at_ns")).select(*S.MARKER_COLUMNS)
     plan = materialize(plan_append_availability(folded, read_markers(spark, path)))
@@ -255,23 +245,20 @@ def append_availability(spark: SparkSession, path: str, candidates: DataFrame) -
     if not plan.where("outcome = 'conflict'").isEmpty():
         raise S.ContractError("INVARIANT_CONFLICT", "immutable availability conflict")
     new = plan.where("outcome = 'new'").select(*S.MARKER_COLUMNS)
-    new.write.mode("append").parquet(path)
-    verification = plan_append_availability(plan.select(*S.MARKER_COLUMNS), read_markers(spark, path))
-    same, n = verification.where("outcome = 'same'").count(), plan.count()
-    if same != n or verification.count() != n:
-        raise S.ContractError("SOURCE_UNAVAILABLE", "appended markers did not read back exactly")
-    return AppendReceipt(n)
+    n_new = new.count()
 
+    def read_back(written: DataFrame) -> None:
+        if written.count() != n_new or plan_append_availability(new, written).where("outcome = 'same'").count() != n_new:
+            raise S.ContractError("SOURCE_UNAVAILABLE", "appended markers did not read back exactly")
 
-def read_markers(spark: SparkSession, path: str) -> DataFrame:
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], S.AVAILABILITY)
-    return spark.read.schema(S.AVAILABILITY).parquet(path).select(*S.MARKER_COLUMNS)
+    latest = {"latest_ns": F.max("available_at_ns")}
+    commits.write(spark, path, new, stats=latest, check=read_back)
+    commits.compact(spark, path, S.AVAILABILITY, stats=latest)
+    return AppendReceipt(plan.count())
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    target, system = _file_system(spark, path)
-    return system.exists(target)
+def read_markers(spark: SparkSession, path: str) -> DataFrame:
+    return commits.read(spark, path, S.AVAILABILITY).select(*S.MARKER_COLUMNS)
 
 
 def is_file(spark: SparkSession, path: str) -> bool:

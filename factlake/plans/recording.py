@@ -165,7 +165,7 @@ def recover_facts(spark: SparkSession, paths: LakePaths, facts: DataFrame) -> Da
     facts = store.folded_captures(facts)
     stored = tables.read_facts(spark, paths.facts)
     markers = store.read_markers(spark, paths.markers)
-    floor = A.read_committed_floor(markers)
+    floor = A.stored_floor(spark, paths.markers)
     proof = materialize(A.prove_evidence(facts, stored))
     if not proof.where("outcome IN ('mismatch', 'not_unique')").isEmpty():
         raise S.ContractError("INVARIANT_CONFLICT", "read-back differs from the captured fact")

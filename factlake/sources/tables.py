@@ -8,12 +8,14 @@ from pyspark.sql import types as T
 
 from factlake import schemas as S
 from factlake.functions import exprs as X
+from factlake.sources import commits
+
+STORED_FACT = T.StructType([*S.CAPTURE_FACT.fields, T.StructField("received_date", T.DateType())])
 
 
 def read_facts(spark: SparkSession, path: str) -> DataFrame:
-    """Fact table partitioned by ``received_date``; the schema is declared, never inferred."""
-    stored = T.StructType([*S.CAPTURE_FACT.fields, T.StructField("received_date", T.DateType())])
-    return spark.read.schema(stored).parquet(path)
+    """Committed facts, partitioned by ``received_date``; the schema is declared, never inferred."""
+    return commits.read(spark, path, STORED_FACT)
 
 
 def in_received_range(df: DataFrame, start_ns: int, end_ns: int, closed: bool) -> DataFrame:

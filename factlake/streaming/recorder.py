@@ -30,9 +30,7 @@ LEDGER = T.StructType(
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Ledger rows with their ``batch_id``; a batch is there in full or not at all."""
-    if not store.path_exists(spark, path):
-        return spark.createDataFrame([], T.StructType([*LEDGER.fields, T.StructField("batch_id", T.LongType())]))
-    return spark.read.schema(T.StructType([*LEDGER.fields, T.StructField("batch_id", T.LongType())])).parquet(path)
+    return streams.read_batches(spark, path, LEDGER)
 
 
 def record_batch(
@@ -51,18 +49,17 @@ def record_batch(
     if not read_ledger(spark, ledger).where(F.col("batch_id") == batch_id).isEmpty():
         return
     facts = materialize(ingest.normalize_messages(raw, identities, S.reference_scope(spark)).select(*S.FACT_COLUMNS))
-    stored = spark.createDataFrame([], S.CAPTURE_FACT)
+    stored = tables.read_facts(spark, paths.facts)
     bounds = facts.agg(F.min("received_ns"), F.max("received_ns")).first()
-    if bounds[0] is not None and store.path_exists(spark, paths.facts):
-        stored = tables.in_received_range(tables.read_facts(spark, paths.facts), bounds[0], bounds[1], closed=True)
+    if bounds[0] is not None:
+        stored = tables.in_received_range(stored, bounds[0], bounds[1], closed=True)
     clashes = materialize(store.conflicting_captures(facts, stored).select("capture_id").distinct())
     sound = store.folded_captures(facts.join(clashes, "capture_id", "left_anti"))
     store.append_captures(spark, paths.facts, sound, batch_id)
 
-    if store.path_exists(spark, paths.facts):
-        stored = tables.read_facts(spark, paths.facts)
+    stored = tables.read_facts(spark, paths.facts)
     markers = store.read_markers(spark, paths.markers)
-    floor = A.read_committed_floor(markers)
+    floor = A.stored_floor(spark, paths.markers)
     proof = materialize(A.prove_evidence(sound, stored))
     odd = truth.unsupported_facts(sound).select("capture_id")
     known = store.read_decisions(spark, paths.decisions)
@@ -83,7 +80,7 @@ def record_batch(
     first = defects.groupBy("capture_id").agg(F.min("defect").alias("defect"))
     kept = recorded.where("outcome != 'conflict'")
     rows = recording.progress(facts, proof, decisions, kept).join(first, "capture_id", "left")
-    streams.overwrite_batch(rows.select(*LEDGER.names), ledger, batch_id)
+    streams.overwrite_batch(rows.select(*LEDGER.names), ledger, batch_id, LEDGER)
 
 
 def record_stream(

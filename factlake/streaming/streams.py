@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from factlake import schemas as S
 from factlake.operators import store, truth
+from factlake.sources import commits
 
 
 def read_raw_messages(
@@ -30,7 +31,7 @@ def read_raw_messages_batch(spark: SparkSession, path: str, fmt: str = "json") -
 def stream_append_captures(
     facts: DataFrame, path: str, checkpoint: str, available_now: bool = True
 ) -> StreamingQuery:
-    """Continuous sink.  A replayed micro-batch overwrites its own partitions."""
+    """Continuous sink.  A replayed micro-batch replaces its own part."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()  # read for its bounds, for the write and for the receipt
@@ -53,8 +54,9 @@ def decide_stream(
 
     Next to the decisions the stream keeps the anchors in comparable form (identity, order, content
     digest), so a batch reads neither the fact table nor old payloads.  The anchors are laid out by a hash of their identity
-    (``truth.anchor_part``), and a batch opens only the parts its own identities hash to.  The batch's own partitions
-    are ignored when it decides and overwritten when it writes, so a retried batch reproduces itself.
+    (``truth.anchor_part``), and a batch opens only the parts its own identities hash to.  What the batch itself has committed
+    is ignored when it decides and replaced when it writes, so a retried batch reproduces itself.  The rows of finished
+    batches are merged by size class, so the files that a batch reads do not grow with the number of batches.
     """
     anchors_path = f"{decisions_path.rstrip('/')}-anchors"
 
@@ -67,11 +69,10 @@ def decide_stream(
             truth.require_supported(kept)
             open_facts = truth.undecided(kept, stored)
             fresh = truth.decide_incremental(open_facts, stored, kept, anchors).distinct()  # a repeated message is decided once
-            overwrite_batch(fresh, decisions_path, batch_id)
+            overwrite_batch(fresh, decisions_path, batch_id, S.TRUTH_DECISION)
             written = _only(spark, decisions_path, S.TRUTH_DECISION, batch_id)
             made = truth.anchors_of(written, kept).distinct().withColumn("anchor_part", truth.anchor_part())
-            # one task a part, so that a batch adds one file to each part it touches
-            overwrite_batch(made.repartition("anchor_part"), anchors_path, batch_id, "anchor_part")
+            overwrite_batch(made, anchors_path, batch_id, ANCHOR_ROW, "anchor_part")
         finally:
             kept.unpersist()
 
@@ -82,25 +83,29 @@ def decide_stream(
 ANCHOR_ROW = T.StructType([*S.TRADE_ANCHOR.fields, T.StructField("anchor_part", T.IntegerType())])
 
 
-def overwrite_batch(rows: DataFrame, path: str, batch_id: int, *parts: str) -> None:
-    """Write a batch's partition anew; ``parts`` lie below it."""
-    writer = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", *parts).parquet(path)
+def _stored(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    declared = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    if not store.path_exists(spark, path):
-        return spark.createDataFrame([], declared)
-    return spark.read.schema(declared).parquet(path)
+def overwrite_batch(rows: DataFrame, path: str, batch_id: int, schema: T.StructType, *by: str) -> None:
+    """Commit a batch anew, laid out by ``by``, and merge what earlier batches left in small parts."""
+    spark = rows.sparkSession
+    named = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).select(*_stored(schema).names)
+    commits.write(spark, path, named, by=by, batch=batch_id)
+    commits.compact(spark, path, _stored(schema), by=by, before=batch_id)
+
+
+def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Committed rows with their ``batch_id``."""
+    return commits.read(spark, path, _stored(schema))
 
 
 def _before(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
-    return _read(spark, path, schema).where(F.col("batch_id") != batch_id).drop("batch_id")
+    return commits.read(spark, path, _stored(schema), lambda p: p.batch != batch_id).drop("batch_id")
 
 
 def _only(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
-    return _read(spark, path, schema).where(F.col("batch_id") == batch_id).drop("batch_id")
+    return commits.read(spark, path, _stored(schema), lambda p: p.batch == batch_id).drop("batch_id")
 
 
 def start_batches(df: DataFrame, action, checkpoint: str, available_now: bool) -> StreamingQuery:

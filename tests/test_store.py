@@ -1,3 +1,4 @@
+import glob
 import tempfile
 
 import pytest
@@ -35,7 +36,7 @@ def test_a_retried_batch_leaves_one_copy(spark, folder):
     for _ in range(2):
         assert store.append_captures(spark, path, batch, batch_id=4).rows == 2
     store.append_captures(spark, path, facts(spark, observation("b", 2 * DAY), observation("c", 2 * DAY)), batch_id=5)
-    assert sorted(r["capture_id"] for r in spark.read.parquet(path).collect()) == ["a", "b", "c"]
+    assert sorted(r["capture_id"] for r in tables.read_facts(spark, path).collect()) == ["a", "b", "c"]
 
 
 def test_range_scan_prunes_days(spark, folder):
@@ -113,6 +114,39 @@ def test_snapshot_is_written_once_and_named_by_content(spark, folder):
     assert len(names) == 3
 
 
+def test_records_are_written_once_and_an_interrupted_write_is_made_again(spark, folder, monkeypatch):
+    lk = Lake(facts(spark, observation("A"), fact("B")), decisions(spark, accepted("A"), accepted("B", "conflict")), markers(spark, *both("A", 1, 1), *both("B", 1, 1)))
+    v = replay_as_of(lk, R.AsOfRequest(cutoff_ns=50, start_ns=0, end_ns=100))
+
+    def write(exclusions=v.exclusions):
+        return dataset.write_snapshot(spark, f"{folder}/sets", v.summary(), v.records(), exclusions)
+
+    def lost(*given):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(dataset.commits, "move", lost)
+        with pytest.raises(RuntimeError):
+            write()
+    moved = []
+    real = dataset.commits.move
+    monkeypatch.setattr(dataset.commits, "move", lambda s, a, b: moved.append(sorted(glob.glob(f"{a}/*/*.parquet"))) or real(s, a, b))
+    done = write()
+    assert done.created and not write().created
+    # what lies in place are the very files of the one write
+    names = [f.split("/")[-1] for f in moved[0]]
+    assert sorted(f.split("/")[-1] for f in glob.glob(f"{done.path}/records/*/*.parquet")) == sorted(names) and len(names) == 1
+    assert dataset.read_manifest(spark, done.path) is not None
+
+
+def test_a_snapshot_without_admitted_records_can_be_read(spark, folder):
+    lk = Lake(facts(spark, fact("B")), decisions(spark, accepted("B", "conflict")), markers(spark, *both("B", 1, 1)))
+    v = replay_as_of(lk, R.AsOfRequest(cutoff_ns=50, start_ns=0, end_ns=100))
+    done = dataset.write_snapshot(spark, f"{folder}/sets", v.summary(), v.records(), v.exclusions)
+    read = spark.read.parquet(f"{done.path}/records")
+    assert read.count() == 0 and "record_digest" in read.columns
+
+
 def test_streams_survive_a_restart(spark, folder):
     rows = [fact(f"c{i}", DAY + i) for i in range(6)]
     facts(spark, *rows[:3]).write.json(f"{folder}/in")
@@ -126,7 +160,7 @@ def test_streams_survive_a_restart(spark, folder):
     facts(spark, *rows[2:]).write.mode("append").json(f"{folder}/in")
     run()
     run()
-    assert spark.read.parquet(f"{folder}/facts").count() == 6
+    assert tables.read_facts(spark, f"{folder}/facts").count() == 6
     got = {r["subject_capture_id"]: r["category"] for r in store.read_decisions(spark, f"{folder}/decisions").collect()}
     assert got == {"c0": "accepted", **{f"c{i}": "duplicate" for i in range(1, 6)}}
 
