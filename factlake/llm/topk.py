@@ -1,12 +1,14 @@
 """Exact top-k by integer inner product with a pivot-distance index.
 
-Components become ``floor(256 * x)``.  A further component sqrt(M^2 - |v|^2), with M the largest norm, turns the largest
-inner product into the smallest Euclidean distance.  Every vector is keyed by its nearest pivot and its distance to it; the
-vectors of a pivot are cut by distance into annuli.  For a query q at distance d of a pivot, no vector of an annulus
-[low, high] is nearer than max(d - high, low - d) (triangle inequality).  The first round searches the annuli with the
-smallest such bounds until they hold ``first_rows`` vectors, which bounds the k-th score; the second searches every annulus that
-the bound leaves, and no other.  Pivots are drawn from the rows (``n_pivots``, by hash) and reach every task; annuli and
-queries meet in groups of at most ``annulus_rows`` times ``QUERY_ROWS`` rows or about, however many there are of either.
+Components become ``floor(256 * x)`` (beyond the range of a long: its end).  Every vector is keyed by its nearest pivot and its
+distance to it; the vectors of a pivot are cut by distance into annuli, each with its bounds and its largest norm.  For a query q
+at distance d of a pivot p, the triangle inequality bounds the score of any x of an annulus [low, high] with |x| <= N three ways:
+q.x <= q.p + |q| high, q.x <= |q| N, and q.x <= (|q|^2 + N^2 - g^2) / 2 for g = max(0, d - high, low - d).  The least of
+them is the annulus' bound.  The first round searches the annuli of highest bound among the pivots of highest product until they
+hold ``first_rows`` vectors, which gives a k-th score; the second opens the pivots, and of these the annuli, whose bound
+reaches that score, and no other.  Pivots are drawn from the rows by hash, half the root of their number and at most
+``MAX_PIVOTS``, which bounds what reaches every task; annuli and queries meet in groups of about ``annulus_rows`` times
+``QUERY_ROWS`` rows, however many there are of either.  On vectors without clusters the bounds leave nearly everything open.
 
 Rows whose vector is null, or holds null or non-finite components, or whose ``vec_id`` is null, take no part; empty
 vectors score 0.  Vectors of another length than the most common one are searched among their own length.
@@ -23,12 +25,13 @@ from pyspark.sql import functions as F
 
 from factlake.session import materialize
 
-N_PIVOTS = 32
-ANNULUS_ROWS = 2048
-QUERY_ROWS = 512
-FIRST_ROWS = 2048
-#: Room for rounding in distances, relative to M.
-SLACK = 1e-7
+#: Few and many pivots; in between, half the root of the number of rows.
+MIN_PIVOTS, MAX_PIVOTS = 16, 16384
+ANNULUS_ROWS = 1024
+QUERY_ROWS = 2048
+FIRST_ROWS = 1024
+#: Room for rounding in bounds, relative to the squared norms.
+SLACK = 1e-9
 
 
 def integers(table: DataFrame) -> DataFrame:
@@ -44,10 +47,6 @@ def _matrix(column) -> np.ndarray:
     return np.array(rows, dtype=np.float64).reshape(len(rows), -1)
 
 
-def _lifted(x: np.ndarray, most: float) -> np.ndarray:
-    return np.hstack([x, np.sqrt(np.maximum(0.0, most - (x * x).sum(axis=1)))[:, None]])
-
-
 def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     square = (x * x).sum(axis=1)[:, None] + (pivots * pivots).sum(axis=1)[None, :] - 2 * x @ pivots.T
     return np.sqrt(np.maximum(0.0, square))
@@ -73,49 +72,60 @@ def _best(query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int) -> pd.D
     return pd.DataFrame({"query_id": query[good], "vec_id": vec[good], "score": score[good]})
 
 
-def build_index(rows: DataFrame, n_pivots: int = N_PIVOTS, annulus_rows: int = ANNULUS_ROWS):
-    """Rows with ``pivot``, ``distance`` and ``annulus``; the annuli with bounds and counts; pivots by vector length; M^2 by length."""
+def build_index(rows: DataFrame, n_pivots: int | None = None, annulus_rows: int = ANNULUS_ROWS):
+    """Rows with ``pivot``, ``distance``, ``norm`` and ``annulus``; the annuli with bounds and counts; pivots by vector length; their cells."""
     sized = rows.withColumn("size", F.size("v"))
-    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    most = {r["size"]: r["m"] for r in sized.groupBy("size").agg(F.max(norm).alias("m")).collect()}  # one row per vector length
+    counts = {r["size"]: r["count"] for r in sized.groupBy("size").count().collect()}  # one row per vector length
+    total = max(1, sum(counts.values()))
+    n_pivots = n_pivots or min(MAX_PIVOTS, max(MIN_PIVOTS, int(total**0.5 / 2)))
     share = Window.partitionBy("size").orderBy(F.xxhash64("vec_id"), "vec_id")
-    drawn = sized.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < F.lit(float(1 << 30)) * F.least(F.lit(1.0), F.lit(64.0 * n_pivots) / F.lit(max(1, rows.count()))))
+    drawn = sized.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < float(1 << 30) * min(1.0, 64.0 * n_pivots / total))
     picked = drawn.withColumn("k", F.row_number().over(share)).where(F.col("k") <= n_pivots).select("size", "v").collect()
-    pivots = {size: _lifted(_matrix(pd.Series([r["v"] for r in picked if r["size"] == size] or [[0] * size])), m) for size, m in most.items()}
+    pivots = {size: _matrix(pd.Series([r["v"] for r in picked if r["size"] == size] or [[0] * size])) for size in counts}
 
     def assign(batches):
         for batch in batches:
             part = batch.to_pandas()
             for size, own in part.groupby("size", sort=False):
-                d = _distances(_lifted(_matrix(own["v"]), most[size]), pivots[size])
+                x = _matrix(own["v"])
+                d = _distances(x, pivots[size])
                 near = d.argmin(axis=1)
-                own = own.assign(pivot=near.astype(np.int32), distance=d[np.arange(len(d)), near])
-                yield pa.RecordBatch.from_pandas(own[["vec_id", "v", "size", "pivot", "distance"]], schema=_INDEXED, preserve_index=False)
+                exact = np.sqrt(((x - pivots[size][near]) ** 2).sum(axis=1))
+                own = own.assign(pivot=near.astype(np.int32), distance=exact, norm=np.sqrt((x * x).sum(axis=1)))
+                yield pa.RecordBatch.from_pandas(own[_INDEXED.names], schema=_INDEXED, preserve_index=False)
 
-    keyed = materialize(sized.mapInArrow(assign, "vec_id long, v array<long>, size int, pivot int, distance double"))
+    keyed = materialize(sized.mapInArrow(assign, "vec_id long, v array<long>, size int, pivot int, distance double, norm double"))
+    cells = keyed.groupBy("size", "pivot").agg(F.count("*").alias("n"), F.min("distance").alias("low"), F.max("distance").alias("high"), F.max("norm").alias("norm"))
+    cells = materialize(cells)
     # annuli of about equal counts: a pivot's distances are cut at quantiles
-    cells = keyed.groupBy("size", "pivot").agg(F.count("*").alias("n"), F.min("distance").alias("low"), F.max("distance").alias("high"))
-    fine = keyed.join(cells, ["size", "pivot"]).withColumn("slot", F.when(F.col("high") > F.col("low"), F.floor((F.col("distance") - F.col("low")) / (F.col("high") - F.col("low")) * 4095)).otherwise(0))
+    ends = cells.select("size", "pivot", "low", "high")
+    fine = keyed.join(ends, ["size", "pivot"]).withColumn("slot", F.when(F.col("high") > F.col("low"), F.floor((F.col("distance") - F.col("low")) / (F.col("high") - F.col("low")) * 4095)).otherwise(0))
     slots = fine.groupBy("size", "pivot", "slot").agg(F.count("*").alias("in_slot"))
     upto = Window.partitionBy("size", "pivot").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)  # at most 4096 rows per pivot
     cut = slots.withColumn("annulus", F.floor(F.coalesce(F.sum("in_slot").over(upto), F.lit(0)) / annulus_rows)).select("size", "pivot", "slot", "annulus")
-    index = materialize(fine.join(cut, ["size", "pivot", "slot"]).select("vec_id", "v", "size", "pivot", "distance", "annulus"))
-    annuli = index.groupBy("size", "pivot", "annulus").agg(F.min("distance").alias("low"), F.max("distance").alias("high"), F.count("*").alias("n"))
-    return index, annuli, pivots, most
+    index = materialize(fine.join(cut, ["size", "pivot", "slot"]).select("vec_id", "v", "size", "pivot", "distance", "norm", "annulus"))
+    annuli = index.groupBy("size", "pivot", "annulus").agg(F.min("distance").alias("low"), F.max("distance").alias("high"), F.max("norm").alias("norm"), F.count("*").alias("n"))
+    return index, annuli, pivots, cells
+
 
+def _bound(dot, d, q, low, high, norm, least, most):
+    """Highest score of a vector at distance ``low`` to ``high`` of a pivot and of at most ``norm``, and some room; columns or arrays."""
+    gap = most(d - high, low - d, 0 * d)
+    return least(dot + q * high, q * norm, (q * q + norm * norm - gap * gap) / 2) + SLACK * (q * q + norm * norm) + SLACK
 
-_INDEXED = pa.schema([("vec_id", pa.int64()), ("v", pa.list_(pa.int64())), ("size", pa.int32()), ("pivot", pa.int32()), ("distance", pa.float64())])
+
+_INDEXED = pa.schema([("vec_id", pa.int64()), ("v", pa.list_(pa.int64())), ("size", pa.int32()), ("pivot", pa.int32()), ("distance", pa.float64()), ("norm", pa.float64())])
 
 
 def _search(index: DataFrame, visits: DataFrame, queries: DataFrame, k: int, annulus_rows: int) -> DataFrame:
-    """The ``k`` best rows of each query among the annuli that ``visits(query_id, size, pivot, annulus)`` names."""
+    """The ``k`` best rows of each query among the annuli that ``visits(query_id, size, pivot, annulus, n)`` names with their counts."""
     cell = ["size", "pivot", "annulus"]
-    asked = visits.groupBy(*cell).agg(F.count("*").alias("n_queries")).withColumn("chunks", F.ceil(F.col("n_queries") / QUERY_ROWS).cast("int"))
-    part = F.pmod(F.xxhash64("vec_id"), F.ceil(F.count("*").over(Window.partitionBy(*cell)) / annulus_rows)).alias("part")
-    split = index.select("vec_id", "v", *cell, part).join(asked, cell)  # a long run of equal distances is one annulus of several parts
+    asked = visits.groupBy(*cell).agg(F.count("*").alias("n_queries"), F.max("n").alias("n"))
+    asked = asked.withColumn("chunks", F.ceil(F.col("n_queries") / QUERY_ROWS).cast("int")).withColumn("parts", F.ceil(F.col("n") / annulus_rows).cast("int"))
+    # a long run of equal distances is one annulus of several parts
+    split = index.select("vec_id", "v", *cell).join(asked, cell).withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")))
     left = split.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(*cell, "part", "chunk", F.lit(0).alias("is_query"), F.col("vec_id").alias("id"), "v")
-    parts = split.groupBy(*cell).agg((F.max("part") + 1).cast("int").alias("parts"))
-    wanted = visits.join(asked.select(*cell, "chunks"), cell).join(parts, cell).withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.col("chunks")).cast("int"))
+    wanted = visits.drop("n").join(asked.select(*cell, "chunks", "parts"), cell).withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.col("chunks")).cast("int"))
     wanted = wanted.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("parts") - 1).cast("long"))))
     right = wanted.join(queries.select(F.col("vec_id").alias("query_id"), "v"), "query_id").select(*cell, "part", "chunk", F.lit(1).alias("is_query"), F.col("query_id").alias("id"), "v")
 
@@ -136,48 +146,71 @@ def _search(index: DataFrame, visits: DataFrame, queries: DataFrame, k: int, ann
     return left.union(right).groupBy(*cell, "part", "chunk").applyInPandas(run, "query_id long, vec_id long, score long")
 
 
-def top_k(table: DataFrame, queries: DataFrame, k: int = 5, n_pivots: int = N_PIVOTS, annulus_rows: int = ANNULUS_ROWS, first_rows: int = FIRST_ROWS) -> DataFrame:
+def top_k(table: DataFrame, queries: DataFrame, k: int = 5, n_pivots: int | None = None, annulus_rows: int = ANNULUS_ROWS, first_rows: int = FIRST_ROWS) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score`` of the ``k`` rows of ``table`` with the highest scores for each distinct row of ``queries``, itself left out."""
+    return _ranked(search(table, queries, k, n_pivots, annulus_rows, first_rows)[0], k)
+
+
+def search(table: DataFrame, queries: DataFrame, k: int = 5, n_pivots: int | None = None, annulus_rows: int = ANNULUS_ROWS, first_rows: int = FIRST_ROWS) -> tuple[DataFrame, DataFrame]:
+    """What ``top_k`` ranks, and the annuli that each query visits with the rows they hold (``n``)."""
     rows = materialize(integers(table))
     asked = materialize(integers(queries).dropDuplicates(["vec_id"]))
-    index, annuli, pivots, most = build_index(rows, n_pivots, annulus_rows)
+    index, annuli, pivots, cells = build_index(rows, n_pivots, annulus_rows)
     annuli = materialize(annuli)
-    to_pivots = "query_id long, size int, pivot int, d double, q2 double"
+    at = {(r["size"], r["pivot"]): r for r in cells.collect()}  # at most MAX_PIVOTS for a vector length
+    enough = max(first_rows, k + 1)
+
+    def cells_of(size):
+        own = [at.get((size, p)) for p in range(len(pivots[size]))]
+        value = lambda name: np.array([0.0 if r is None else r[name] for r in own])
+        return value("n"), value("low"), value("high"), value("norm")
 
     def measure(batches):
+        """The pivots a query opens: those of highest product while the score is unknown, else those whose bound reaches it."""
         for batch in batches:
             part = batch.to_pandas()
             part["size"] = part["v"].map(len)
             for size, own in part.groupby("size", sort=False):
                 if size not in pivots:
                     continue
+                n, low, high, norm = cells_of(size)
                 x = _matrix(own["v"])
-                square = (x * x).sum(axis=1)
-                # a query is lifted with 0, whatever its norm
-                d = _distances(np.hstack([x, np.zeros((len(x), 1))]), pivots[size])
-                n = d.shape[1]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(own["vec_id"].to_numpy(), n)), pa.array(np.full(d.size, size, np.int32)), pa.array(np.tile(np.arange(n, dtype=np.int32), len(d))), pa.array(d.ravel()), pa.array(np.repeat(square, n))],
-                    ["query_id", "size", "pivot", "d", "q2"],
-                )
-
-    near = materialize(asked.mapInArrow(measure, to_pivots))
-    bound = F.greatest(F.lit(0.0), F.col("d") - F.col("high"), F.col("low") - F.col("d"))
-    reach = near.join(annuli, ["size", "pivot"]).withColumn("bound", bound)
-    nearest = Window.partitionBy("query_id").orderBy("bound", "pivot", "annulus").rowsBetween(Window.unboundedPreceding, -1)
-    first = reach.withColumn("before", F.coalesce(F.sum("n").over(nearest), F.lit(0))).where(F.col("before") < max(first_rows, k + 1))
-    first = materialize(first.select("query_id", "size", "pivot", "annulus"))
+                q = np.sqrt((x * x).sum(axis=1))[:, None]
+                d, dot = _distances(x, pivots[size]), x @ pivots[size].T
+                if own["score"].isna().all():
+                    order = np.argsort(-dot, axis=1, kind="stable")
+                    before = np.cumsum(n[order], axis=1) - n[order]
+                    opened = np.zeros(dot.shape, bool)
+                    np.put_along_axis(opened, order, before < enough, axis=1)
+                else:
+                    least, most = lambda *v: np.minimum.reduce(np.broadcast_arrays(*v)), lambda *v: np.maximum.reduce(np.broadcast_arrays(*v))
+                    reach = _bound(dot, d, q, low[None, :], high[None, :], norm[None, :], least, most)
+                    opened = (reach >= own["score"].to_numpy(np.float64)[:, None]) | own["score"].isna().to_numpy()[:, None]
+                i, j = np.nonzero(opened & (n > 0)[None, :])
+                ids, score = own["vec_id"].to_numpy(), own["score"].to_numpy(np.float64)
+                columns = [ids[i], np.full(len(i), size, np.int32), j.astype(np.int32), d[i, j], dot[i, j], q[i, 0]]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(score[i], from_pandas=True)], ["query_id", "size", "pivot", "d", "dot", "q", "score"])
+
+    near = "query_id long, size int, pivot int, d double, dot double, q double, score double"
+
+    def reach(open_pivots: DataFrame) -> DataFrame:
+        c = F.col
+        return open_pivots.join(annuli, ["size", "pivot"]).withColumn("bound", _bound(c("dot"), c("d"), c("q"), c("low"), c("high"), c("norm"), F.least, F.greatest))
+
+    visit = ["query_id", "size", "pivot", "annulus"]
+    first = reach(asked.withColumn("score", F.lit(None).cast("double")).mapInArrow(measure, near))
+    nearest = Window.partitionBy("query_id").orderBy(F.desc("bound"), "pivot", "annulus").rowsBetween(Window.unboundedPreceding, -1)
+    first = first.withColumn("before", F.coalesce(F.sum("n").over(nearest), F.lit(0))).where(F.col("before") < enough)
+    first = materialize(first.select(*visit, "n"))
     best = materialize(_ranked(_search(index, first, asked, k, annulus_rows), k))
 
-    # |q - x|^2 = |q|^2 + M^2 - 2 q.x: the k-th score bounds the distance of whatever can still get in
-    kth = best.where(F.col("rank") == k).select("query_id", "score")
-    lengths = F.create_map(*(F.lit(x) for size, m in most.items() for x in (size, float(m)))) if most else F.lit(None)
-    m2 = lengths[F.col("size")] if most else F.lit(0.0)
-    radius = F.sqrt(F.greatest(F.lit(0.0), F.col("q2") + m2 - 2 * F.col("score"))) + F.lit(SLACK) * (F.sqrt(F.col("q2") + m2) + 1)
-    open_cells = reach.join(kth, "query_id", "left").where(F.col("score").isNull() | (F.col("bound") <= radius))
-    cell = ["query_id", "size", "pivot", "annulus"]
-    second = materialize(open_cells.select(*cell).join(first, cell, "left_anti"))
-    return _ranked(best.drop("rank").union(_search(index, second, asked, k, annulus_rows)), k)
+    # a query with fewer than k rows so far has no score to reach, and opens everything
+    kth = best.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("score"))
+    known = asked.join(kth, "vec_id")
+    unknown = asked.join(kth, "vec_id", "left_anti").withColumn("score", F.lit(float("-inf")))
+    second = reach(known.unionByName(unknown).mapInArrow(measure, near)).where(F.col("bound") >= F.col("score"))
+    second = materialize(second.select(*visit, "n").join(first.select(*visit), visit, "left_anti"))
+    return best.drop("rank").union(_search(index, second, asked, k, annulus_rows)), first.union(second)
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:

@@ -5,6 +5,7 @@ import math
 import numpy as np
 import pytest
 from brute import components, top_k
+from pyspark.sql import functions as F
 
 from factlake.llm import near_vectors, topk
 
@@ -85,6 +86,25 @@ def test_top_k(llm, vectors, annulus, first):
     assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == sorted(want)
 
 
+def test_top_k_leaves_most_rows_of_clusters_unvisited(llm):
+    rng = np.random.default_rng(5)
+    centres = rng.standard_normal((60, 32))
+    x = centres[np.arange(6000) % 60] * (1 + 0.2 * rng.random((6000, 1))) + 0.1 * rng.standard_normal((6000, 32))
+    table = llm.createDataFrame([(k, v.tolist()) for k, v in enumerate(x.astype(np.float32))], "vec_id long, embedding array<float>").repartition(2)
+    found, visits = topk.search(table, table.where("vec_id % 100 = 0"), 5, n_pivots=150, annulus_rows=32, first_rows=64)
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk._ranked(found, 5).collect())
+    v = np.floor(256 * x.astype(np.float32).astype(np.float64)).astype(np.int64)
+    want = []
+    for i in range(0, 6000, 100):
+        score = v @ v[i]
+        best = [int(j) for j in np.lexsort((np.arange(6000), -score)) if j != i][:5]
+        want += [(i, r, j, int(score[j])) for r, j in enumerate(best, 1)]
+    assert got == sorted(want)
+    share = visits.agg(F.sum("n")).first()[0] / (60 * 6000)
+    assert share < 0.2, share
+    assert visits.groupBy("query_id", "size", "pivot", "annulus").count().where("count > 1").isEmpty()
+
+
 def test_no_vectors(llm):
     none = llm.createDataFrame([], SCHEMA)
     assert near_vectors.near_duplicates(none).count() == 0
