@@ -111,14 +111,10 @@ def candidates(q: np.ndarray, low: np.ndarray, x: np.ndarray, group: int = GROUP
         dims = slice(g * group, (g + 1) * group)
         partial[np.ix_(asked, listed)] += q[asked, dims] @ x[listed, dims].T
         work += len(asked) * len(listed) * (min(x.shape[1], (g + 1) * group) - g * group)
-        # a row that the index leaves out keeps its rest as it was when it was last listed
         bound = partial[np.ix_(asked, listed)] + rest_q[asked, g + 1][:, None] * rest_x[listed, g + 1][None, :]
         alive[np.ix_(asked, listed)] &= bound >= (low[asked] - slack)[:, None]
-        if least > 0:
-            out = np.ones(len(x), bool)
-            out[listed] = False
-            # not listed: its partial score so far plus all of its rest
-            alive[:, out] &= partial[:, out] + rest_q[:, g][:, None] * rest_x[out, g][None, :] >= (low - slack)[:, None]
+        # a row that the index leaves out stays as it was judged when it was last listed: its partial score stops there,
+        # so a later, smaller rest would not bound what it still lacks
     pairs = np.nonzero(alive)
     return pairs[0], pairs[1], work
 

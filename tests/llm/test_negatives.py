@@ -72,6 +72,20 @@ def test_candidates_lose_nothing_and_prune(low):
     assert work <= full and (low < 900 or work < 0.4 * full and len(got) < 0.05 * 40 * 500)
 
 
+@pytest.mark.parametrize("noise", [0.05, 0.3, 1.0])
+@pytest.mark.parametrize("share", [1.0, 0.95, 0.8])
+def test_candidates_keep_rows_that_the_index_leaves_out(noise, share):
+    rng = np.random.default_rng(1)
+    for dims in (16, 24, 64):
+        centres = rng.standard_normal((3, dims))
+        x = np.floor(256 * (centres[rng.integers(0, 3, 200)] + noise * rng.standard_normal((200, dims))))
+        q = x[:20]
+        scores = q @ x.T
+        low = np.sort(scores, axis=1)[:, -6] * share
+        i, j, _ = hard_negatives.candidates(q, low, x)
+        assert set(zip(i.tolist(), j.tolist())) >= set(zip(*(z.tolist() for z in np.nonzero(scores >= low[:, None]))))
+
+
 def test_scores_beyond_doubles_are_exact():
     v = [[2**31 + 1, 3], [2**30 + 7, -5]]
     queries = pd.DataFrame({"query_id": [1], "v": [v[0]], "windows": [[{"window": 0, "low": -(1 << 63), "high": (1 << 63) - 1}]]})
