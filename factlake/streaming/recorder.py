@@ -55,7 +55,7 @@ def record_batch(
         stored = tables.in_received_range(stored, bounds[0], bounds[1], closed=True)
     clashes = materialize(store.conflicting_captures(facts, stored).select("capture_id").distinct())
     sound = store.folded_captures(facts.join(clashes, "capture_id", "left_anti"))
-    store.append_captures(spark, paths.facts, sound, batch_id)
+    store.append_captures(spark, paths.facts, sound, batch_id, folded=True)
 
     stored = tables.read_facts(spark, paths.facts)
     markers = store.read_markers(spark, paths.markers)

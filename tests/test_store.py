@@ -9,7 +9,7 @@ from factlake import schemas as S
 from factlake.operators import dataset, ingest, store
 from factlake.operators import replay as R
 from factlake.plans.replay_plan import Lake, replay_as_of
-from factlake.sources import tables
+from factlake.sources import commits, tables
 from factlake.streaming import streams
 
 
@@ -179,3 +179,43 @@ def test_a_subscription_takes_ids_under_their_own_source_only(spark):
             ingest.subscription(bindings, "cf_benchmarks")
     with pytest.raises(S.ContractError):
         ingest.subscribe_scope_filter(raw, cf.limit(0))
+
+
+def _exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_candidates_and_stored_rows_meet_in_one_shuffle(spark, folder):
+    path = f"{folder}/decisions"
+    store.append_decisions(spark, path, decisions(spark, accepted("a"), accepted("b")))
+    sent = decisions(spark, accepted("a"), accepted("b", "duplicate"), accepted("c"), accepted("c"))
+    plan = store._judged(sent, store.read_decisions(spark, path), store.DECISION_KEY, S.DECISION_COLUMNS)
+    assert _exchanges(plan) == 1
+    assert sorted((r["subject_capture_id"], r["outcome"], r["doubled"]) for r in plan.collect()) == [("a", "same", False), ("b", "conflict", False), ("c", "new", False)]
+
+
+@pytest.mark.parametrize("changed", ["category", "reason"])
+def test_changed_content_does_not_read_back(spark, folder, monkeypatch, changed):
+    real = commits._store
+
+    def altered(s, p, rows, *rest):
+        return real(s, p, rows.withColumn(changed, F.lit("other")), *rest)
+
+    monkeypatch.setattr(commits, "_store", altered)
+    with pytest.raises(S.ContractError, match="read back"):
+        store.append_decisions(spark, f"{folder}/decisions", decisions(spark, accepted("a")))
+
+
+def test_large_steps_are_dealt_by_rows(spark, folder, monkeypatch):
+    from factlake import session
+    from factlake.operators import availability as A
+
+    monkeypatch.setattr(session, "TASK_ROWS", 1)
+    many = facts(spark, *[observation(f"c{k:03d}", DAY + k) for k in range(60)])
+    stored = facts(spark, *[observation(f"c{k:03d}", DAY + k + (k == 7)) for k in range(55)])
+    dealt = A.prove_evidence(many, stored)
+    assert "REPARTITION_BY_NUM" in dealt._jdf.queryExecution().executedPlan().toString()
+    outcomes = {r["capture_id"]: r["outcome"] for r in dealt.collect()}
+    assert outcomes == {f"c{k:03d}": "absent" if k >= 55 else "mismatch" if k == 7 else "proven" for k in range(60)}
+    times = A.assign_proof_times(A.evidence_candidates(many, F.lit(5), "x"), 9, blocks=20)
+    assert [r["available_at_ns"] for r in times.orderBy("capture_id").collect()] == list(range(10, 70))
