@@ -12,7 +12,7 @@ from factlake.functions import exprs as X
 from factlake.operators import availability as A
 from factlake.operators import cells as C
 from factlake.operators.prefix import block_boundaries, into_blocks
-from factlake.session import materialize
+from factlake.session import materialize, spread
 from factlake.sources import tables
 
 SNAPSHOT_SCHEME = "set-digest/v1"
@@ -519,8 +519,33 @@ def with_filters(paired: DataFrame, facts: DataFrame) -> DataFrame:
 
     A candidate stays one row: without a fact it has no asset, and a fact that is stored twice counts once.
     """
-    scope = facts.groupBy("capture_id").agg(F.min("asset").alias("asset"), F.min("channel").alias("channel"))
-    return paired.join(scope, "capture_id", "left")
+    rows = facts.count()
+    scope = spread(facts.select("capture_id", "asset", "channel"), rows, "capture_id")
+    scope = scope.groupBy("capture_id").agg(F.min("asset").alias("asset"), F.min("channel").alias("channel"))
+    return spread(paired, rows, "capture_id").join(scope, "capture_id", "left")
+
+
+def with_rank(candidates: DataFrame) -> DataFrame:
+    """Candidates with ``capture_rank``, a number that rises with ``capture_id`` (null for a null id), as a table.
+
+    The ends of a range of ids are then a minimum and a maximum of numbers, which Spark folds by hash; texts it would sort first.
+    """
+    line = candidates.repartitionByRange("capture_id").sortWithinPartitions("capture_id")
+    return materialize(line.withColumn("capture_rank", F.when(F.col("capture_id").isNotNull(), F.monotonically_increasing_id())))
+
+
+def exclusion_ranges(listed: DataFrame, ranked: DataFrame) -> DataFrame:
+    """Per request and code of ``listed`` (which keeps ``capture_rank``): how many exclusions, and the first and last id.
+
+    However many pairs are listed, a task holds one row per request and code.
+    """
+    ends = materialize(listed.groupBy("request_id", "code").agg(F.count("*").alias("n"), F.min("capture_rank").alias("lo"), F.max("capture_rank").alias("hi")))
+    wanted = ends.select(F.explode(F.array("lo", "hi")).alias("capture_rank")).distinct()
+    names = ranked.select("capture_rank", "capture_id").join(wanted, "capture_rank", "left_semi")
+    first = names.select(F.col("capture_rank").alias("lo"), F.col("capture_id").alias("first_capture_id"))
+    last = names.select(F.col("capture_rank").alias("hi"), F.col("capture_id").alias("last_capture_id"))
+    named = ends.join(first, "lo", "left").join(last, "hi", "left")
+    return named.select("request_id", "code", "n", "first_capture_id", "last_capture_id")
 
 
 def _passes_filters() -> Column:
@@ -609,9 +634,11 @@ def replay_many(requests: DataFrame, candidates: DataFrame) -> DataFrame:
     return out
 
 
-def replay_many_exclusions(requests: DataFrame, candidates: DataFrame) -> DataFrame:
+def replay_many_exclusions(requests: DataFrame, candidates: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """``request_id``, ``capture_id``, ``code``: the exclusions of every request, as ``replay_exclusions`` gives them for one.
 
+    ``keep`` names further columns of the candidates that go along.
+
     A candidate that was never available on both sides is excluded from every request its filters let in, by definition; a
     late one meets only requests whose cutoff comes before it.
     """
@@ -619,11 +646,11 @@ def replay_many_exclusions(requests: DataFrame, candidates: DataFrame) -> DataFr
     cutoffs = C.line_of(requests, "cutoff_ns")
     never = F.lit(len(cutoffs.bounds)).cast("bigint")
     # cell k of this line: candidates that the first k cutoffs do not see
-    rows = candidates.select("capture_id", "asset", "channel", "evidence_at", "authority_at", F.coalesce(_available_cell(cutoffs), never).alias("ac"))
+    rows = candidates.select("capture_id", *keep, "asset", "channel", "evidence_at", "authority_at", F.coalesce(_available_cell(cutoffs), never).alias("ac"))
     asked = requests.select("request_id", "assets", "channels", "cutoff_ns", cutoffs.cell(F.col("cutoff_ns")).alias("after"))
     covers = C.cover(asked, F.col("after"), never, cutoffs.levels).drop("after")
     met = C.meet(rows.where("ac > 0"), F.col("ac"), covers, cutoffs.levels).where(_passes_filters())
-    return met.select("request_id", "capture_id", exclusion_code(F.col("cutoff_ns")).alias("code"))
+    return met.select("request_id", "capture_id", exclusion_code(F.col("cutoff_ns")).alias("code"), *keep)
 
 
 def replay_many_status(requests: DataFrame, candidates: DataFrame, members: DataFrame) -> DataFrame:

@@ -174,6 +174,18 @@ def test_many_requests_equal_single_reads(spark):
         assert sorted(got) == sorted((r["capture_id"], r["code"]) for r in v.exclusions.collect())
 
 
+def test_ends_of_exclusions_are_folded_without_a_sort(spark):
+    lk = simple(spark)
+    table = R.request_row(lk.facts, request(cutoff_ns=35).validated(), "r0").unionByName(R.request_row(lk.facts, request(cutoff_ns=25).validated(), "r1"))
+    candidates = R.with_rank(R.with_filters(R.pair_candidates(lk.facts, lk.decisions, lk.markers), lk.facts))
+    listed = R.replay_many_exclusions(table, candidates, ("capture_rank",))
+    want = listed.groupBy("request_id", "code").agg(F.count("*").alias("n"), F.min("capture_id").alias("a"), F.max("capture_id").alias("b"))
+    got = R.exclusion_ranges(listed, candidates)
+    assert got.count() > 0 and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    ends = listed.groupBy("request_id", "code").agg(F.min("capture_rank"), F.max("capture_rank"))
+    assert "SortAggregate" not in ends._jdf.queryExecution().executedPlan().toString()
+
+
 def test_page_scan_prunes_payload_until_the_page_is_known(spark):
     v = replay_as_of(simple(spark), request(), strict=False)
     assert "payload" not in v.keys.columns
