@@ -44,10 +44,10 @@ WINDOW = 48
 LETTER_RUNS = {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
 #: Latin-1 letters.
 SIMPLE = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
-#: Bytes that a worker's memory of words may take, by the estimate of ``WORD_BYTES`` a word; beyond it the memory starts anew.
+#: Bytes that a worker's memory of words may take; beyond it only words met again are kept, up to half of it.
 MEMORY_BYTES = 24 << 20
-#: A word as key and place in a dictionary, with its ids.
-WORD_BYTES = 240
+#: What a word takes beside its text and ids: place, length and count, and its entry in the table of a look-up.
+WORD_BYTES = 80
 #: Bytes of text that are encoded, and rows handed on, at once.
 ENCODE_BYTES = 1 << 20
 #: Rows that are decoded before they are handed on.
@@ -73,9 +73,9 @@ class Encoder:
             raise ValueError(f"{path}: white space is no boundary for this vocabulary")
         spec = json.loads(self.tokenizer.to_str())
         self.suffix = spec["model"].get("end_of_word_suffix") or ""
-        self.words: dict[str, int] = {}
+        self.words = pa.array([], pa.large_string())
         self.store, self.used = np.zeros(1 << 16, "<u4"), 0
-        self.starts, self.lens = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.starts, self.lens, self.met = (np.zeros(0, np.int64) for _ in range(3))
         self.letters = self._letters(spec)
         added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.added = added
@@ -168,48 +168,66 @@ class Encoder:
             return None
         return [t.id for t in self.tokenizer.model.tokenize(word.lower().translate(self.letters))]
 
-    def learn(self, words: list[str]) -> None:
+    def learn(self, words: pa.Array) -> None:
         """Remember the ids of new words."""
-        ids: dict[str, list[int]] = {}
-        rest = []
-        for w in words:
-            got = self.word(w) if len(w) <= LONG_RUN else self.run(w)
-            if got is None:
-                rest.append(w)
-            else:
-                ids[w] = got
+        texts = words.to_pylist()
+        ids = [self.word(w) if len(w) <= LONG_RUN else self.run(w) for w in texts]
+        rest = [k for k, x in enumerate(ids) if x is None]
         for k in range(0, len(rest), CALL):
             some = rest[k : k + CALL]
-            ids.update(zip(some, (e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False))))
-        lens = np.fromiter(map(len, ids.values()), np.int64, len(ids))
-        n, first = len(self.words), self.used
+            for place, e in zip(some, self.tokenizer.encode_batch_fast([texts[p] for p in some], add_special_tokens=False)):
+                ids[place] = e.ids
+        lens = np.fromiter(map(len, ids), np.int64, len(ids))
+        first = self.used
         self.used += int(lens.sum())
         while self.used > len(self.store):
             self.store = np.concatenate([self.store, np.zeros_like(self.store)])
-        while n + len(ids) > len(self.starts):
-            self.starts, self.lens = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lens))
-        self.store[first : self.used] = np.fromiter(itertools.chain.from_iterable(ids.values()), "<u4", self.used - first)
-        self.lens[n : n + len(ids)] = lens
-        self.starts[n : n + len(ids)] = first + np.cumsum(lens) - lens
-        self.words.update(zip(ids, range(n, n + len(ids))))
+        self.store[first : self.used] = np.fromiter(itertools.chain.from_iterable(ids), "<u4", self.used - first)
+        self.words = pa.concat_arrays([self.words, words])
+        self.starts = np.concatenate([self.starts, first + np.cumsum(lens) - lens])
+        self.lens = np.concatenate([self.lens, lens])
+        self.met = np.concatenate([self.met, np.zeros_like(lens)])
+
+    def forget(self) -> None:
+        """Keep the words met more than once, most often first, up to half of the memory."""
+        again = np.flatnonzero(self.met > 1)
+        again = again[np.argsort(-self.met[again], kind="stable")]
+        sizes = pc.binary_length(self.words.take(pa.array(again))).to_numpy(zero_copy_only=False) + 4 * self.lens[again] + WORD_BYTES
+        kept = np.sort(again[np.cumsum(sizes) <= MEMORY_BYTES // 2])
+        self.words, self.lens, self.met = self.words.take(pa.array(kept)), self.lens[kept], self.met[kept] // 2
+        ends = np.cumsum(self.lens)
+        ids = self._ids(kept, self.starts, self.lens, ends)
+        self.starts, self.used = ends - self.lens, len(ids)
+        self.store = np.concatenate([ids, np.zeros(1 << 16, "<u4")])
+
+    def _ids(self, of: np.ndarray, starts: np.ndarray, lens: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The ids of remembered words, one after another; ``lens`` and their sums ``ends`` are those of the words ``of``."""
+        where = np.repeat(starts[of] - (ends - lens), lens)
+        where += np.arange(len(where))
+        return self.store[where]
 
     def _some(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         split = pc.ascii_split_whitespace(self.plainer(texts))
         coded = split.flatten().dictionary_encode()
-        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        if (len(self.words) + len(words)) * WORD_BYTES > MEMORY_BYTES:
-            self.words, self.used = {}, 0
-        new = [w for w in words if w not in self.words]
-        if new:
+        words = coded.dictionary
+        place = pc.index_in(words, value_set=self.words)
+        if place.null_count:
+            new = words.filter(place.is_null())
+            if (len(self.words) + len(new)) * WORD_BYTES + self.words.nbytes + new.nbytes + 4 * self.used > MEMORY_BYTES:
+                self.forget()
+                place = pc.index_in(words, value_set=self.words)
+                new = words.filter(place.is_null())
+            place = place.fill_null(-1).to_numpy().copy()
+            place[place < 0] = len(self.words) + np.arange(len(new))
             self.learn(new)
-        of = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
-        of = of[coded.indices.to_numpy()] if len(words) else of
+        else:
+            place = place.to_numpy()
+        self.met[place] += 1
+        of = place[coded.indices.to_numpy()]
         lens = self.lens[of]
         ends = np.cumsum(lens)
-        where = np.repeat(self.starts[of] - (ends - lens), lens)
-        where += np.arange(len(where))
         bounds = np.append(0, ends)[split.offsets.to_numpy() - split.offsets[0].as_py()]
-        return self.store[where], bounds
+        return self._ids(of, self.starts, lens, ends), bounds
 
     def encode_some(self, texts: pa.Array, size: int = ENCODE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Runs of rows of about ``size`` bytes: number of rows, their ids, and where each row's begin (with the end of the last)."""

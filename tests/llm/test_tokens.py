@@ -37,6 +37,20 @@ def test_tree_concatenation_is_exact():
         assert enc.encode_one(text.encode()).tolist() == expected(enc.tokenizer, text)
 
 
+def test_a_full_memory_keeps_the_words_that_come_again(monkeypatch):
+    monkeypatch.setattr(bpe, "MEMORY_BYTES", 20_000)
+    enc = bpe.Encoder(PATH)
+    known, learned = enc.word, []
+    monkeypatch.setattr(enc, "word", lambda w: learned.append(w) or known(w))
+    common, letters = ["some", "common", "words", "été", "x1y2"], "bcdfghjklmnp"
+    for k in range(200):  # each text has 50 words that no other has
+        rare = ["q" + "".join(letters[int(d)] for d in f"{50 * k + i:05}") for i in range(50)]
+        text = " ".join(common + rare)
+        assert enc.encode_one(text.encode()).tolist() == expected(enc.tokenizer, text)
+    assert len(enc.words) < 250
+    assert all(learned.count(w) == 1 for w in common)
+
+
 def test_halves_cut_anywhere_join_exactly(monkeypatch):
     """Texts with words, long blanks, lines of blanks only and accents, cut inside words and blanks."""
     enc, rng = bpe.Encoder(PATH), random.Random(9)
