@@ -36,6 +36,8 @@ from factlake.session import materialize
 #: Ratio of the sizes at the ends of a band.
 BAND = 1.3
 SKETCH_LONGS = 16
+#: Hashes of sets that the verification of pairs holds at once, about.
+HELD_HASHES = 1 << 20
 _U = np.uint64
 _I = np.int64
 
@@ -169,17 +171,17 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
     def run(batches):
         for batch in batches:
             known: dict[int, np.ndarray] = {}
-            sides = []
-            for node, text in (("a", "text_a"), ("b", "text_b")):
-                data, offsets = utf8(batch.column(text))
-                ids = batch.column(node).to_pylist()
-                for first, last in ((k, k + 1) for k in range(len(ids)) if ids[k] not in known):
-                    if ids[first] not in known:
-                        known[ids[first]] = shingle_sets(data, offsets, first, last, n)[0]
-                sides.append(ids)
+            held = 0
+            sides = [(batch.column(node).to_pylist(), *utf8(batch.column(text))) for node, text in (("a", "text_a"), ("b", "text_b"))]
             good = []
-            for a, b in zip(*sides):
-                x, y = known[a], known[b]
+            for k in range(len(batch)):
+                if held > HELD_HASHES:
+                    known, held = {}, 0
+                for ids, data, offsets in sides:
+                    if ids[k] not in known:
+                        known[ids[k]] = shingle_sets(data, offsets, k, k + 1, n)[0]
+                        held += len(known[ids[k]])
+                x, y = (known[ids[k]] for ids, *_ in sides)
                 if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
                     good.append(False)
                     continue

@@ -21,6 +21,12 @@ def test_jaccard_components(docs, corpus, n, percent):
     assert all(r["n_shingles"] in sizes[r["doc_id"]] for r in got)
 
 
+def test_pairs_are_verified_with_few_sets_held(docs, monkeypatch):
+    want = {(r["doc_id"], r["component_id"]) for r in shingle_join.linked_components(docs, 5, 80).collect()}
+    monkeypatch.setattr(shingle_join, "HELD_HASHES", 0)  # nothing is held from one pair to the next
+    assert {(r["doc_id"], r["component_id"]) for r in shingle_join.linked_components(docs, 5, 80).collect()} == want
+
+
 def test_keep_one(docs, corpus):
     kept = shingle_join.keep_one(docs, 5, 80).collect()
     rows = [r[:2] for r in corpus]

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from factlake.llm import bpe, token_counts, token_store
 from factlake.llm.queries import vocabulary
 
@@ -87,6 +88,12 @@ def test_roundtrip(docs, corpus, library):
     assert (one["n_tokens"], one["ids_sha256"]) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
 
 
+def test_one_python_step_a_stage(llm, docs):
+    """The stage that encodes hands its ids on as a table, so that no task holds two Python workers."""
+    plan = corpus_pipeline.encode(llm, docs, "")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "FlatMapGroupsInPandas" not in plan
+
+
 def test_roundtrip_of_nothing(empty):
     assert bpe.decode(bpe.encode(empty, PATH), PATH).count() == 0
 
