@@ -168,15 +168,19 @@ class Encoder:
             return None
         return [t.id for t in self.tokenizer.model.tokenize(word.lower().translate(self.letters))]
 
-    def learn(self, words: pa.Array) -> None:
-        """Remember the ids of new words."""
-        texts = words.to_pylist()
+    def ids_of(self, texts: list[str]) -> list[list[int]]:
+        """Ids of words between white space, without the memory."""
         ids = [self.word(w) if len(w) <= LONG_RUN else self.run(w) for w in texts]
         rest = [k for k, x in enumerate(ids) if x is None]
         for k in range(0, len(rest), CALL):
             some = rest[k : k + CALL]
             for place, e in zip(some, self.tokenizer.encode_batch_fast([texts[p] for p in some], add_special_tokens=False)):
                 ids[place] = e.ids
+        return ids
+
+    def learn(self, words: pa.Array) -> None:
+        """Remember the ids of new words."""
+        ids = self.ids_of(words.to_pylist())
         lens = np.fromiter(map(len, ids), np.int64, len(ids))
         first = self.used
         self.used += int(lens.sum())
@@ -247,6 +251,24 @@ class Encoder:
     def encode_one(self, text: bytes) -> np.ndarray:
         return self.encode(pa.array([text.decode()], pa.large_string()))[0]
 
+    def encode_leaves(self, leaves: pa.RecordBatch) -> Iterator[tuple[int, list[np.ndarray]]]:
+        """Runs of leaves as ``cut`` makes them: number of rows and the ids of each; many meet the memory of words at once."""
+        texts = pc.if_else(pc.equal(leaves.column("kind"), "text"), leaves.column("payload"), None).cast(pa.large_string())
+        first = 0
+        for n, some, bounds in self.encode_some(texts):
+            ids = np.split(some, bounds[1:-1])
+            rows = zip(*(leaves.column(c).slice(first, n).to_pylist() for c in ("kind", "payload", "last")))
+            for k, (kind, payload, last) in enumerate(rows):
+                if kind != "text":
+                    ids[k] = np.array([int(payload)] if kind == "id" else self.piece(payload.decode(), last), "<u4")
+            yield n, ids
+            first += n
+
+    def encode_window(self, text: bytes) -> np.ndarray:
+        """As ``encode_one``, for a few words: a look-up in the memory costs as much as all words in it, whatever the text."""
+        ids = self.ids_of([w.decode() for w in text.split()])
+        return np.fromiter(itertools.chain.from_iterable(ids), "<u4")
+
     def join_texts(self, left: tuple[bytes, np.ndarray], right: tuple[bytes, np.ndarray]) -> tuple[bytes, np.ndarray]:
         """Text and ids of two neighbouring stretches as one, wherever they were cut apart."""
         (before, l_ids), (after, r_ids) = left, right
@@ -255,8 +277,8 @@ class Encoder:
             a = max(map(before.rfind, SPACES, itertools.repeat(0), itertools.repeat(max(0, len(before) - i)))) + 1
             space = SPACE.search(after, j)
             b = space.start() if space else len(after)
-            had_l, had_r = self.encode_one(before[a:]), self.encode_one(after[:b])
-            window = self.encode_one(before[a:] + after[:b])
+            had_l, had_r = self.encode_window(before[a:]), self.encode_window(after[:b])
+            window = self.encode_window(before[a:] + after[:b])
             m, n = len(l_ids) - len(had_l), len(had_r)
             left_agrees = a == 0 or (0 < len(had_l) and m >= 0 and np.array_equal(l_ids[m:], had_l) and window[0] == had_l[0])
             right_agrees = b == len(after) or (0 < n and np.array_equal(r_ids[:n], had_r) and window[-1] == had_r[-1])
@@ -351,13 +373,12 @@ def encode(docs: DataFrame, path: str, long_chars: int = LONG_CHARS) -> DataFram
     def encode_leaves(batches):
         enc = encoder(path)
         for batch in batches:
-            ids = []
-            for kind, payload, last in zip(*(batch.column(c).to_pylist() for c in ("kind", "payload", "last"))):
-                if kind == "text":
-                    ids.append(enc.encode_one(payload).tobytes())
-                else:
-                    ids.append(np.array([int(payload)] if kind == "id" else enc.piece(payload.decode(), last), "<u4").tobytes())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "digest", "part", "kind", "payload", "number")), pa.array(ids, pa.binary())], ["doc_id", "digest", "part", "kind", "payload", "number", "ids"])
+            first = 0
+            for n, ids in enc.encode_leaves(batch):
+                names = ["doc_id", "digest", "part", "kind", "payload", "number"]
+                own = [batch.column(c).slice(first, n) for c in names]
+                yield pa.RecordBatch.from_arrays([*own, pa.array([x.tobytes() for x in ids], pa.binary())], [*names, "ids"])
+                first += n
 
     def concatenate(rows: pd.DataFrame) -> pd.DataFrame:
         enc = encoder(path)

@@ -1,9 +1,11 @@
 """BPE, the token store and length counts against the tokenizers library."""
 
 import hashlib
+import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,6 +54,27 @@ def test_a_full_memory_keeps_the_words_that_come_again(monkeypatch):
     assert all(learned.count(w) == 1 for w in common)
 
 
+def test_leaves_and_joins_do_not_each_search_the_memory(monkeypatch):
+    """A search of the memory of words costs as much as all words in it, so a batch of leaves takes one and the joins none."""
+    monkeypatch.setattr(bpe, "PART_BYTES", 200)
+    enc, calls = bpe.Encoder(PATH), []
+    search = bpe.pc.index_in
+    monkeypatch.setattr(bpe.pc, "index_in", lambda *a, **b: calls.append(1) or search(*a, **b))
+    text = "Some words, d\u00e9j\u00e0 vu x1y2 \t " * 300 + "q" * 600 + "<|endoftext|>" + "z" * 700 + " and the end."
+    rows = bpe.cut(text.encode(), enc)
+    assert len(rows) > 40 and {kind for kind, *_ in rows} == {"text", "piece", "id"}
+    batch = pa.RecordBatch.from_pylist([dict(zip(("kind", "payload", "number", "last"), r)) for r in rows])
+    ids = [x for _, some in enc.encode_leaves(batch) for x in some]
+    assert len(calls) <= 2 and len(ids) == len(rows)
+    searched, out = len(calls), []
+    for _, own in itertools.groupby(zip(rows, ids), key=lambda r: r[0][2]):
+        own = list(own)
+        parts = [(payload, x) for (_, payload, *_), x in own]
+        out += (enc.join_tree(parts) if own[0][0][0] == "text" else np.array(enc.join_all([x.tolist() for _, x in parts], True))).tolist()
+    assert len(calls) == searched
+    assert out == expected(enc.tokenizer, text)
+
+
 def test_halves_cut_anywhere_join_exactly(monkeypatch):
     """Texts with words, long blanks, lines of blanks only and accents, cut inside words and blanks."""
     enc, rng = bpe.Encoder(PATH), random.Random(9)
