@@ -155,6 +155,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, keep
     """``doc_id``, ``text`` (as it came), ``kept`` (kept words joined by one space), ``n_words``, ``n_removed`` and ``spans``
     (maximal repeats as first word and number of words) of every row, with the columns ``keep`` of ``docs`` after them."""
     found = repeated_windows(docs, window, seed).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "n_windows")).alias("found"))
+    found = materialize(found)  # what was shuffled to find them is gone before whole rows are moved
     more = [F.col(c).alias(f"keep_{k}") for k, c in enumerate(keep)]
     names = [f"keep_{k}" for k in range(len(keep))]
     rows = docs.select(*more, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_key", F.xxhash64("text"))

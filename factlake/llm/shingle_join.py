@@ -12,8 +12,9 @@ that agrees in empty parts alone has so many on both sides.
 
 Large groups never become all their pairs.  Equal sets are one vertex.  Under each key the members are first
 compared with its smallest and largest vertex, and the links found join components.  Only keys whose members then
-still lie in different components compare those across, first by parity sketches of 1024 bits, whose Hamming
-distance is a lower bound of the symmetric difference.  Every candidate is verified on the sets of its whole texts.
+still lie in different components compare those across.  Every candidate is compared by parity sketches of 1024
+bits, whose Hamming distance is a lower bound of the symmetric difference; texts are moved only for pairs that
+these leave open, which are verified on the sets of the whole texts.
 A link between two sets of one component changes nothing and is not looked for.
 
 Rows with null ``doc_id`` link with nothing.  Rows of one ``doc_id`` with different texts are linked by their texts
@@ -26,12 +27,12 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factlake.llm.components import components
 from factlake.llm.text import keyed, mix, passes, range_hashes, unused, utf8, Words
-from factlake.session import materialize
+from factlake.session import discard, materialize
 
 #: Ratio of the sizes at the ends of a band.
 BAND = 1.3
@@ -163,8 +164,22 @@ def _sketched(texts: DataFrame, n: int) -> DataFrame:
 _LONGS = [f"s{k}" for k in range(SKETCH_LONGS)]
 
 
+def _may_link(percent: int) -> Column:
+    """Whether the sizes and sketches ``a_..`` and ``b_..`` of two sets leave a link open."""
+    differ = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in _LONGS), F.lit(0))
+    return (F.least("a_size", "b_size") * 100 >= F.greatest("a_size", "b_size") * percent) & (differ * (100 + percent) <= (F.col("a_size") + F.col("b_size")) * (100 - percent))
+
+
+def _open(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` that may link by their sketches."""
+    for side in "ab":
+        pairs = pairs.join(sketches.select(*(F.col(c).alias(side if c == "node" else f"{side}_{c}") for c in ("node", "size", *_LONGS))), side)
+    return pairs.where(_may_link(percent)).select("a", "b")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` that link."""
+    pairs = materialize(pairs)  # what was shuffled to find them is gone before texts are moved
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
 
@@ -204,11 +219,12 @@ def linked_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFra
     met = pigeonhole_keys(docs, n, percent).withColumns({"least": F.min("node").over(by_key), "most": F.max("node").over(by_key)})
     met = materialize(met.where("least < most").distinct())
     wanted = met.select("node").distinct().join(classes, "node")
-    texts = materialize(docs.join(wanted, ["doc_id", "text_key"]).select("node", "text").dropDuplicates(["node"]))
+    texts = materialize(docs.join(wanted, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key", "node"]).select("node", "text"))
+    sketches = materialize(_sketched(texts, n))
 
     # one partner each
     one = materialize(met.where("node > least").groupBy("node").agg(F.min("least").alias("b")).select(F.col("node").alias("a"), "b"))
-    links = materialize(_verified(one, texts, n, percent))
+    links = materialize(_verified(_open(one, sketches, percent), texts, n, percent))
     parts = materialize(components(links))
 
     # every further smallest and largest one of a key, where it would join components
@@ -219,29 +235,22 @@ def linked_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFra
     more = met.where("node > least").select(F.col("node").alias("a"), F.col("least").alias("b"))
     more = more.union(met.where("node < most").select(F.col("most").alias("a"), F.col("node").alias("b"))).distinct()
     more = whole(whole(more.join(one, ["a", "b"], "left_anti"), "a", "part_a"), "b", "part_b").where("part_a != part_b").select("a", "b")
-    links = materialize(links.union(_verified(more, texts, n, percent)))
+    links = materialize(links.union(_verified(_open(more, sketches, percent), texts, n, percent)))
     parts = materialize(components(links))
 
     # what is left under a key: members of different components
     held = whole(met.select("key", "node"), "node", "part")
     apart = held.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y").select("key")
     left_over = materialize(held.join(apart, "key", "left_semi"))
-    sketches = materialize(_sketched(texts.join(left_over.select("node").distinct(), "node", "left_semi"), n))
     side = left_over.join(sketches, "node")
     a = side.select("key", *(F.col(c).alias(f"a_{c}") for c in ("node", "part", "size", *_LONGS)))
     b = side.select("key", *(F.col(c).alias(f"b_{c}") for c in ("node", "part", "size", *_LONGS)))
-    differ = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in _LONGS), F.lit(0))
-    near = (
-        (F.col("a_key") == F.col("b_key"))
-        & (F.col("a_node") > F.col("b_node"))
-        & (F.col("a_part") != F.col("b_part"))
-        & (F.least("a_size", "b_size") * 100 >= F.greatest("a_size", "b_size") * percent)
-        & (differ * (100 + percent) <= (F.col("a_size") + F.col("b_size")) * (100 - percent))
-    )
+    near = (F.col("a_key") == F.col("b_key")) & (F.col("a_node") > F.col("b_node")) & (F.col("a_part") != F.col("b_part")) & _may_link(percent)
     across = a.withColumnRenamed("key", "a_key").join(b.withColumnRenamed("key", "b_key"), near)
     across = across.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
     links = materialize(links.union(_verified(across, texts, n, percent)))
     parts = materialize(components(links))
+    discard(met, texts, sketches, left_over)
 
     of_class = whole(classes, "node", "part")
     head = of_class.groupBy("part").agg(F.min(F.struct("doc_id", "text_key")).alias("head"))

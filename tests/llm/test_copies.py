@@ -1,11 +1,14 @@
 """Shingle join and substring dedup against brute force."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 from brute import components, jaccard_links, removed, shingles
 
 import corpus_pipeline
 from factlake.llm import mixing, repeats, shingle_join
+from factlake.session import shared_folder
 
 
 @pytest.mark.parametrize("n, percent", [(3, 90), (5, 80), (1, 50)])
@@ -40,6 +43,31 @@ def test_keep_one(docs, corpus):
     assert kept[0].__fields__ == docs.columns
 
 
+def test_texts_move_only_for_pairs_that_sketches_leave_open(llm, monkeypatch):
+    """Half of each text is common to all: documents meet under keys, but none is near another."""
+    common = " ".join(f"c{k}" for k in range(30))
+    rows = [(d, common + " " + " ".join(f"w{d}x{k}" for k in range(30))) for d in range(40)]
+    rows.append((40, rows[0][1] + " more"))
+    given, verified = set(), shingle_join._verified
+
+    def seen(pairs, *more):
+        given.update(map(tuple, pairs.collect()))
+        return verified(pairs, *more)
+
+    monkeypatch.setattr(shingle_join, "_verified", seen)
+    got = shingle_join.linked_components(llm.createDataFrame(rows, "doc_id long, text string"), 5, 80)
+    assert {(r["doc_id"], r["component_id"]) for r in got.collect()} == {(d, d % 40) for d in range(41)}
+    assert len(given) == 1
+
+
+def test_tables_of_texts_are_discarded(llm, docs):
+    folder = shared_folder(llm)
+    before = set(os.listdir(folder))
+    assert shingle_join.keep_one(docs, 5, 80).count()
+    left = [k for k in set(os.listdir(folder)) - before if os.path.isdir(f"{folder}/{k}")]
+    assert left and not [k for k in left if {"text", "key", "s0"} & set(llm.read.parquet(f"{folder}/{k}").columns)]
+
+
 def test_no_documents(empty):
     assert shingle_join.linked_components(empty).count() == 0
     assert shingle_join.keep_one(empty).count() == 0
